@@ -109,10 +109,11 @@ def best_side_quotes(
     rank = F.lit(None)
     for rule in (policy.rule("over"), policy.rule("under")):
         rank = F.when(F.col("side_norm") == rule.side, rule.rank()).otherwise(rank)
-    ties = [c for c in ("bookmaker", "game_date", "predicted_strikeouts") if c in joined.columns]
-    whole = F.struct(*joined.columns)
+    # The rest of the row settles ties, so the winner does not depend on row order.
+    ties = [c for c in ("bookmaker", "game_date") if c in joined.columns]
+    candidate = F.struct(rank.alias("_rank"), *ties, F.struct(*joined.columns).alias("_whole"))
     return sided.groupBy(*group_keys, "side_norm").agg(
-        F.min_by(whole, F.when(F.col("line").isNotNull(), F.struct(rank, *ties))).alias("_quote"),
+        F.min(F.when(F.col("line").isNotNull(), candidate)).getField("_whole").alias("_quote"),
         F.min(_first_seen(joined)).alias("_first"),
     )
 

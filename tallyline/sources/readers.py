@@ -46,10 +46,14 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in LEDGER_COLUMNS])
 
 
-def read_events(spark: SparkSession, path: str, start: str, end: str) -> DataFrame:
-    """Events of a closed date range. On a table partitioned by ``game_date`` the range
-    prunes partitions; otherwise it is pushed to the Parquet scan."""
-    events = spark.read.parquet(path)
+def events_between(events: DataFrame, start: str, end: str) -> DataFrame:
+    """Events of a closed date range in the event layout."""
     require_columns(events, EVENT.names, "events")
     wanted = events.filter(F.col("game_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
     return nan_columns_to_null(wanted.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in EVENT.fields]))
+
+
+def read_events(spark: SparkSession, path: str, start: str, end: str) -> DataFrame:
+    """Events of a closed date range. On a table partitioned by ``game_date`` the range
+    prunes partitions; otherwise it is pushed to the Parquet scan."""
+    return events_between(spark.read.parquet(path), start, end)
