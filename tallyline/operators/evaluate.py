@@ -11,6 +11,7 @@ from tallyline.contracts import require_columns
 from tallyline.functions.numeric import at_least_zero, to_number
 from tallyline.functions.odds import band_rank, banded
 from tallyline.operators.quantiles import MAX_ROWS_AT_ONCE, exact_quantiles
+from tallyline.session import materialize
 
 # Interval defaults and their documented names.
 NOMINAL_COVERAGE = 0.8
@@ -37,11 +38,14 @@ def regression_metrics(results: DataFrame, *, max_rows: int = MAX_ROWS_AT_ONCE)
     """One row of error metrics with exact, linearly interpolated quantiles."""
     require_columns(results, (ACTUAL, PREDICTED), "prediction_results")
     error = F.col(PREDICTED).cast("double") - F.col(ACTUAL).cast("double")
-    errors = results.select(
-        F.col(PREDICTED).cast("double").alias("yhat"),
-        F.col(ACTUAL).cast("double").alias("y"),
-        error.alias("e"),
-        F.abs(error).alias("a"),
+    errors = materialize(
+        results.select(
+            F.col(PREDICTED).cast("double").alias("yhat"),
+            F.col(ACTUAL).cast("double").alias("y"),
+            error.alias("e"),
+            F.abs(error).alias("a"),
+        ),
+        "errors",
     )
     median, p75, p90 = exact_quantiles(errors, "a", [0.5, 0.75, 0.9], max_rows=max_rows)
     return errors.agg(
@@ -78,7 +82,7 @@ def fit_intervals(
         F.abs(F.col(PREDICTED).cast("double") - F.col(ACTUAL).cast("double")).alias("a"),
         _base_stddev(results, stddev_column).alias("sd"),
     ).filter("sd > 0")
-    scaled = usable.select((F.col("a") / F.col("sd")).alias("scaled"))
+    scaled = materialize(usable.select((F.col("a") / F.col("sd")).alias("scaled")), "scaled-errors")
     rows = scaled.count()
     factor = exact_quantiles(scaled, "scaled", [nominal_coverage], max_rows=max_rows)[0]
     if factor is None or not 0 < factor < float("inf"):

@@ -21,7 +21,8 @@ DIGEST_ACCURACY = 10_000
 def exact_quantiles(
     df: DataFrame, column: str, probabilities: list[float], *, max_rows: int = MAX_ROWS_AT_ONCE
 ) -> list[float | None]:
-    """Linearly interpolated quantiles of the non-missing values."""
+    """Linearly interpolated quantiles of the non-missing values. The table is read
+    several times, so pass one that is cheap to read, such as a written copy."""
     values = df.select(F.col(column).cast("double").alias("v")).filter("v is not null")
     total = values.count()
     if total == 0:

@@ -24,6 +24,9 @@ def entity_history(
     The events are read twice with pruned columns, once per rollup. Everything after
     the rollups works on entity-period rows, a small fraction of the events.
     """
+    # No key can hold more rows than there are events; Parquet footers tell their number.
+    if max_rows_per_task is not None and events.count() <= max_rows_per_task:
+        max_rows_per_task = None
     flagged = add_event_flags(events)
     periods = entity_periods_with_groups(flagged)
     if strict:

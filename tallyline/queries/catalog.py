@@ -182,7 +182,8 @@ def serving_features(spark, sf):
 @query
 def slate_serving(spark, sf):
     """The serving plan: context as of the first day of the slate."""
-    features = slate_features(tables.SLATE.read(spark, sf), inputs.history(spark, sf), strict=False)
+    history = materialize(inputs.history(spark, sf), "history")
+    features = slate_features(tables.SLATE.read(spark, sf), history, strict=False)
     return rounded(features.select("game_pk", "days_rest", *MODEL_FEATURES))
 
 

@@ -20,8 +20,9 @@ def read_schedule_documents(spark: SparkSession, path: str, *, multi_line: bool
 
 
 def parse_documents(df: DataFrame, column: str, layout) -> DataFrame:
-    """Documents held as JSON text in a column."""
-    return df.select(F.from_json(column, layout).alias("_doc")).select("_doc.*")
+    """Documents held as JSON text in a column. The generator keeps later filters from
+    being merged into the parse, which would then run once per use of a field."""
+    return df.select(F.inline(F.array(F.from_json(column, layout))))
 
 
 def market_documents(documents: DataFrame) -> DataFrame:
