@@ -31,6 +31,8 @@ from tallyline.schemas import (
 MEASURES = ("strikeouts", "pitches", "batters_faced", "whiffs", "avg_velo", "avg_spin")
 SPANS = (3, 5, 10)
 LONGEST = max(SPANS)
+# Tasks the history of one key is spread over; the slate keys are copied as often.
+SALTS = 16
 
 # Rate features as (name, numerator, denominator); the career form of the
 # last one carries its own name.
@@ -59,15 +61,21 @@ def _slate_dates(slate: DataFrame) -> DataFrame:
 
 
 def _bucketed_history(history: DataFrame, dates: DataFrame) -> DataFrame:
+    """History rows of slate keys with their bucket. The join is salted: a join on the
+    key alone would leave a hot key in one task, and the grouping after it would need no
+    shuffle, for which reason AQE would not split it."""
+    dates = dates.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     keyed = history.select(
         F.explode(_keys(F.col("pitcher"), F.col("player_name_norm"))).alias("_key"),
+        F.pmod(F.hash("game_date", "game_pk"), F.lit(SALTS)).alias("_salt"),
         "game_date",
         "game_pk",
         "pitcher",
         *MEASURES,
     )
     following = F.get(F.filter("_dates", lambda d: d > F.col("game_date")), F.lit(0))
-    return keyed.join(dates, "_key").withColumn("_bucket", following).filter("_bucket is not null").drop("_dates")
+    found = keyed.join(dates, ["_key", "_salt"]).withColumn("_bucket", following)
+    return found.filter("_bucket is not null").drop("_dates", "_salt")
 
 
 def _career(bucketed: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from tallyline.operators.backtest import ACTUAL, backtest_status, run_backtest, summarize_backtest
 from tallyline.operators.market import join_historical_lines
 from tallyline.operators.picks import DEFAULT_POLICY, PickPolicy
+from tallyline.session import materialize
 
 
 @dataclass(frozen=True)
@@ -34,7 +35,10 @@ def historical_backtest(
     joined = join_historical_lines(
         forecasts, lines, participant=participant, forecast_key=forecast_key, line_key=line_key
     )
+    # Status, summary and graded rows read the same rows, so each table is written once.
+    joined = materialize(joined, "backtest-joined")
     # An empty join is an answer here, not a contract error.
     graded = run_backtest(joined, policy, actual_column=actual_column, group_keys=group_keys, strict=False)
+    graded = materialize(graded, "backtest-graded")
     status = backtest_status(joined, graded, actual_column=actual_column)
     return Backtest(status, summarize_backtest(graded), graded)

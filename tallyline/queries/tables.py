@@ -14,10 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table. One small file is one split and would keep the first stage on one
-    core; only a table with fewer splits than cores is spread over them."""
+    core; only a table with fewer splits than cores is spread over them, by its first
+    column, which is its key or a foreign key of high cardinality."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, df.columns[0]) if df.rdd.getNumPartitions() < cores else df
 
 
 @dataclass(frozen=True)

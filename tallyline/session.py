@@ -8,6 +8,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+LOCAL_MEMORY = "8g"
+
 _local_folders: dict[str, str] = {}
 
 
@@ -19,10 +21,15 @@ def build_session(app_name: str = "tallyline", *, master: str | None = None, shu
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Split a hot join key even where the join's partitioning would have been reused.
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false")
+        if master.startswith("local"):
+            # Driver and executors share one JVM, whose default heap is 1 GB.
+            builder = builder.config("spark.driver.memory", LOCAL_MEMORY)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return builder.getOrCreate()
