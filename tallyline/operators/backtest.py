@@ -85,7 +85,7 @@ def summarize_backtest(graded: DataFrame) -> DataFrame:
             value = F.when(F.col(f"_rolled_{c}") == 0, F.col(c)).otherwise(value)
     measures = ("picks", "wins", "losses", "pushes", "decisions", "avg_edge", "avg_value_score", "profit_units")
     labelled = grouped.select(grouping.alias("grouping"), value.alias("group_value"), *measures)
-    # The global set yields a row for no input at all; the reference has none then.
+    # The global set yields a row even for no input; an empty backtest has no summaries.
     return _with_rates(labelled.filter("picks > 0"))
 
 

@@ -39,9 +39,10 @@ class QuotesUnavailable(Exception):
 def slate_forecasts(
     slate: DataFrame, history: DataFrame, model, metadata: dict | None, *, predictor: Callable = score
 ) -> DataFrame:
-    """Forecasts of a slate with the intervals the training metadata configures."""
+    """Forecasts of a slate with the intervals the training metadata configures. The
+    history comes checked from its reader."""
     check_contract(slate, SLATE_CONTRACT)
-    features = slate_features(slate, history)
+    features = slate_features(slate, history, strict=False)
     return apply_metadata_intervals(predictor(model, features), metadata)
 
 

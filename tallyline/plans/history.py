@@ -12,7 +12,13 @@ from tallyline.operators.rollup import (
     group_periods,
     require_one_name_per_period,
 )
-from tallyline.operators.trailing import MAX_ROWS_PER_TASK, add_entity_form, add_group_form, add_rates
+from tallyline.operators.trailing import (
+    MAX_ROWS_PER_TASK,
+    add_entity_form,
+    add_group_form,
+    add_rates,
+    limit_if_needed,
+)
 from tallyline.schemas import HISTORY_CONTRACT, MODEL_FEATURES
 
 
@@ -24,16 +30,15 @@ def entity_history(
     The events are read twice with pruned columns, once per rollup. Everything after
     the rollups works on entity-period rows, a small fraction of the events.
     """
-    # No key can hold more rows than there are events; Parquet footers tell their number.
-    if max_rows_per_task is not None and events.count() <= max_rows_per_task:
-        max_rows_per_task = None
+    max_rows_per_task = limit_if_needed(events, max_rows_per_task)
     flagged = add_event_flags(events)
     periods = entity_periods_with_groups(flagged)
     if strict:
         require_one_name_per_period(periods)
         check_contract(periods, HISTORY_CONTRACT, strict=False)
+    # The windows come before the join: looking for hot keys then reads rollups only.
     form = add_group_form(group_periods(flagged), max_rows_per_task=max_rows_per_task)
-    history = add_opponent_form(periods, form)
-    history = add_rates(add_entity_form(history, max_rows_per_task=max_rows_per_task))
+    history = add_entity_form(periods, max_rows_per_task=max_rows_per_task)
+    history = add_rates(add_opponent_form(history, form))
     require_columns(history, MODEL_FEATURES, "entity_periods")
     return history

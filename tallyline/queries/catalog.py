@@ -12,6 +12,7 @@ from tallyline.functions.names import canonical_name, entity_name, quote_name, s
 from tallyline.operators import backtest, evaluate, ledger, lines, market, model, picks, rollup, serving, slate, trailing
 from tallyline.plans.ledger import ledger_report
 from tallyline.plans.serving import slate_features
+from tallyline.plans.slate import build_slate
 from tallyline.queries import inputs, tables
 from tallyline.schemas import MODEL_FEATURES, SLATE_CONTRACT
 from tallyline.session import materialize
@@ -76,15 +77,19 @@ def group_info_join(spark, sf):
     return joined.select("game_date", "game_pk", "pitcher", "pitches", "pitching_team", "opponent_team")
 
 
+def _limit(spark, sf):
+    return {"max_rows_per_task": trailing.limit_if_needed(tables.table(spark, sf, tables.EVENTS.source))}
+
+
 @query
 def group_offense(spark, sf):
-    return rounded(trailing.add_group_form(rollup.group_periods(inputs.flagged(spark, sf))))
+    return rounded(trailing.add_group_form(rollup.group_periods(inputs.flagged(spark, sf)), **_limit(spark, sf)))
 
 
 @query
 def trailing_means(spark, sf):
     form = trailing.add_trailing(
-        inputs.periods(spark, sf), ("pitcher",), trailing.PERIOD_ORDER, trailing.ENTITY_MEANS
+        inputs.periods(spark, sf), ("pitcher",), trailing.PERIOD_ORDER, trailing.ENTITY_MEANS, **_limit(spark, sf)
     )
     return rounded(form.select("game_pk", "pitcher", *[s.output for s in trailing.ENTITY_MEANS]))
 
@@ -92,14 +97,14 @@ def trailing_means(spark, sf):
 @query
 def trailing_dispersion(spark, sf):
     form = trailing.add_trailing(
-        inputs.periods(spark, sf), ("pitcher",), trailing.PERIOD_ORDER, trailing.ENTITY_DISPERSION
+        inputs.periods(spark, sf), ("pitcher",), trailing.PERIOD_ORDER, trailing.ENTITY_DISPERSION, **_limit(spark, sf)
     )
     return rounded(form.select("game_pk", "pitcher", "strikeouts", *[s.output for s in trailing.ENTITY_DISPERSION]))
 
 
 @query
 def opponent_context_join(spark, sf):
-    form = trailing.add_group_form(rollup.group_periods(inputs.flagged(spark, sf)))
+    form = trailing.add_group_form(rollup.group_periods(inputs.flagged(spark, sf)), **_limit(spark, sf))
     joined = rollup.add_opponent_form(inputs.periods_with_groups(spark, sf), form)
     return rounded(
         joined.select(
@@ -111,7 +116,7 @@ def opponent_context_join(spark, sf):
 
 @query
 def rate_features(spark, sf):
-    rates = trailing.add_rates(trailing.add_entity_form(inputs.periods(spark, sf)))
+    rates = trailing.add_rates(trailing.add_entity_form(inputs.periods(spark, sf), **_limit(spark, sf)))
     return rounded(rates.select("game_pk", "pitcher", "k_per_pitch_last10", "k_rate_last10"))
 
 
@@ -251,6 +256,12 @@ def schedule_flatten(spark, sf):
     return flatten_schedule(inputs.schedule_documents(spark, sf))
 
 
+@query
+def slate_build(spark, sf):
+    """The slate plan: flattened, finalized and checked."""
+    return build_slate(inputs.schedule_documents(spark, sf))
+
+
 def _lines_output(df: DataFrame) -> DataFrame:
     """Instants as microseconds, so that no session zone takes part."""
     return df.withColumns({c: F.unix_micros(c) for c in ("commence_time", "pulled_at")})

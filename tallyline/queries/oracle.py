@@ -490,6 +490,8 @@ def statements() -> dict[str, str]:
         ),
         "quotes_flatten": _sql("SELECT * FROM quotes", *QUOTES),
         "schedule_flatten": scheduled,
+        "slate_build": "SELECT * REPLACE (upper(team) AS team, upper(opponent) AS opponent, "
+        f"upper(home_team) AS home_team, upper(away_team) AS away_team) FROM ({scheduled})",
         "lines_normalize": _normalized(tables.DIRTY_LINES.sql()),
         "lines_curate": _sql("SELECT * FROM cur", "snap", "cur"),
         "forecast_quote_join": _sql(

@@ -248,7 +248,7 @@ LEDGER_BY_BOOK = layout(
     ("roi", _double),
 )
 
-# Model inputs, label and split of the reference workload.
+# Model inputs, label and split of the workload.
 MODEL_FEATURES = (
     "pitches_last3",
     "pitches_last10",
