@@ -6,7 +6,6 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tallyline.operators.evaluate import (
     ACTUAL,
