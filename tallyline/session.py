@@ -5,12 +5,15 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 LOCAL_MEMORY = "8g"
 
 _local_folders: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def build_session(app_name: str = "tallyline", *, master: str | None = None, shuffle_partitions: int | None = None):
@@ -42,7 +45,8 @@ def shared_folder(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder")
     application = spark.sparkContext.applicationId
     if application not in _local_folders:
@@ -67,3 +71,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
     return folder
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let the executors import this package, once per application, however the driver
+    came by it. Only the driver reads the archive; Spark's file server hands it out."""
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="tallyline-code-")) / "tallyline.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, str(source.relative_to(package.parent)))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(application)
