@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as registry
 from compare import compare, connect
+from tallyline.queries import catalog, oracle
 
 SMALL = "/root/testdata/sf0.001"
 WITHOUT_SQL = {"gbt_train_score", "gbt_score_latest", "feature_importance"}
@@ -14,7 +15,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SMALL), reason="test tables ar
 
 
 def test_every_query_has_its_sql():
-    assert set(registry.queries()) - set(registry.oracle_sql()) == WITHOUT_SQL
+    assert set(catalog.registered()) - set(oracle.statements()) == WITHOUT_SQL
     assert set(registry.oracle_sql()) <= set(registry.queries())
 
 
@@ -23,9 +24,9 @@ def con():
     return connect(SMALL)
 
 
-@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle.statements()))
 def test_query_equals_sql(spark, con, name):
-    assert compare(spark, con, name, registry.queries()[name], registry.oracle_sql()[name], SMALL) is None
+    assert compare(spark, con, name, catalog.registered()[name], oracle.statements()[name], SMALL) is None
 
 
 def test_entry(spark):
