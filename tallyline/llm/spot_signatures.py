@@ -7,8 +7,9 @@ size, as sets that are too unequal in size cannot be alike; within and between n
 partitions they meet at their rarest signatures, and bounds prune pairs before they are
 compared.
 
-Defined cases: words are runs of letters, lower-cased; a text without a chain (too short, or
-without common words) has one signature, that of the text itself; an empty or null text has
+Defined cases: words are runs of letters, lower-cased; in a text without a common word before
+a whole chain, chains start at every content word; a text too short for a chain has one
+signature, that of the text itself; an empty or null text has
 an empty fingerprint; two empty fingerprints are alike (1), one empty one is like no other
 (0); equal texts have equal fingerprints; whole texts of any length count; repeated rows
 each get their row; other input columns pass through.
@@ -52,7 +53,7 @@ def with_signatures(
 
     Each step is a projection of its own: an array that a function reads more than once is
     worked out once, and no function of elements repeats work on the whole text."""
-    steps = {s: f"_{name}_{s}" for s in ("text", "words", "before", "content", "chains")}
+    steps = {s: f"_{name}_{s}" for s in ("text", "words", "before", "content", "whole", "spots", "chains")}
     plain = docs.withColumn(steps["text"], F.coalesce(column(text), F.lit("")))
     words = F.regexp_extract_all(F.lower(steps["text"]), F.lit(r"\p{L}+"), F.lit(0))
     found = plain.withColumn(steps["words"], words)
@@ -70,10 +71,12 @@ def with_signatures(
     shifted = {f"_{name}_{k}": F.slice(F.col(steps["content"]), k + 1, 1 << 30) for k in range(1, chain)}
     found = found.withColumns(shifted)
     places = [steps["content"], *shifted]
-    whole = F.filter(
-        F.arrays_zip(*places), lambda p: p[places[0]]["starts"] & p[places[-1]]["word"].isNotNull()
-    )
-    hashed = F.transform(whole, lambda p: _low_bits(F.concat_ws(" ", *[p[c]["word"] for c in places])))
+    whole = F.filter(F.arrays_zip(*places), lambda p: p[places[-1]]["word"].isNotNull())
+    found = found.withColumn(steps["whole"], whole)
+    after_common = F.filter(steps["whole"], lambda p: p[places[0]]["starts"])
+    found = found.withColumn(steps["spots"], after_common)
+    chosen = F.when(F.size(steps["spots"]) > 0, F.col(steps["spots"])).otherwise(F.col(steps["whole"]))
+    hashed = F.transform(chosen, lambda p: _low_bits(F.concat_ws(" ", *[p[c]["word"] for c in places])))
     found = found.withColumn(steps["chains"], F.array_sort(F.array_distinct(hashed)))
     none = F.when(F.col(steps["text"]) == "", F.array().cast("array<bigint>")).otherwise(
         F.array(_low_bits(F.col(steps["text"])))

@@ -19,10 +19,11 @@ input columns pass through, those named like a result are replaced by it.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,8 @@ from tallyline.session import materialize
 
 MAX_LABELLED = 50_000
 MAX_TERMS = 2_000
-LEAST_TOXIC = 4
+# Toxic texts a term needs, and candidates looked at for each term that may be kept.
+LEAST_TOXIC, CANDIDATES_PER_TERM = 4, 10
 # Lengths of stems, and from which length on a word may hold one or two misprints.
 STEMS = (4, 5, 6, 7)
 ONE_EDIT, TWO_EDITS = 5, 8
@@ -135,12 +137,22 @@ def _letter_set(word: str) -> int:
     return bits
 
 
+def shortened(word: str, letters: int) -> set[str]:
+    """``word`` and what is left of it without up to so many letters."""
+    found = {word}
+    for _ in range(letters):
+        found |= {w[:i] + w[i + 1 :] for w in found for i in range(len(w))}
+    return found
+
+
 @dataclass(frozen=True)
 class Lexicon:
-    """``words`` match whole, misspelled too; ``stems`` match the beginnings of words."""
+    """``words`` match whole, misspelled too, but for the ``known`` words near them;
+    ``stems`` match the beginnings of words."""
 
     words: tuple[str, ...] = ()
     stems: tuple[str, ...] = ()
+    known: tuple[str, ...] = ()
 
 
 class Matcher:
@@ -148,6 +160,7 @@ class Matcher:
 
     def __init__(self, lexicon: Lexicon):
         self.words, self.stems = frozenset(lexicon.words), frozenset(lexicon.stems)
+        self.known = frozenset(lexicon.known)
         self.stem_lengths = sorted({len(s) for s in self.stems})
         self.trie = Trie()
         near = [w for w in lexicon.words if allowed_edits(w)]
@@ -155,6 +168,7 @@ class Matcher:
             self.trie.add(word)
         self.sizes = np.array([len(w) for w in near], dtype=np.int64)
         self.sets = np.array([_letter_set(w) for w in near], dtype=np.uint64)
+        self.shortened = set().union(*(shortened(w, allowed_edits(w)) for w in near))
         self.hits: dict[str, int] = {}
         self.seen: set[str] = set()
 
@@ -169,12 +183,12 @@ class Matcher:
         for w in unknown:
             if w in self.words or any(w[:n] in self.stems for n in self.stem_lengths):
                 self.hits[w] = 1
-            elif len(w) >= ONE_EDIT - 1:
+            elif len(w) >= ONE_EDIT - 1 and w not in self.known:
                 doubtful.append(w)
         if not doubtful or not len(self.sizes):
             return
         # An edit changes the set of letters by one letter each way and the length by one,
-        # so few words need an automaton.
+        # and words an edit apart are alike without a letter: few words need an automaton.
         sizes = np.array([len(w) for w in doubtful], dtype=np.int64)
         sets = np.array([_letter_set(w) for w in doubtful], dtype=np.uint64)
         for at in range(0, len(doubtful), 4096):
@@ -185,6 +199,8 @@ class Matcher:
             near &= np.bitwise_count(self.sets & ~letters) <= edits
             for i in np.flatnonzero(near.any(axis=1)):
                 word = doubtful[at + i]
+                if self.shortened.isdisjoint(shortened(word, 2 if len(word) >= TWO_EDITS - 2 else 1)):
+                    continue
                 found = Automaton(word, 2).nearest(self.trie)
                 if found and found[0] <= allowed_edits(found[1]):
                     self.hits[word] = 2
@@ -239,11 +255,44 @@ def term_counts(labelled: DataFrame, *, text: str, label: str) -> DataFrame:
     return counted.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def _evidence(toxic: Column, clean: Column, rate: float) -> Column:
+def contexts(toxic_texts: DataFrame, terms: Iterable[str], *, text: str) -> DataFrame:
+    """Rows (term, n): between how many different pairs of words a term stands. Copies of a
+    text repeat their pairs, so they add nothing."""
+    wanted = frozenset(terms)
+
+    def prepare():
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+            for batch in batches:
+                found = set()
+                for t in texts(batch.column(0)):
+                    words = ["", *words_of(t), ""]
+                    for before, w, after in zip(words, words[1:], words[2:], strict=False):
+                        for term in (w, *(w[:n] + "*" for n in STEMS if len(w) > n)):
+                            if term in wanted:
+                                found.add((term, f"{before} {after}"))
+                if found:
+                    yield {"term": [f[0] for f in found], "context": [f[1] for f in found]}
+
+        return work
+
+    found = rows_of(toxic_texts.select(column(text)), prepare, "term string, context string")
+    return found.distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+
+
+def evidence(toxic: int, clean: int, rate: float) -> float:
     """How far the share of toxic texts lies above the rate of all: the number of texts
     times the divergence of the two, in nats; 0 where it lies below."""
     n = toxic + clean
     share = toxic / n
+    if share <= rate:
+        return 0.0
+    rest = clean * math.log((1 - share) / (1 - rate)) if clean else 0.0
+    return toxic * math.log(share / rate) + rest
+
+
+def _evidence(toxic: Column, clean: Column, rate: float) -> Column:
+    """:func:`evidence` of columns."""
+    share = toxic / (toxic + clean)
     rest = F.when(clean > 0, clean * F.log((1 - share) / (1 - rate))).otherwise(0.0)
     return F.when(share > rate, toxic * F.log(share / rate) + rest).otherwise(0.0)
 
@@ -257,8 +306,9 @@ def learn_lexicon(
     min_precision: float = 0.5,
 ) -> Lexicon:
     """Terms that chance would not put into so many toxic texts even once among all terms
-    tried. The strongest come first; of a stem and the words it covers, the one with more
-    evidence stays, the word if they are equal."""
+    tried, counting only different contexts. Of a stem and the words it covers, the one with
+    more evidence stays, the word if they are equal. Words near a term that clean texts use
+    as often as toxic ones are known words, no misspellings."""
     counts = materialize(term_counts(labelled, text=text, label=label), "terms")
     whole = counts.filter("term = ''").first()
     if whole is None or not whole["toxic"] or not whole["clean"]:
@@ -266,30 +316,55 @@ def learn_lexicon(
     rate = whole["toxic"] / (whole["toxic"] + whole["clean"])
     # Terms too rare to reach the bound whatever their texts are no trials.
     tried = counts.filter(f"toxic + clean >= {LEAST_TOXIC}").count()
-    evidence = _evidence(F.col("toxic"), F.col("clean"), rate)
+    bound = math.log(max(tried, 1)) + 1
     strong = (
-        counts.filter("term != ''")
-        .withColumn("evidence", evidence)
-        .filter((F.col("evidence") > float(np.log(tried) + 1)) & (F.col("toxic") >= LEAST_TOXIC))
-        .filter(F.col("toxic") >= min_precision * (F.col("toxic") + F.col("clean")))
-        .orderBy(F.desc("evidence"), F.desc(F.length("term")), "term")
-        .limit(max_terms)
+        counts.filter(f"term != '' and toxic >= {LEAST_TOXIC}")
+        .withColumn("evidence", _evidence(F.col("toxic"), F.col("clean"), rate))
+        .filter((F.col("evidence") > bound) & (F.col("toxic") >= min_precision * (F.col("toxic") + F.col("clean"))))
+        .orderBy(F.desc("evidence"), "term")
+        .limit(max_terms * CANDIDATES_PER_TERM)
         .collect()
     )
+    if not strong:
+        return Lexicon()
+    toxic_texts = labelled.filter(column(label) == 1)
+    differing = {r["term"]: r["n"] for r in contexts(toxic_texts, [r["term"] for r in strong], text=text).collect()}
+    sure = []
+    for row in strong:
+        seen = min(row["toxic"], differing.get(row["term"], 0))
+        weight = evidence(seen, row["clean"], rate) if seen >= LEAST_TOXIC else 0.0
+        if weight > bound:
+            sure.append((-round(weight, 6), row["term"].endswith("*"), -len(row["term"]), row["term"]))
     words: list[str] = []
     stems: list[str] = []
-    order = sorted(strong, key=lambda r: (-round(r["evidence"], 6), r["term"].endswith("*"), -len(r["term"]), r["term"]))
-    for row in order:
-        term = row["term"]
+    for _, is_stem, _, term in sorted(sure)[:max_terms]:
         bare = term.rstrip("*")
         covered = any(bare.startswith(s) for s in stems)
-        if term.endswith("*"):
-            # A stem that only repeats words already chosen says nothing new.
-            if not covered and not any(w.startswith(bare) for w in words + stems):
-                stems.append(bare)
-        elif not covered:
+        # A stem that only repeats words already chosen says nothing new.
+        if is_stem and not covered and not any(w.startswith(bare) for w in words + stems):
+            stems.append(bare)
+        elif not is_stem and not covered:
             words.append(term)
-    return Lexicon(tuple(words), tuple(stems))
+    lexicon = Lexicon(tuple(words), tuple(stems))
+    return replace(lexicon, known=_known_words(counts, lexicon, max_terms * CANDIDATES_PER_TERM))
+
+
+def _known_words(counts: DataFrame, lexicon: Lexicon, most: int) -> tuple[str, ...]:
+    """The most frequent words of clean texts that would pass for misspelled terms."""
+
+    def prepare():
+        matcher = Matcher(lexicon)
+
+        def work(values: pa.Array) -> list:
+            words = values.to_pylist()
+            matcher.learn(words)
+            return [[matcher.hits.get(w) == 2 for w in words]]
+
+        return work
+
+    clean = counts.filter("clean > 0 and clean >= toxic and term != '' and not endswith(term, '*')")
+    near = add_columns(clean, ["term"], prepare, "near boolean").filter("near")
+    return tuple(r["term"] for r in near.orderBy(F.desc("clean"), "term").limit(most).collect())
 
 
 @dataclass(frozen=True)
