@@ -32,7 +32,7 @@ from tallyline.llm.arrow import add_columns, column, rows_of, texts
 UNKNOWN = "und"
 PROFILE_SIZE = 400
 # Words a worker remembers the n-grams of, and n-grams it counts before it passes them on.
-REMEMBERED_WORDS = 200_000
+REMEMBERED_WORDS = 400_000
 GRAMS_HELD = 2_000_000
 
 _words = re.compile(r"[^\W\d_]+").findall
@@ -58,10 +58,32 @@ class Grams(dict):
         return np.frombuffer(b"".join(map(self.__getitem__, words)), dtype="<u8")
 
 
-def _merge(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct codes with their summed counts."""
-    found, place = np.unique(np.concatenate(codes), return_inverse=True)
-    return found, np.bincount(place, weights=np.concatenate(counts)).astype(np.int64)
+class Tally:
+    """Counts of the n-grams of one language. What is added waits until there is enough to
+    sort at once, as sorting many is cheaper than many sorts."""
+
+    def __init__(self):
+        self.codes, self.counts = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+        self.waiting: list[np.ndarray] = []
+        self.texts = self.size = 0
+
+    def add(self, found: np.ndarray) -> None:
+        self.waiting.append(found)
+        self.texts += 1
+        self.size += len(found)
+        if self.size > GRAMS_HELD:
+            self.settle()
+
+    def settle(self) -> None:
+        if not self.waiting:
+            return
+        new = np.sort(np.concatenate(self.waiting))
+        first = np.flatnonzero(np.concatenate([[True], new[1:] != new[:-1]])) if len(new) else np.zeros(0, dtype=int)
+        codes = np.concatenate([self.codes, new[first]])
+        counts = np.concatenate([self.counts, np.diff(np.append(first, len(new)))])
+        self.codes, place = np.unique(codes, return_inverse=True)
+        self.counts = np.bincount(place, weights=counts, minlength=len(self.codes)).astype(np.int64)
+        self.waiting, self.size = [], 0
 
 
 def gram_counts(docs: DataFrame, *, lang: str, text: str) -> DataFrame:
@@ -71,36 +93,27 @@ def gram_counts(docs: DataFrame, *, lang: str, text: str) -> DataFrame:
     def prepare():
         grams = Grams()
 
-        def rows(held: dict[str, list]) -> dict:
-            languages, codes, counts = [], [], []
-            for language, parts in held.items():
-                found, n = _merge([p[0] for p in parts], [p[1] for p in parts])
-                languages += [language] * len(found)
-                codes.append(found)
-                counts.append(n)
-            return {
-                "lang": languages,
-                "gram": pa.array(np.concatenate(codes).view(np.int64)),
-                "n": pa.array(np.concatenate(counts)),
-            }
+        def rows(tallies: dict[str, Tally]) -> Iterator[dict]:
+            for language, tally in tallies.items():
+                tally.settle()
+                size = len(tally.codes) + 1
+                yield {
+                    "lang": [language] * size,
+                    "gram": pa.array(np.append(tally.codes, np.uint64(0)).view(np.int64)),
+                    "n": pa.array(np.append(tally.counts, tally.texts)),
+                }
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-            held: dict[str, list] = {}
-            size = 0
+            tallies: dict[str, Tally] = {}
             for batch in batches:
                 for language, t in zip(batch.column(0).to_pylist(), texts(batch.column(1)), strict=True):
-                    if (found := grams.of(t)) is None:
-                        continue
-                    held.setdefault(language, []).append((np.append(found, np.uint64(0)), np.ones(len(found) + 1)))
-                    size += len(found)
-                    if size > GRAMS_HELD:
-                        held = {k: [_merge([p[0] for p in v], [p[1] for p in v])] for k, v in held.items()}
-                        size = sum(len(v[0][0]) for v in held.values())
-                        if size > GRAMS_HELD // 2:
-                            yield rows(held)
-                            held, size = {}, 0
-            if held:
-                yield rows(held)
+                    if (found := grams.of(t)) is not None:
+                        tallies.setdefault(language, Tally()).add(found)
+                # Many languages or a large alphabet: pass on what there is and start anew.
+                if sum(len(t.codes) + t.size for t in tallies.values()) > 4 * GRAMS_HELD:
+                    yield from rows(tallies)
+                    tallies = {}
+            yield from rows(tallies)
 
         return work
 
