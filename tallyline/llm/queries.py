@@ -94,8 +94,9 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    signed = spot_signatures.with_signatures(texts(spark, sf_dir))
-    pairs = spot_signatures.with_next(signed, carried=("signatures",))
+    pairs = spot_signatures.with_next(
+        texts(spark, sf_dir), derive=spot_signatures.with_signatures, derived=["signatures"]
+    )
     size = F.length("text")
     cut = F.floor(size / 4).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), size - cut), F.substring("next_text", F.lit(1), cut))

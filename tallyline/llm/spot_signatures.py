@@ -17,6 +17,8 @@ each get their row; other input columns pass through.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -150,18 +152,22 @@ ROWS_PER_STRETCH, MOST_STRETCHES = 1_000, 2_000
 
 
 def with_next(
-    docs: DataFrame, *, key: str = "doc_id", text: str = "text", carried: tuple[str, ...] = ()
+    docs: DataFrame,
+    *,
+    key: str = "doc_id",
+    text: str = "text",
+    derive: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+    derived: Sequence[str] = (),
 ) -> DataFrame:
-    """Rows (key, text, carried columns, and next_ of text and of each): every text with
-    that of the next key, the last one with that of the first. Of equal keys the smaller
-    text comes first, a null key comes first of all.
+    """Rows (key, text, derived columns, and next_ of text and of each): every text with
+    that of the next key, the last one with that of the first. ``derive`` adds the columns
+    ``derived`` to rows with a text; each text is derived from once and handed on. Of equal
+    keys the smaller text comes first, a null key comes first of all.
 
     Keys are cut into stretches of about equal numbers of rows, each sorted by a task of its
     own; the first row of each stretch is handed to the stretch before it."""
-    values = ["text", *carried]
-    rows = docs.select(
-        column(key).alias("key"), F.coalesce(column(text), F.lit("")).alias("text"), *[column(c) for c in carried]
-    )
+    values = ["text", *derived]
+    rows = docs.select(column(key).alias("key"), F.coalesce(column(text), F.lit("")).alias("text"))
     counted = docs.select(column(key).alias("key")).agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("low")).first()
     stretches = min(MOST_STRETCHES, counted["n"] // ROWS_PER_STRETCH)
     cuts: list[int] = []
@@ -175,11 +181,13 @@ def with_next(
     placed = rows.withColumn("stretch", stretch)
     inside = Window.partitionBy("stretch").orderBy(F.col("key").asc_nulls_first(), F.col("text").asc())
     value = F.struct(*values)
-    led = placed.withColumn("following", F.lead(value).over(inside))
+    led = derive(placed).withColumn("following", F.lead(value).over(inside))
     order = F.struct(F.col("key").isNotNull().alias("known"), "key", "text")
-    first = placed.groupBy("stretch").agg(F.min_by(value, order).alias("handed"))
+    first = placed.groupBy("stretch").agg(F.min(order).alias("first"))
     # Stretch i receives the first row of stretch i + 1, the last one that of stretch 0.
-    handed = first.select(F.pmod(F.col("stretch") - 1, F.lit(len(cuts) + 1)).alias("stretch"), "handed")
+    before = F.pmod(F.col("stretch") - 1, F.lit(len(cuts) + 1))
+    handed = derive(first.select(before.alias("stretch"), F.col("first.text").alias("text")))
+    handed = handed.select("stretch", value.alias("handed"))
     joined = led.join(handed, "stretch", "left").withColumn("following", F.coalesce("following", "handed"))
     named = [F.col("following")[c].alias(f"next_{c}") for c in values]
     return joined.select(F.col("key").alias(key), *values, *named)
