@@ -45,7 +45,8 @@ def add_columns(
     taken = {f.name.lower() for f in new}
     kept = [c for c in df.columns if c.lower() not in taken]
     arguments = [column(c).alias(f"_argument_{i}") for i, c in enumerate(inputs)]
-    source = df.select(*[column(c) for c in kept], *arguments)
+    # Numbered names inside, as any character may stand in those of the table.
+    source = df.select(*[column(c).alias(f"_column_{i}") for i, c in enumerate(kept)], *arguments)
     schema = StructType([source.schema[i] for i in range(len(kept))] + list(new))
     arrow_types = [f.type for f in to_arrow_schema(new)]
     width = len(kept)
@@ -59,7 +60,7 @@ def add_columns(
             ]
             yield pa.RecordBatch.from_arrays([*batch.columns[:width], *made], names=schema.names)
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(run, schema).toDF(*kept, *new.names)
 
 
 def rows_of(

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import base64
 import struct
+from bisect import bisect_left
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
@@ -30,8 +31,8 @@ from pyspark.sql import functions as F
 from tallyline.llm.arrow import add_columns, column, texts
 
 # Characters of a chunk and of what it reads beyond its end.
-CHUNK, OVERLAP = 16_384, 512
-REMEMBERED_PIECES = 400_000
+CHUNK, OVERLAP = 32_768, 512
+REMEMBERED_PIECES = 250_000
 
 
 class Encoder(dict):
@@ -106,7 +107,8 @@ def boundaries(text: str, pattern: str, base: int = 0) -> list[int]:
 def cut_points(text: str, marks: list[list[int]], chunk: int, overlap: int, pattern: str) -> list[int]:
     """Places where the text may be cut so that its pieces pre-tokenise like the whole.
 
-    ``marks`` holds the boundaries that each chunk found on its own. A cut follows a
+    ``marks`` holds the boundaries that each chunk found on its own where it overlaps its
+    neighbours. A cut follows a
     character that is not white space, because white space may look ahead of the cut."""
     cuts = [0]
     known = marks[0]
@@ -139,8 +141,14 @@ def _pieces_of_long_texts(long: DataFrame, chunk: int, overlap: int, pattern: st
     )
 
     def prepare():
+        def at_edges(found: list[int]) -> list[int]:
+            # Neighbours are compared in the overlap only; one boundary more on its left
+            # is where to go on from if they are out of step.
+            tail = max(0, bisect_left(found, chunk) - 1)
+            return found[: min(tail, bisect_left(found, overlap + 1))] + found[tail:]
+
         def work(slices: pa.Array) -> list:
-            return [[boundaries(s, pattern) for s in texts(slices)]]
+            return [[at_edges(boundaries(s, pattern)) for s in texts(slices)]]
 
         return work
 
