@@ -53,12 +53,15 @@ def add_columns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = prepare()
-        for batch in batches:
-            results = work(*batch.columns[width:])
-            made = [
-                r if isinstance(r, pa.Array) else pa.array(r, type=t) for r, t in zip(results, arrow_types, strict=True)
-            ]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:width], *made], names=schema.names)
+        for whole in batches:
+            for start in range(0, whole.num_rows, SLICE_ROWS):
+                batch = whole.slice(start, SLICE_ROWS)
+                results = work(*batch.columns[width:])
+                made = [
+                    r if isinstance(r, pa.Array) else pa.array(r, type=t)
+                    for r, t in zip(results, arrow_types, strict=True)
+                ]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:width], *made], names=schema.names)
 
     return source.mapInArrow(run, schema).toDF(*kept, *new.names)
 
