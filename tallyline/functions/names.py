@@ -17,39 +17,48 @@ from pyspark.sql.types import StringType
 from tallyline.functions.numeric import strip
 
 
-def _latin_fold_table() -> tuple[str, str]:
-    """Accented Latin letters and their base letters, built from Unicode itself."""
-    accented, base = [], []
-    for code in (*range(0x00C0, 0x0250), *range(0x1E00, 0x1F00)):
-        letter = chr(code)
-        folded = "".join(ch for ch in unicodedata.normalize("NFKD", letter) if not unicodedata.combining(ch))
-        if folded != letter and len(folded) == 1:
-            accented.append(letter)
-            base.append(folded)
-    return "".join(accented), "".join(base)
+_PLANE = [chr(code) for code in range(0x80, 0x10000) if not 0xD800 <= code < 0xE000]
 
 
-_ACCENTED, _BASE = _latin_fold_table()
+def _fold_table() -> tuple[str, str]:
+    """Letters that decompose to one base letter, in any script, and those base letters;
+    built from Unicode itself."""
+    folded = {ch: "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c)) for ch in _PLANE}
+    single = {ch: base for ch, base in folded.items() if base != ch and len(base) == 1}
+    return "".join(single), "".join(single.values())
+
+
+def _accents() -> str:
+    """A pattern of the marks with a combining class. Others, such as the vowel signs of
+    Indic scripts, are letters of a name and stay."""
+    marks = [ord(ch) for ch in _PLANE if unicodedata.combining(ch)]
+    spans: list[list[int]] = []
+    for code in marks:
+        if spans and spans[-1][1] == code - 1:
+            spans[-1][1] = code
+        else:
+            spans.append([code, code])
+    return "[" + "".join(f"\\u{a:04X}-\\u{b:04X}" for a, b in spans) + "]+"
+
+
+_ACCENTED, _BASE = _fold_table()
+_ACCENTS = _accents()
 
 
 @F.pandas_udf(StringType())
 def _fold_nfkd(names: pd.Series) -> pd.Series:
     """Full compatibility decomposition; Spark has no built-in for it."""
-
-    def fold(text):
-        if text is None:
-            return None
-        return "".join(ch for ch in unicodedata.normalize("NFKD", text) if not unicodedata.combining(ch))
-
-    return names.map(fold)
+    return names.str.normalize("NFKD").str.replace(_ACCENTS, "", regex=True)
 
 
 def fold_accents(c: Column, *, exact: bool = False) -> Column:
-    """Drop accents. The default stays in the JVM and covers the Latin blocks;
-    ``exact`` decomposes any script through an Arrow-batched UDF."""
+    """Drop accents. The default stays in the JVM and folds every letter of any script that
+    decomposes to one base letter; ``exact`` also takes ligatures and syllables apart,
+    through an Arrow-batched UDF. Neither drops a mark without a combining class, so names
+    that differ in more than accents stay apart."""
     if exact:
         return _fold_nfkd(c)
-    return F.regexp_replace(F.translate(c, _ACCENTED, _BASE), r"\p{Mn}+", "")
+    return F.regexp_replace(F.translate(c, _ACCENTED, _BASE), _ACCENTS, "")
 
 
 def entity_name(c: Column, *, exact: bool = False) -> Column:

@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 # Fixed value: the plain decimal notation accepted from text fields.
 NUMBER_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
-WHITESPACE = " \t\n\r\f\x0b"
+# Every white space character of Unicode.
+WHITESPACE = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
 
 
 def strip(c: Column) -> Column:
-    """Trim every kind of ASCII white space, not blanks only."""
+    """Trim every kind of white space, not blanks only."""
     return F.btrim(c, F.lit(WHITESPACE))
 
 

@@ -52,11 +52,21 @@ def ledger_rows(slate: DataFrame, picks: DataFrame) -> DataFrame:
     return rows.select(*[made[c].alias(c) for c in LEDGER_COLUMNS])
 
 
+def one_per_key(rows: DataFrame) -> DataFrame:
+    """One row per pick key: a settled one before an open one, then the greatest by its
+    columns in their order."""
+    settled = (F.coalesce(F.col("result"), F.lit("")) != "").alias("_settled")
+    best = F.max(F.struct(settled, *[c for c in LEDGER_COLUMNS if c != "pick_key"])).alias("_best")
+    return rows.groupBy("pick_key").agg(best).select("pick_key", "_best.*").select(*LEDGER_COLUMNS)
+
+
 def upsert_ledger(ledger: DataFrame, new_rows: DataFrame) -> DataFrame:
     """The ledger with new rows in place of old rows of the same key. A new row that
-    leaves a settled field blank keeps the old one; other rows stay untouched."""
+    leaves a settled field blank keeps the old one; other rows stay untouched. Of several
+    rows of a key, on either side, one counts (:func:`one_per_key`)."""
     require_columns(ledger, LEDGER_COLUMNS, "ledger")
     require_columns(new_rows, LEDGER_COLUMNS, "ledger_rows")
+    ledger, new_rows = one_per_key(ledger), one_per_key(new_rows)
     old = ledger.select("pick_key", *[F.col(c).alias(f"_old_{c}") for c in KEPT_WHEN_BLANK])
     kept = {
         c: F.coalesce(F.nullif(F.col(c), F.lit("")), F.nullif(F.col(f"_old_{c}"), F.lit("")), F.lit(""))

@@ -36,6 +36,12 @@ def _instant(df: DataFrame, name: str) -> Column:
     return instant_of(F.col(name), df.schema[name].dataType.typeName())
 
 
+def _day(c: Column) -> Column:
+    """The day as text. A value that is no date is an error, not a row less."""
+    wrong = F.raise_error(F.concat(F.lit("game_date is no date: "), c.cast("string"))).cast("string")
+    return F.coalesce(day_text(c), F.when(blank_to_null(c.cast("string")).isNotNull(), wrong))
+
+
 def normalize_snapshots(
     raw: DataFrame,
     *,
@@ -48,7 +54,7 @@ def normalize_snapshots(
     book = strip(F.col("bookmaker"))
     name = strip(F.col("player_name"))
     chosen = {
-        "game_date": day_text(F.col("game_date")),
+        "game_date": _day(F.col("game_date")),
         "player_name": name,
         "player_name_norm": quote_name(name),
         "market_key": F.col("market_key"),
@@ -101,6 +107,10 @@ def curate_lines(
         F.col("event_id").desc_nulls_last(),
         F.col("player_name").desc_nulls_last(),
     ]
+    # Whatever else differs decides ties, so the answer never follows the order of the input.
+    named = {"pulled_at", "commence_time", "snapshot_rank", "line", "price", "event_id", "player_name", *keys}
+    best += [F.col(c).desc_nulls_last() for c in CURATED_LINE.names if c in snapshots.columns and c not in named]
+    best += [F.col(c).desc_nulls_last() for c in ("pulled_at", "commence_time") if c in snapshots.columns]
     present = snapshots.filter(F.expr(" and ".join(f"`{k}` is not null" for k in keys)))
     ranked = present.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*best)))
     curated = (

@@ -39,9 +39,12 @@ def _suffixed_join(
     left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]], suffixes: tuple[str, str]
 ) -> DataFrame:
     """Inner join on pairs of columns. A key of the same name on both sides appears
-    once; every other shared column gets its side's suffix."""
+    once; every other shared column gets its side's suffix. The first pair holds names."""
     merged_keys = {a for a, b in pairs if a == b}
     shared = (set(left.columns) & set(right.columns)) - merged_keys
+    # Missing names are blank; a blank name is nobody's and pairs with no other.
+    left = left.filter(F.col(pairs[0][0]).cast("string") != "")
+    right = right.filter(F.col(pairs[0][1]).cast("string") != "")
     left = left.withColumnsRenamed({c: c + suffixes[0] for c in shared})
     right = right.withColumnsRenamed({c: c + suffixes[1] for c in shared})
     right = right.withColumnsRenamed({c: f"_right_{c}" for c in merged_keys})
@@ -105,4 +108,4 @@ def best_over(joined: DataFrame, *, group_key: str = "player_name_proj") -> Data
     overs = joined.filter((F.lower("side") == "over") & F.col(group_key).isNotNull())
     # max_by passes over rows whose ordering is NULL, here those without a value.
     firsts = [F.max_by(c, F.when(F.col(c).isNotNull(), rank)).alias(c) for c in others]
-    return overs.groupBy(group_key).agg(*firsts).orderBy(F.col("edge").desc_nulls_last(), group_key)
+    return overs.groupBy(group_key).agg(*firsts)

@@ -1,7 +1,7 @@
 """Exact quantiles of a whole column without gathering it in one task.
 
-``percentile`` keeps every distinct value of a group in one buffer. For a column past a
-row bound the wanted order statistics are therefore bracketed first: approximate
+``percentile`` keeps every distinct value of a group in one buffer. The wanted order
+statistics are therefore always bracketed first: approximate
 quantiles (small, mergeable digests) give a narrow value range around each, one pass
 counts the rows below and inside the range, and only once a range holds few distinct
 values are those, with their counts, ranked.
@@ -14,7 +14,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_ROWS_AT_ONCE = 1_000_000
+MAX_ROWS_AT_ONCE = 100_000
 DIGEST_ACCURACY = 10_000
 
 
@@ -27,21 +27,34 @@ def exact_quantiles(
     total = values.count()
     if total == 0:
         return [None] * len(probabilities)
-    if total <= max_rows:
-        return list(values.agg(F.percentile("v", probabilities)).first()[0])
+    ranks = [(math.floor(p * (total - 1)), p * (total - 1)) for p in probabilities]
+    # One pass for the brackets of all probabilities, one for the rows around them.
+    slack = 2.0 / DIGEST_ACCURACY
+    edges = [e for low, _ in ranks for e in (max(0.0, low / total - slack), min(1.0, (low + 2) / total + slack))]
+    found = values.agg(F.percentile_approx("v", edges, DIGEST_ACCURACY)).first()[0]
+    brackets = list(zip(found[::2], found[1::2], strict=True))
+    counts = values.agg(
+        *[F.count_if(F.col("v") < low).alias(f"under{i}") for i, (low, _) in enumerate(brackets)],
+        *[F.count_if(F.col("v").between(*b)).alias(f"within{i}") for i, b in enumerate(brackets)],
+    ).first()
     out = []
-    for p in probabilities:
-        position = p * (total - 1)
-        low_rank = math.floor(position)
-        low, high = _order_statistics(values, low_rank, min(low_rank + 1, total - 1), max_rows)
-        out.append(low + (high - low) * (position - low_rank))
+    for i, (rank, position) in enumerate(ranks):
+        last = min(rank + 1, total - 1)
+        under, within = counts[f"under{i}"], counts[f"within{i}"]
+        if under <= rank and last < under + within:
+            below, inside, rows = under, values.filter(F.col("v").between(*brackets[i])), within
+        else:  # the bracket missed a rank
+            below, inside, rows = 0, values, total
+        low, high = _order_statistics(inside, rank, last, max_rows, below, rows)
+        out.append(low + (high - low) * (position - rank))
     return out
 
 
-def _order_statistics(values: DataFrame, first: int, last: int, max_rows: int) -> tuple[float, float]:
-    """The values at the 0-based ranks ``first`` and ``last`` (equal or adjacent)."""
-    below, inside = 0, values
-    rows = inside.count()
+def _order_statistics(
+    inside: DataFrame, first: int, last: int, max_rows: int, below: int, rows: int
+) -> tuple[float, float]:
+    """The values at the 0-based ranks ``first`` and ``last`` (equal or adjacent) of all
+    values, ``below`` of which lie below the ``rows`` values inside."""
     while rows > max_rows:
         # A bracket one digest error wide on both sides holds both ranks.
         slack = 2.0 / DIGEST_ACCURACY

@@ -8,17 +8,17 @@ from pyspark.sql import functions as F
 from tallyline.contracts import ContractError, check_contract, require_columns
 from tallyline.functions.names import group_code, slate_name
 from tallyline.schemas import SLATE, SLATE_CONTRACT
+from tallyline.session import materialize
 
 
 def finalize_slate(raw: DataFrame) -> DataFrame:
-    """Normalized names and group codes, fixed column order, ordered output."""
+    """Normalized names and group codes, fixed column order."""
     require_columns(raw, SLATE.names, "raw_slate")
     codes = {c: group_code(F.col(c)) for c in ("team", "opponent", "home_team", "away_team")}
     return (
         raw.withColumns(codes)
         .withColumns({"player_name": slate_name(F.col("player_name")), "is_home": F.col("is_home").cast("int")})
         .select(*SLATE.names)
-        .orderBy("game_date", "game_pk", "is_home", "player_name")
     )
 
 
@@ -36,7 +36,10 @@ def check_home_away(slate: DataFrame) -> DataFrame:
 
 def checked_slate(raw: DataFrame) -> DataFrame:
     """Finalized slate that satisfies its contract and the home/away rule."""
-    slate = finalize_slate(raw)
+    # Checks and result read the written copy, so the documents are parsed once.
+    slate = materialize(finalize_slate(raw), "slate")
+    if slate.isEmpty():
+        raise ContractError("no probable starters found in the schedule")
     check_contract(slate, SLATE_CONTRACT)
     return check_home_away(slate)
 

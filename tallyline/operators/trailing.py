@@ -76,13 +76,6 @@ def add_trailing(
     return _blockwise(materialize(df, "trailing"), keys, order, stats, max_rows_per_task)
 
 
-def limit_if_needed(source: DataFrame, limit: int | None = MAX_ROWS_PER_TASK) -> int | None:
-    """The row limit for windows over rollups of ``source``, or None where the source as a
-    whole is within it, so that no key can be hot. For a Parquet table the count comes
-    from the footers and saves the search for hot keys."""
-    return None if limit is None or source.count() <= limit else limit
-
-
 def _unit_cuts(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int) -> DataFrame:
     """(key, unit) -> ``_cuts``: the values of the second order column at which an
     oversized unit is cut. Any cuts are correct; quantiles make them even. The digests

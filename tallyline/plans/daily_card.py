@@ -15,7 +15,7 @@ from tallyline.plans.edges import edges
 from tallyline.plans.ledger import persist_ledger, persist_ledger_report
 from tallyline.plans.serving import slate_features
 from tallyline.plans.slate import build_slate, save_slate
-from tallyline.schemas import JOINED, JOINED_CONTRACT, PICK, PICKS_CONTRACT, SLATE_CONTRACT
+from tallyline.schemas import JOINED, JOINED_CONTRACT, MARKET_KEY, PICK, PICKS_CONTRACT, SLATE_CONTRACT
 from tallyline.session import materialize
 from tallyline.sources import paths, publish
 from tallyline.sources.readers import empty_table, read_history
@@ -32,18 +32,37 @@ class Card:
     message: str = ""
 
 
+def _features(slate: DataFrame, history: DataFrame) -> DataFrame:
+    return slate_features(slate, history, strict=False)
+
+
+def _picks(joined: DataFrame, policy: PickPolicy) -> DataFrame:
+    return daily_picks(joined, policy, strict=False)
+
+
+@dataclass(frozen=True)
+class Hooks:
+    """Steps of the daily run that a caller may replace by functions of its own."""
+
+    build_features: Callable[[DataFrame, DataFrame], DataFrame] = _features
+    predict: Callable[..., DataFrame] = score
+    adjust_metadata: Callable[[dict | None], dict | None] = lambda metadata: metadata
+    build_picks: Callable[[DataFrame, PickPolicy], DataFrame] = _picks
+    filter_picks: Callable[[DataFrame], DataFrame] = lambda picks: picks
+
+
 class QuotesUnavailable(Exception):
     """The quote source could not be read; the card degrades to forecasts only."""
 
 
 def slate_forecasts(
-    slate: DataFrame, history: DataFrame, model, metadata: dict | None, *, predictor: Callable = score
+    slate: DataFrame, history: DataFrame, model, metadata: dict | None, *, hooks: Hooks = Hooks()
 ) -> DataFrame:
     """Forecasts of a slate with the intervals the training metadata configures. The
     history comes checked from its reader."""
     check_contract(slate, SLATE_CONTRACT)
-    features = slate_features(slate, history, strict=False)
-    return apply_metadata_intervals(predictor(model, features), metadata)
+    features = hooks.build_features(slate, history)
+    return apply_metadata_intervals(hooks.predict(model, features), hooks.adjust_metadata(metadata))
 
 
 def market_card(
@@ -51,13 +70,16 @@ def market_card(
     quote_documents: DataFrame,
     policy: PickPolicy = DEFAULT_POLICY,
     limits: PostLimits = WORKFLOW_LIMITS,
+    *,
+    market: str = MARKET_KEY,
+    hooks: Hooks = Hooks(),
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(joined, picks, postable), each written once and checked against its contract."""
-    joined, _ = edges(forecasts, quote_documents)
+    joined, _ = edges(forecasts, quote_documents, market=market)
     joined = check_contract(materialize(joined, "joined"), JOINED_CONTRACT)
-    picks = materialize(daily_picks(joined, policy, strict=False), "picks").orderBy(*policy.order())
+    picks = materialize(hooks.build_picks(joined, policy), "picks").orderBy(*policy.order())
     check_contract(picks, PICKS_CONTRACT)
-    postable = postable_picks(picks, policy, official=limits.official, lean=limits.lean)
+    postable = postable_picks(hooks.filter_picks(picks), policy, official=limits.official, lean=limits.lean)
     return joined, picks, check_contract(postable, PICKS_CONTRACT)
 
 
@@ -68,8 +90,12 @@ def daily_card(
     read_quotes: Callable[[], DataFrame],
     policy: PickPolicy = DEFAULT_POLICY,
     limits: PostLimits = WORKFLOW_LIMITS,
+    *,
+    market: str = MARKET_KEY,
+    hooks: Hooks = Hooks(),
 ) -> Card:
-    """The whole daily run on landed documents and the published training set.
+    """The whole daily run on landed documents and the published training set. ``market``
+    names the market whose quotes count, ``hooks`` replace single steps.
 
     A quote source that is unavailable degrades the run: forecasts are saved, the
     market outputs are empty. Every other failure ends it."""
@@ -77,11 +103,13 @@ def daily_card(
     folder = publish.resolve_set(spark, root)
     history = read_history(spark, paths.join(folder, publish.HISTORY))
     model, metadata = publish.load_model(folder), publish.load_metadata(spark, folder)
-    forecasts = materialize(slate_forecasts(slate, history, model, metadata), "forecasts")
+    forecasts = materialize(slate_forecasts(slate, history, model, metadata, hooks=hooks), "forecasts")
     if forecasts.isEmpty():
         raise ContractError("no forecasts were generated")
     try:
-        joined, picks, postable = market_card(forecasts, read_quotes(), policy, limits)
+        joined, picks, postable = market_card(
+            forecasts, read_quotes(), policy, limits, market=market, hooks=hooks
+        )
     except QuotesUnavailable as error:
         return Card(
             slate,

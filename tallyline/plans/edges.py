@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from tallyline.operators.market import best_over, join_quotes
+from tallyline.schemas import MARKET_KEY
 from tallyline.sources.nested import flatten_quotes, market_documents
 
 
@@ -15,10 +16,11 @@ def edges(
     participant: str = "player_name",
     forecast_key: str = "player_name_norm",
     quote_key: str = "player_name_norm",
+    market: str = MARKET_KEY,
     strict: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
-    """(joined, best over); no quotes give two empty tables."""
-    quotes = flatten_quotes(market_documents(quote_documents))
+    """(joined, best over) of one market; no quotes give two empty tables."""
+    quotes = flatten_quotes(market_documents(quote_documents), market=market)
     joined = join_quotes(
         forecasts,
         quotes,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tallyline.contracts import check_contract, require_columns
+from tallyline.contracts import ContractError, check_contract, require_columns
 from tallyline.operators.rollup import (
     add_event_flags,
     add_opponent_form,
@@ -17,9 +17,9 @@ from tallyline.operators.trailing import (
     add_entity_form,
     add_group_form,
     add_rates,
-    limit_if_needed,
 )
 from tallyline.schemas import HISTORY_CONTRACT, MODEL_FEATURES
+from tallyline.session import materialize
 
 
 def entity_history(
@@ -27,17 +27,19 @@ def entity_history(
 ) -> DataFrame:
     """The complete history table.
 
-    The events are read twice with pruned columns, once per rollup. Everything after
-    the rollups works on entity-period rows, a small fraction of the events.
+    The events are read twice with pruned columns, once per rollup, at every size. The
+    rollups, a small fraction of the events, are written once; checks, the search for hot
+    keys and the windows read those copies.
     """
-    max_rows_per_task = limit_if_needed(events, max_rows_per_task)
     flagged = add_event_flags(events)
-    periods = entity_periods_with_groups(flagged)
+    periods = materialize(entity_periods_with_groups(flagged), "periods")
     if strict:
+        if periods.isEmpty():
+            raise ContractError("events hold no entity-periods")
         require_one_name_per_period(periods)
         check_contract(periods, HISTORY_CONTRACT, strict=False)
     # The windows come before the join: looking for hot keys then reads rollups only.
-    form = add_group_form(group_periods(flagged), max_rows_per_task=max_rows_per_task)
+    form = add_group_form(materialize(group_periods(flagged), "groups"), max_rows_per_task=max_rows_per_task)
     history = add_entity_form(periods, max_rows_per_task=max_rows_per_task)
     history = add_rates(add_opponent_form(history, form))
     require_columns(history, MODEL_FEATURES, "entity_periods")

@@ -11,18 +11,22 @@ from tallyline.sources.readers import read_ledger
 LEDGER = "ledger"
 
 
+def ledger_root(root: str) -> str:
+    """The ledger has a folder of its own beside the published sets: it outlives every
+    training set, whose promotion deletes the oldest one."""
+    return paths.join(root, LEDGER)
+
+
 def ledger_path(root: str) -> str:
-    return paths.join(root, publish.LATEST, LEDGER)
+    return paths.join(ledger_root(root), publish.LATEST, LEDGER)
 
 
 def read_current_ledger(spark: SparkSession, root: str) -> DataFrame:
     """The ledger, or its previous copy while a replacement is being moved in."""
     current = ledger_path(root)
-    if not paths.exists(spark, current):
-        fallback = paths.join(root, publish.PREVIOUS, LEDGER)
-        if paths.exists(spark, fallback):
-            return read_ledger(spark, fallback)
-    return read_ledger(spark, current)
+    previous = paths.join(ledger_root(root), publish.PREVIOUS, LEDGER)
+    chosen = previous if not paths.exists(spark, current) and paths.exists(spark, previous) else current
+    return read_ledger(spark, chosen)
 
 
 def persist_ledger(slate: DataFrame, picks: DataFrame, root: str) -> str:
@@ -30,7 +34,7 @@ def persist_ledger(slate: DataFrame, picks: DataFrame, root: str) -> str:
     so a failed job leaves the old one. Saving the same picks twice changes nothing."""
     spark = slate.sparkSession
     ledger = read_current_ledger(spark, root)
-    return publish.publish_table(upsert_ledger(ledger, ledger_rows(slate, picks)), root, LEDGER)
+    return publish.publish_table(upsert_ledger(ledger, ledger_rows(slate, picks)), ledger_root(root), LEDGER)
 
 
 def ledger_report(ledger: DataFrame) -> dict[str, DataFrame]:

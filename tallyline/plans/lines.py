@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyline.operators.lines import curate_lines, normalize_snapshots
 from tallyline.schemas import MARKET_KEY, SELECTION_RULE
-from tallyline.sources import publish
+from tallyline.sources import paths, publish
 from tallyline.sources.snapshots import read_snapshots
 
 
@@ -19,7 +19,12 @@ def curated_lines_from(spark: SparkSession, folder: str, **options) -> DataFrame
     return curated_lines(read_snapshots(spark, folder), **options)
 
 
+def lines_root(root: str) -> str:
+    return paths.join(root, "lines")
+
+
 def publish_lines(spark: SparkSession, folder: str, root: str) -> tuple[str, int]:
-    """Rebuild the published lines; returns their folder and number of rows."""
-    latest = publish.publish_table(curated_lines_from(spark, folder), root, publish.LINES)
+    """Rebuild the lines published by themselves, beside the sets, whose lines stay those
+    of their model; returns their folder and number of rows."""
+    latest = publish.publish_table(curated_lines_from(spark, folder), lines_root(root), publish.LINES)
     return latest, spark.read.parquet(latest).count()

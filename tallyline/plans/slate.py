@@ -4,18 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tallyline.contracts import ContractError
 from tallyline.operators.slate import checked_slate
 from tallyline.sources.nested import flatten_schedule
 
 
 def build_slate(schedule_documents: DataFrame) -> DataFrame:
-    raw = flatten_schedule(schedule_documents)
-    if raw.isEmpty():
-        raise ContractError("no probable starters found in the schedule")
-    return checked_slate(raw)
+    return checked_slate(flatten_schedule(schedule_documents))
 
 
 def save_slate(slate: DataFrame, path: str) -> str:
-    slate.write.mode("overwrite").parquet(path)
+    slate.orderBy("game_date", "game_pk", "is_home", "player_name").write.mode("overwrite").parquet(path)
     return path

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -157,8 +159,8 @@ def build_training_set(
     event_range: tuple[str, str] = EVENT_RANGE,
 ) -> str:
     """Build all datasets, stage and check them, promote them; returns their folder."""
-    staging = paths.join(root, publish.STAGING)
-    paths.delete(spark, staging)
+    # A folder of its own, so that jobs at the same time leave each other's staging alone.
+    staging = paths.join(root, publish.STAGING, uuid.uuid4().hex)
     events = read_events(spark, events_path, *event_range)
     history = materialize(entity_history(events), "history")
     lines = materialize(curated_lines_from(spark, lines_folder), "lines")
@@ -174,4 +176,4 @@ def build_training_set(
         model=trained.model,
         metadata=trained.metadata,
     )
-    return publish.promote(spark, root)
+    return publish.promote(spark, root, staging)

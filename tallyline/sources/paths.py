@@ -17,6 +17,10 @@ def exists(spark: SparkSession, location: str) -> bool:
     return bool(_file_system(spark, location).exists(_path(spark, location)))
 
 
+def is_file(spark: SparkSession, location: str) -> bool:
+    return exists(spark, location) and not _file_system(spark, location).getFileStatus(_path(spark, location)).isDirectory()
+
+
 def delete(spark: SparkSession, location: str) -> None:
     if exists(spark, location):
         _file_system(spark, location).delete(_path(spark, location), True)

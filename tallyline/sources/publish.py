@@ -72,9 +72,10 @@ def check_set(spark: SparkSession, folder: str) -> str:
     return folder
 
 
-def promote(spark: SparkSession, root: str) -> str:
-    """Staging becomes latest; a complete latest becomes previous first."""
-    staging, latest, previous = (paths.join(root, n) for n in (STAGING, LATEST, PREVIOUS))
+def promote(spark: SparkSession, root: str, staging: str | None = None) -> str:
+    """A staged set becomes latest; a complete latest becomes previous first."""
+    latest, previous = (paths.join(root, n) for n in (LATEST, PREVIOUS))
+    staging = staging or paths.join(root, STAGING)
     check_set(spark, staging)
     if set_exists(spark, latest):
         paths.delete(spark, previous)
@@ -104,7 +105,8 @@ def load_metadata(spark: SparkSession, folder: str) -> dict:
 
 
 def publish_table(df: DataFrame, root: str, name: str) -> str:
-    """Replace one published dataset, keeping the old copy as previous."""
+    """Replace one dataset that is published by itself, keeping the old copy as previous.
+    ``root`` is the dataset's own: a complete set is replaced by :func:`promote` only."""
     spark = df.sparkSession
     staging, latest, previous = (paths.join(root, n, name) for n in (STAGING, LATEST, PREVIOUS))
     df.write.mode("overwrite").parquet(staging)

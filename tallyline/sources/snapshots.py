@@ -11,7 +11,7 @@ from pyspark.sql.types import StringType
 from tallyline.contracts import ContractError
 from tallyline.functions.dates import day_text
 from tallyline.schemas import RAW_LINE_COLUMNS, layout
-from tallyline.sources.paths import exists
+from tallyline.sources.paths import exists, is_file
 from tallyline.sources.readers import empty_table, read_csv_text
 
 RAW_SNAPSHOT = layout(*[(c, StringType()) for c in RAW_LINE_COLUMNS])
@@ -71,14 +71,14 @@ def read_snapshots(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def land_snapshots(spark: SparkSession, source: str, target: str) -> DataFrame:
-    """Check external CSV files and append them to the landed snapshot table.
+    """Check external CSV files and land them in the snapshot table.
 
     Every file must have the required columns, or nothing is landed. Rows keep the
-    path of their file below the source. Rebalancing by day splits a day that is too
-    large for one writer."""
+    path of their file below the source; landing a file again replaces what it landed on
+    its days. Rebalancing by day splits a day that is too large for one writer."""
     if not exists(spark, source):
         raise FileNotFoundError(f"snapshot source does not exist: {source}")
-    if source.rsplit("/", 1)[-1].count(".") and not source.lower().endswith(".csv"):
+    if is_file(spark, source) and not source.lower().endswith(".csv"):
         raise ContractError(f"snapshot source file must be a CSV: {source}")
     groups = _files_by_header(spark, source)
     if not groups:
@@ -90,5 +90,6 @@ def land_snapshots(spark: SparkSession, source: str, target: str) -> DataFrame:
     rows = _read_groups(spark, groups)
     below = F.regexp_replace("relative_path", "^.*" + re.escape(source.rstrip("/")) + "/?", "")
     landed = rows.withColumn("relative_path", below).withColumn("game_day", day_text(F.col("game_date")))
-    landed.hint("rebalance", "game_day").write.mode("append").partitionBy("game_day").parquet(target)
+    writer = landed.hint("rebalance", "game_day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("game_day", "relative_path").parquet(target)
     return spark.read.parquet(target)

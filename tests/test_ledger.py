@@ -1,7 +1,7 @@
 import pytest
 
 from tallyline.operators import ledger
-from tallyline.plans.ledger import ledger_report, persist_ledger, persist_ledger_report, read_current_ledger
+from tallyline.plans.ledger import ledger_root, ledger_report, persist_ledger, persist_ledger_report, read_current_ledger
 from tallyline.schemas import LEDGER, LEDGER_COLUMNS
 from tallyline.sources import paths, publish
 
@@ -49,7 +49,7 @@ def test_empty_ledger(spark):
 
 def pick(**over):
     row = dict(
-        player_name="Jacob  deGrom", team="TEX", opponent="SEA", book="DK", pick_side="over", line=6.5, price=120.0,
+        player_name="Ana  McVale", team="TEX", opponent="SEA", book="DK", pick_side="over", line=6.5, price=120.0,
         predicted_strikeouts=6.7, edge=0.8, confidence_tier="high", pick_type="official",
     )
     row.update(over)
@@ -59,34 +59,42 @@ def pick(**over):
 def test_new_rows_resolve_their_day(frame):
     slate = frame(
         [
-            dict(player_name="Jacob  deGrom", team="TEX", opponent="SEA", game_date="2025-08-01", game_pk=1),
-            dict(player_name="Jacob  deGrom", team="TEX", opponent="SEA", game_date="2025-08-02", game_pk=2),
+            dict(player_name="Ana  McVale", team="TEX", opponent="SEA", game_date="2031-05-13", game_pk=1),
+            dict(player_name="Ana  McVale", team="TEX", opponent="SEA", game_date="2031-05-14", game_pk=2),
         ],
         SLATE_DDL,
     )
     picks = frame([pick(), pick(player_name="Other"), pick(pick_type="lean")], PICK_DDL)
     got = {r.pick_key: r for r in ledger.ledger_rows(slate, picks).collect()}
-    assert set(got) == {"2025-08-02|jacob degrom", "|other"}
-    row = got["2025-08-02|jacob degrom"]
+    assert set(got) == {"2031-05-14|ana mcvale", "|other"}
+    row = got["2031-05-14|ana mcvale"]
     assert (row.odds, row.result, row.record_source) == ("+120", "", "run_daily_card")
     sole = ledger.ledger_rows(slate.filter("game_pk = 1"), picks).filter("player_name = 'Other'").first()
-    assert sole.game_date == "2025-08-01"
+    assert sole.game_date == "2031-05-13"
 
 
 def test_saving_twice_keeps_settled_fields(spark, frame, tmp_path):
     root = str(tmp_path)
-    slate = frame([dict(player_name="A", team="T", opponent="O", game_date="2025-08-02", game_pk=1)], SLATE_DDL)
+    slate = frame([dict(player_name="A", team="T", opponent="O", game_date="2031-05-14", game_pk=1)], SLATE_DDL)
     persist_ledger(slate, frame([pick(player_name="A", team="T", opponent="O")], PICK_DDL), root)
     old = read_current_ledger(spark, root).first().asDict()
     other = settled("legacy", record_source="manual_seed")
-    publish.publish_table(rows(spark, {**old, "result": "W", "actual_strikeouts": "7"}, other), root, "ledger")
+    publish.publish_table(rows(spark, {**old, "result": "W", "actual_strikeouts": "7"}, other), ledger_root(root), "ledger")
     again = frame([pick(player_name="A", team="T", opponent="O", predicted_strikeouts=6.8)], PICK_DDL)
     for _ in range(2):
         persist_ledger(slate, again, root)
         got = {r.pick_key: r for r in read_current_ledger(spark, root).collect()}
-        assert set(got) == {"2025-08-02|a", "legacy"}
-        row = got["2025-08-02|a"]
+        assert set(got) == {"2031-05-14|a", "legacy"}
+        row = got["2031-05-14|a"]
         assert (row.result, row.actual_strikeouts, row.predicted_strikeouts) == ("W", "7", "6.8")
     target = str(tmp_path / "out")
     persist_ledger_report(spark, root, target)
     assert spark.read.json(paths.join(target, "ledger_overall")).first().wins == 1
+
+
+def test_copies_of_a_key_count_once(spark):
+    settled_row = settled("a", result="W", actual_strikeouts="7")
+    blank = settled("a", result="", actual_strikeouts="")
+    got = ledger.upsert_ledger(rows(spark, blank, settled_row, settled("b")), rows(spark, blank, blank)).collect()
+    assert sorted((r.pick_key, r.result) for r in got if r.pick_key == "a") == [("a", "W")]
+    assert len(got) == 2

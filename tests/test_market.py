@@ -17,9 +17,9 @@ LINE_DDL = (
 
 def snapshot(**over):
     row = dict(
-        game_date="2025-08-02", player_name="Jacob deGrom", market_key="pitcher_strikeouts", bookmaker="DraftKings",
-        bookmaker_key="draftkings", side="Over", line="6.5", price="-120", event_id="evt_1",
-        commence_time="2025-08-02T23:10:00Z", pulled_at="2025-08-02T22:00:00Z",
+        game_date="2031-05-14", player_name="Ana McVale", market_key="pitcher_strikeouts", bookmaker="DraftKings",
+        bookmaker_key="draftkings", side="Over", line="6.5", price="-120", event_id="game-77",
+        commence_time="2031-05-14T23:10:00Z", pulled_at="2031-05-14T22:00:00Z",
     )
     row.update(over)
     return row
@@ -27,24 +27,24 @@ def snapshot(**over):
 
 SNAPSHOTS = [
     snapshot(),
-    snapshot(player_name="Jacob Degrom", line="7.0", price="-110", pulled_at="2025-08-02T22:30:00Z"),
-    snapshot(line="7.5", price="100", pulled_at="2025-08-02T23:30:00Z"),
-    snapshot(player_name="Tarik Skubal", bookmaker="FanDuel", side="Under", line="6.0", price="105",
-             commence_time="2025-08-02T23:40:00Z", pulled_at="2025-08-02T22:45:00Z"),
-    snapshot(player_name="Tarik Skubal", market_key="batter_hits", bookmaker="FanDuel"),
+    snapshot(player_name="Ana Mcvale", line="7.0", price="-110", pulled_at="2031-05-14T22:30:00Z"),
+    snapshot(line="7.5", price="100", pulled_at="2031-05-14T23:30:00Z"),
+    snapshot(player_name="Olu Brandt", bookmaker="FanDuel", side="Under", line="6.0", price="105",
+             commence_time="2031-05-14T23:40:00Z", pulled_at="2031-05-14T22:45:00Z"),
+    snapshot(player_name="Olu Brandt", market_key="batter_hits", bookmaker="FanDuel"),
 ]
 
 
 def test_curation_golden(frame):
     got = lines.curate_lines(lines.normalize_snapshots(frame(SNAPSHOTS, LINE_DDL))).orderBy("player_name_norm").collect()
     assert [(r.player_name_norm, r.line, r.is_closing_line) for r in got] == [
-        ("jacob degrom", 7.0, True), ("tarik skubal", 6.0, True),
+        ("ana mcvale", 7.0, True), ("olu brandt", 6.0, True),
     ]
     assert got[0].selection_rule == lines.SELECTION_RULE and got[0].source == lines.LINE_SOURCE
 
 
 def test_curation_in_steps_and_after_start(frame):
-    late = [snapshot(pulled_at=f"2025-08-03T0{i}:00:00Z", line=str(i)) for i in range(3)]
+    late = [snapshot(pulled_at=f"2031-05-15T0{i}:00:00Z", line=str(i)) for i in range(3)]
     got = lines.curate_lines(lines.normalize_snapshots(frame(late, LINE_DDL))).collect()
     assert [(r.line, r.is_closing_line) for r in got] == [(2.0, False)]
     snapshots = lines.normalize_snapshots(frame(SNAPSHOTS + late, LINE_DDL))
@@ -129,14 +129,14 @@ FORECAST_DDL = "game_date string, player_name string, predicted_strikeouts doubl
 
 
 def test_joins(frame):
-    forecasts = frame([dict(player_name="Jacob deGrom", predicted_strikeouts=7.0, game_date="2025-08-02")], FORECAST_DDL)
+    forecasts = frame([dict(player_name="Ana McVale", predicted_strikeouts=7.0, game_date="2031-05-14")], FORECAST_DDL)
     quotes = frame(
-        [dict(player_name="Jacob Degrom", k="jacob degrom", bookmaker="DK", side="Over", line=5.5, price=100.0)],
+        [dict(player_name="Ana Mcvale", k="ana mcvale", bookmaker="DK", side="Over", line=5.5, price=100.0)],
         "player_name string, k string, bookmaker string, side string, line double, price double",
     )
     row = market.join_quotes(forecasts, quotes.withColumnRenamed("k", "player_name_norm")).first()
-    assert (row.player_name_proj, row.player_name_odds, row.edge) == ("Jacob deGrom", "Jacob Degrom", 1.5)
-    other = market.join_quotes(forecasts.withColumn("key", F.lit("jacob degrom")), quotes, forecast_key="key", quote_key="k")
+    assert (row.player_name_proj, row.player_name_odds, row.edge) == ("Ana McVale", "Ana Mcvale", 1.5)
+    other = market.join_quotes(forecasts.withColumn("key", F.lit("ana mcvale")), quotes, forecast_key="key", quote_key="k")
     assert other.count() == 1
     kept = forecasts.withColumn("player_name_norm", F.lit("someone else"))
     assert market.join_quotes(kept, quotes.withColumnRenamed("k", "player_name_norm")).count() == 0
@@ -153,18 +153,18 @@ def test_best_over_takes_first_known_value_per_column(frame):
         dict(player_name_proj="C", side="under", edge=3.0, bookmaker="X", price=5.0),
     ]
     got = market.best_over(frame(rows, "player_name_proj string, side string, edge double, bookmaker string, price double"))
-    assert [(r.player_name_proj, r.edge, r.bookmaker, r.price) for r in got.collect()] == [
+    assert [(r.player_name_proj, r.edge, r.bookmaker, r.price) for r in got.orderBy(F.desc("edge")).collect()] == [
         ("B", 3.0, "X", 5.0), ("A", 2.0, "X", 100.0),
     ]
 
 
 def test_backtest_golden(frame):
     rows = [
-        quote("Official Over", 7.2, "Over", 6.0, -110.0, "DraftKings", 8.0),
-        quote("Official Over", 7.2, "Over", 6.5, 105.0, "FanDuel", 8.0),
-        quote("Lean Under", 5.0, "Under", 5.5, -115.0, "Caesars", 4.0),
-        quote("Pass Case", 4.7, "Over", 4.5, -110.0, "BetMGM", 3.0),
-        quote("No Outcome", 4.7, "Over", 4.5, -110.0, "BetMGM", None),
+        quote("Far Above", 7.2, "Over", 6.0, -110.0, "DraftKings", 8.0),
+        quote("Far Above", 7.2, "Over", 6.5, 105.0, "FanDuel", 8.0),
+        quote("Bit Below", 5.0, "Under", 5.5, -115.0, "Caesars", 4.0),
+        quote("Near Line", 4.7, "Over", 4.5, -110.0, "BetMGM", 3.0),
+        quote("Not Played", 4.7, "Over", 4.5, -110.0, "BetMGM", None),
     ]
     joined = frame(rows, JOINED_DDL)
     graded = backtest.run_backtest(joined)
@@ -190,8 +190,8 @@ def test_a_missing_group_value_is_a_group_of_its_own(frame):
 def test_historical_backtest(frame):
     forecasts = frame(
         [
-            dict(game_date="2025-08-02", player_name="Jacob deGrom", predicted_strikeouts=8.2, actual_strikeouts=9.0),
-            dict(game_date="2025-08-02", player_name="Tarik Skubal", predicted_strikeouts=5.0, actual_strikeouts=4.0),
+            dict(game_date="2031-05-14", player_name="Ana McVale", predicted_strikeouts=8.2, actual_strikeouts=9.0),
+            dict(game_date="2031-05-14", player_name="Olu Brandt", predicted_strikeouts=5.0, actual_strikeouts=4.0),
         ],
         FORECAST_DDL,
     )
@@ -199,7 +199,7 @@ def test_historical_backtest(frame):
     result = historical_backtest(forecasts, curated)
     overall = result.summary.filter("grouping = 'overall'").first()
     assert (overall.picks, overall.wins) == (2, 2)
-    none = historical_backtest(forecasts.withColumn("game_date", F.lit("2025-08-03")), curated)
+    none = historical_backtest(forecasts.withColumn("game_date", F.lit("2031-05-15")), curated)
     status = none.status.first()
     assert (status.available, status.reason) == (False, backtest.NO_LINES)
     assert none.summary.count() == 0

@@ -7,6 +7,7 @@ import pytest
 from tallyline.contracts import ContractError
 from tallyline.operators.model import BoostParams
 from tallyline.plans import daily_card as card
+from tallyline.plans.ledger import ledger_path, read_current_ledger
 from tallyline.plans.slate import build_slate
 from tallyline.plans.training import build_training_set
 from tallyline.schemas import EVENT
@@ -56,7 +57,10 @@ def quotes():
         for p in TEAMS for s, line in (("Over", 3.5), ("Under", 5.5))
     ]
     return [{"id": "e", "commence_time": "2025-08-01T23:00:00Z",
-             "bookmakers": [{"key": "draftkings", "markets": [{"key": "pitcher_strikeouts", "outcomes": outcomes}]}]}]
+             "bookmakers": [{"key": "draftkings", "markets": [
+                 {"key": "pitcher_strikeouts", "outcomes": outcomes},
+                 {"key": "pitcher_outs", "outcomes": [{**o, "point": 0.5} for o in outcomes]},
+             ]}]}]
 
 
 @pytest.fixture(scope="module")
@@ -104,17 +108,40 @@ def test_daily_card(spark, published):
         spark, root, schedule_documents, lambda: nested.read_quote_documents(spark, str(base / "quotes.json"))
     )
     assert run.status == "success" and run.forecasts.count() == 2 and run.joined.count() == 4
+    assert {r.line for r in run.joined.collect()} == {3.5, 5.5}
     assert {r.player_name for r in run.picks.collect()} == {"Jo Name10", "Jo Name11"}
     assert 1 <= run.postable.count() <= 2
     target = str(base / "out")
     for _ in range(2):
         card.save_card(spark, run, root, target)
     assert publish.read_record(spark, paths.join(target, "run_status")) == {"status": "success", "message": ""}
-    keys = [r.pick_key for r in spark.read.parquet(paths.join(root, "latest", "ledger")).collect()]
+    keys = [r.pick_key for r in spark.read.parquet(ledger_path(root)).collect()]
     assert len(keys) == len(set(keys)) and all(k.startswith("2025-08-01|jo name") for k in keys)
+    # Promotions replace the training set and leave the ledger alone.
+    kept = read_current_ledger(spark, root).count()
+    latest = paths.join(root, publish.LATEST)
+    for _ in range(3):
+        staging = paths.join(root, publish.STAGING, "again")
+        paths.rename(spark, latest, staging)
+        publish.promote(spark, root, staging)
+    assert read_current_ledger(spark, root).count() == kept == len(keys)
     assert all(exists(spark, paths.join(target, n)) for n in ("slate", "forecasts", "joined", "picks", "postable"))
 
 
+def test_market_and_hooks_of_the_daily_card(spark, published):
+    base, root = published
+    run = card.daily_card(
+        spark,
+        root,
+        nested.read_schedule_documents(spark, str(base / "schedule.json")),
+        lambda: nested.read_quote_documents(spark, str(base / "quotes.json")),
+        market="pitcher_outs",
+        hooks=card.Hooks(filter_picks=lambda picks: picks.filter("player_name = 'Jo Name10'")),
+    )
+    assert {r.line for r in run.joined.collect()} == {0.5}
+    assert run.picks.count() == 2 and {r.player_name for r in run.postable.collect()} <= {"Jo Name10"}
+
+
 def test_daily_card_degrades_without_quotes(spark, published):
     base, root = published
 

@@ -5,16 +5,16 @@ from pyspark.sql import functions as F
 
 from tallyline.contracts import ContractError, check_contract, contract_report
 from tallyline.operators.lines import curate_lines, normalize_snapshots
-from tallyline.plans.lines import curated_lines_from, publish_lines
+from tallyline.plans.lines import curated_lines_from, lines_root, publish_lines
 from tallyline.schemas import CURATED_LINE, EVENT, HISTORY_CONTRACT, QUOTE, SLATE, Contract
 from tallyline.sources import nested, paths, publish, readers, snapshots
 from tallyline.streaming.curation import curate_stream, curated_from_log, snapshot_stream
 
 HEADER = "game_date,player_name,market_key,bookmaker,side,line,price,commence_time,pulled_at"
 LONG = "source," + HEADER
-FIRST = "2025-08-02,Jacob deGrom,pitcher_strikeouts,DK,Over,6.5,-120,2025-08-02T23:10:00Z,2025-08-02T22:00:00Z"
-SECOND = "feed,2025-08-02,Jacob Degrom,pitcher_strikeouts,DK,Over,7.0,-110,2025-08-02T23:10:00Z,2025-08-02T22:30:00Z"
-LATE = "2025-08-02,Jacob deGrom,pitcher_strikeouts,DK,Over,7.5,100,2025-08-02T23:10:00Z,2025-08-02T23:30:00Z"
+FIRST = "2031-05-14,Ana McVale,pitcher_strikeouts,DK,Over,6.5,-120,2031-05-14T23:10:00Z,2031-05-14T22:00:00Z"
+SECOND = "feed,2031-05-14,Ana Mcvale,pitcher_strikeouts,DK,Over,7.0,-110,2031-05-14T23:10:00Z,2031-05-14T22:30:00Z"
+LATE = "2031-05-14,Ana McVale,pitcher_strikeouts,DK,Over,7.5,100,2031-05-14T23:10:00Z,2031-05-14T23:30:00Z"
 
 
 @pytest.fixture
@@ -40,6 +40,11 @@ def test_landing(spark, log, tmp_path):
     target = str(tmp_path / "landed")
     landed = snapshots.land_snapshots(spark, str(log), target)
     assert {r.relative_path for r in landed.select("relative_path").collect()} == {"a/one.csv", "b/c/two.csv"}
+    assert snapshots.land_snapshots(spark, str(log), target).count() == 3
+    dotted = log.parent / "raw.v1"
+    log.rename(dotted)
+    assert snapshots.land_snapshots(spark, str(dotted), str(tmp_path / "other")).count() == 3
+    dotted.rename(log)
     (log / "bad.csv").write_text("game_date,price\n1,2\n")
     with pytest.raises(ContractError):
         snapshots.land_snapshots(spark, str(log), target)
@@ -67,7 +72,7 @@ def test_publish_lines_keeps_the_previous_copy(spark, log, tmp_path):
     assert publish_lines(spark, str(log), root)[1] == 1
     (log / "three.csv").write_text("\n".join([HEADER, FIRST.replace("Over", "Under")]) + "\n")
     assert publish_lines(spark, str(log), root)[1] == 2
-    assert spark.read.parquet(paths.join(root, publish.PREVIOUS, publish.LINES)).count() == 1
+    assert spark.read.parquet(paths.join(lines_root(root), publish.PREVIOUS, publish.LINES)).count() == 1
 
 
 def test_slate_and_ledger_readers(spark, tmp_path):
