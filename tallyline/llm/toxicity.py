@@ -390,11 +390,12 @@ def learn_weights(cells: list[tuple[tuple[int, ...], int, int]], ridge: float =
     if toxic in (0, total) or not any(any(f) for f, _, _ in cells):
         rate = min(max(toxic / total, 1e-9), 1 - 1e-9)
         return Weights(float(np.log(rate / (1 - rate))))
-    x = np.array([[1, *f] for f, _, _ in cells], dtype=float)
+    # A misspelled hit weighs like one spelled right, but for a deviation that must be seen.
+    x = np.array([[1, f[0] + f[2], f[1] + f[3], f[2], f[3]] for f, _, _ in cells], dtype=float)
     k = np.array([k for _, k, _ in cells], dtype=float)
     n = np.array([n for _, _, n in cells], dtype=float)
-    # Prior: a plain hit means abuse, a quoted one less so; the bias is free.
-    prior = np.array([0.0, 1.0, 0.0, 1.0, 0.0])
+    # Prior: a plain hit means abuse, a quoted one does not; the bias is free.
+    prior = np.array([0.0, 1.0, 0.0, 0.0, 0.0])
     strength = np.array([1e-6] + [ridge] * 4)
     w = prior.copy()
     w[0] = np.log((toxic + 0.5) / (total - toxic + 0.5))
@@ -406,7 +407,8 @@ def learn_weights(cells: list[tuple[tuple[int, ...], int, int]], ridge: float =
         w += move
         if np.abs(move).max() < 1e-10:
             break
-    return Weights(float(w[0]), dict(zip(FEATURES, map(float, w[1:]), strict=True)))
+    by_feature = (w[1], w[2], w[1] + w[3], w[2] + w[4])
+    return Weights(float(w[0]), dict(zip(FEATURES, map(float, by_feature), strict=True)))
 
 
 def labelled_texts(

@@ -115,6 +115,7 @@ def test_matcher_finds_all_misspellings():
     words = ["numbskull", "nmubskull", "numskul", "oafsh", "ofaish", "oafisk", "grumbling", "harmless", "oa"]
     matcher.learn(words)
     assert [matcher.hits.get(w, 0) for w in words] == [1, 2, 2, 2, 2, 0, 1, 0, 0]
+    matcher.learn(["oafish"])
     assert matcher.features('he is an oafish man\nthey said "numbskull" again') == (1, 1, 0, 0)
 
 
