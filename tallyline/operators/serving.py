@@ -17,6 +17,7 @@ from tallyline.functions.dates import to_day
 from tallyline.functions.names import entity_name
 from tallyline.functions.numeric import nan_to_null, safe_ratio
 from tallyline.operators.rollup import starter_like
+from tallyline.operators.trailing import MAX_ROWS_PER_TASK
 from tallyline.schemas import (
     GROUP_CONTEXT,
     HISTORY_CONTRACT,
@@ -27,12 +28,11 @@ from tallyline.schemas import (
     STARTER_MIN_BATTERS,
     STARTER_MIN_PITCHES,
 )
+from tallyline.session import materialize
 
 MEASURES = ("strikeouts", "pitches", "batters_faced", "whiffs", "avg_velo", "avg_spin")
 SPANS = (3, 5, 10)
 LONGEST = max(SPANS)
-# Tasks the history of one key is spread over; the slate keys are copied as often.
-SALTS = 16
 
 # Rate features as (name, numerator, denominator); the career form of the
 # last one carries its own name.
@@ -60,22 +60,37 @@ def _slate_dates(slate: DataFrame) -> DataFrame:
     )
 
 
-def _bucketed_history(history: DataFrame, dates: DataFrame) -> DataFrame:
+def _salted(keyed: DataFrame, dates: DataFrame, max_rows_per_task: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a salt. A key over the limit gets as many salts as its counted rows
+    ask for, every other key one; only the dates of hot keys are copied. The hot keys number
+    at most the rows of the history divided by the limit."""
+    counts = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_rows_per_task)
+    hot = materialize(counts.select("_key", F.ceil(F.col("_n") / max_rows_per_task).alias("_salts")), "hot-keys")
+    salts = F.coalesce(F.col("_salts"), F.lit(1).cast("long"))
+    salt = F.pmod(F.xxhash64("game_date", "game_pk", "pitcher"), salts)
+    copies = F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))
+    return (
+        keyed.join(hot, "_key", "left").withColumn("_salt", salt).drop("_salts"),
+        dates.join(hot, "_key", "left").withColumn("_salt", copies).drop("_salts"),
+    )
+
+
+def _bucketed_history(history: DataFrame, dates: DataFrame, max_rows_per_task: int) -> DataFrame:
     """History rows of slate keys with their bucket. The join is salted: a join on the
     key alone would leave a hot key in one task, and the grouping after it would need no
     shuffle, for which reason AQE would not split it."""
-    dates = dates.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     keyed = history.select(
         F.explode(_keys(F.col("pitcher"), F.col("player_name_norm"))).alias("_key"),
-        F.pmod(F.hash("game_date", "game_pk"), F.lit(SALTS)).alias("_salt"),
         "game_date",
         "game_pk",
         "pitcher",
         *MEASURES,
     )
+    keyed, dates = _salted(keyed, dates, max_rows_per_task)
     following = F.get(F.filter("_dates", lambda d: d > F.col("game_date")), F.lit(0))
     found = keyed.join(dates, ["_key", "_salt"]).withColumn("_bucket", following)
-    return found.filter("_bucket is not null").drop("_dates", "_salt")
+    # Totals and newest rows both read it.
+    return materialize(found.filter("_bucket is not null").drop("_dates", "_salt"), "buckets")
 
 
 def _career(bucketed: DataFrame) -> DataFrame:
@@ -111,26 +126,58 @@ def _as_of(dates: DataFrame, bucketed: DataFrame) -> DataFrame:
     return known.withColumns(running).filter("_games is not null")
 
 
-def _span_features() -> dict[str, Column]:
-    """Aggregates over the exploded newest rows; ``_age`` 1 is the last game."""
-    out = {}
-    for span in SPANS:
-        inside = F.col("_age") <= span
+def _total(values: Column) -> Column:
+    return F.when(F.size(values) > 0, F.aggregate(values, F.lit(0.0), lambda total, v: total + v))
+
+
+def _mean(values: Column) -> Column:
+    return safe_ratio(_total(values), F.size(values))
+
+
+def _deviation(values: Column, mean: Column) -> Column:
+    """Population standard deviation."""
+    return F.sqrt(_mean(F.transform(values, lambda v: (v - mean) * (v - mean))))
 
-        def within(measure, inside=inside):
-            return F.when(inside, F.col(measure).cast("double"))
 
-        out[f"starts_last{span}_available"] = F.count_if(inside)
+def _quantile(ordered: Column, share: float) -> Column:
+    """Interpolated between the two nearest places of sorted values."""
+    place = (F.size(ordered) - 1) * F.lit(share)
+    below = F.get(ordered, F.floor(place).cast("int"))
+    above = F.get(ordered, F.ceil(place).cast("int"))
+    return below + (above - below) * (place - F.floor(place))
+
+
+def _with_spans(matched: DataFrame) -> DataFrame:
+    """``matched`` with the features of its newest rows, at most LONGEST of them, which
+    stay inside their row: no row is unfolded, grouped or joined back."""
+
+    def held(span: int, measure: str) -> Column:
+        rows = F.slice(F.reverse("_rows"), 1, span)
+        return F.filter(F.transform(rows, lambda r: r.getField(measure)), lambda v: v.isNotNull())
+
+    values = {f"_values_{m}_{span}": held(span, m) for span in SPANS for m in MEASURES}
+    totals = {f"_total_{m}_{span}": _total(F.col(f"_values_{m}_{span}")) for span in SPANS for m in MEASURES}
+    out = {}
+    for span in SPANS:
+        out[f"starts_last{span}_available"] = F.least(F.size("_rows"), F.lit(span)).cast("long")
         for m in MEASURES:
-            out[f"{m}_last{span}"] = F.avg(within(m))
+            out[f"{m}_last{span}"] = safe_ratio(F.col(f"_total_{m}_{span}"), F.size(f"_values_{m}_{span}"))
         for name, top, bottom in RATES:
-            out[f"{name}_last{span}"] = safe_ratio(F.sum(within(top)), F.sum(within(bottom)))
-    k = F.col("strikeouts").cast("double")
-    out["strikeouts_stddev_last10"] = F.stddev_pop(k)
-    quartiles = F.percentile(k, F.array(F.lit(0.25), F.lit(0.75)))
-    out["strikeouts_p25_last10"] = quartiles[0]
-    out["strikeouts_p75_last10"] = quartiles[1]
-    return out
+            out[f"{name}_last{span}"] = safe_ratio(F.col(f"_total_{top}_{span}"), F.col(f"_total_{bottom}_{span}"))
+    k = F.array_sort(f"_values_strikeouts_{LONGEST}")
+    shape = {
+        "strikeouts_stddev_last10": _deviation(k, F.col(f"strikeouts_last{LONGEST}")),
+        "strikeouts_p25_last10": _quantile(k, 0.25),
+        "strikeouts_p75_last10": _quantile(k, 0.75),
+    }
+    return matched.withColumns(values).withColumns(totals).withColumns(out).withColumns(shape).drop(*values, *totals)
+
+
+SPAN_FEATURES = tuple(
+    f"{name}_last{span}" if name != "starts" else f"starts_last{span}_available"
+    for span in SPANS
+    for name in ("starts", *MEASURES, *[r[0] for r in RATES])
+) + ("strikeouts_stddev_last10", "strikeouts_p25_last10", "strikeouts_p75_last10")
 
 
 def _career_features() -> dict[str, Column]:
@@ -152,6 +199,7 @@ def serving_features(
     exact_names: bool = False,
     strict: bool = True,
     observation: Observation | None = None,
+    max_rows_per_task: int = MAX_ROWS_PER_TASK,
 ) -> DataFrame:
     """Features of every slate row with at least ``min_career_starts`` earlier starts.
 
@@ -178,7 +226,7 @@ def serving_features(
     ).withColumn("_keys", _keys(F.col("pitcher"), F.col("player_name_norm")))
 
     dates = _slate_dates(rows)
-    as_of = _as_of(dates, _bucketed_history(history, dates))
+    as_of = _as_of(dates, _bucketed_history(history, dates, max_rows_per_task))
 
     # One row per slate row and match key, the first key with any history wins.
     slate_key = ("game_date", "game_pk", "player_name")
@@ -191,20 +239,11 @@ def serving_features(
     if observation is not None:
         matched = matched.observe(observation, F.count_if(~enough).alias("skipped"))
 
-    # At most ten newest rows per slate row are unfolded and aggregated.
-    aged = matched.filter(enough).select("*", F.posexplode(F.reverse("_rows")).alias("_position", "_row"))
-    spans = (
-        aged.select(*slate_key, "_row.*", (F.col("_position") + 1).alias("_age"))
-        .groupBy(*slate_key)
-        .agg(*[c.alias(n) for n, c in _span_features().items()])
-    )
-    career = matched.filter(enough).withColumns(_career_features())
+    career = _with_spans(matched.filter(enough & F.col("_rows").isNotNull())).withColumns(_career_features())
     career = career.withColumn("days_rest", F.datediff("game_date", "_last_date"))
     base = [c for c in SLATE.names]
     extra = [c for c in slate.columns if c not in base]
-    features = career.select(
-        *base, *extra, "player_name_norm", *_career_features(), "days_rest"
-    ).join(spans, list(slate_key))
+    features = career.select(*base, *extra, "player_name_norm", *_career_features(), "days_rest", *SPAN_FEATURES)
     features = features.withColumns(
         {
             "k_trend_last3_vs_last10": F.col("strikeouts_last3") - F.col("strikeouts_last10"),

@@ -34,7 +34,7 @@ from tallyline.schemas import (
     STARTER_MIN_BATTERS,
     STARTER_MIN_PITCHES,
 )
-from tallyline.session import materialize
+from tallyline.session import materialize, scratch
 from tallyline.sources import paths, publish
 from tallyline.sources.readers import read_events
 
@@ -161,19 +161,20 @@ def build_training_set(
     """Build all datasets, stage and check them, promote them; returns their folder."""
     # A folder of its own, so that jobs at the same time leave each other's staging alone.
     staging = paths.join(root, publish.STAGING, uuid.uuid4().hex)
-    events = read_events(spark, events_path, *event_range)
-    history = materialize(entity_history(events), "history")
-    lines = materialize(curated_lines_from(spark, lines_folder), "lines")
-    trained = train_and_evaluate(
-        history, lines, params=params, split_date=split_date, event_range=event_range, lines_folder=lines_folder
-    )
-    publish.write_set(
-        spark,
-        staging,
-        history=history,
-        table=trained.table,
-        lines=lines,
-        model=trained.model,
-        metadata=trained.metadata,
-    )
+    with scratch(spark):
+        events = read_events(spark, events_path, *event_range)
+        history = materialize(entity_history(events), "history")
+        lines = materialize(curated_lines_from(spark, lines_folder), "lines")
+        trained = train_and_evaluate(
+            history, lines, params=params, split_date=split_date, event_range=event_range, lines_folder=lines_folder
+        )
+        publish.write_set(
+            spark,
+            staging,
+            history=history,
+            table=trained.table,
+            lines=lines,
+            model=trained.model,
+            metadata=trained.metadata,
+        )
     return publish.promote(spark, root, staging)

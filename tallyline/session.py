@@ -6,14 +6,20 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyline.sources import paths
+
 LOCAL_MEMORY = "8g"
 
 _local_folders: dict[str, str] = {}
 _shipped: set[str] = set()
+_copies: ContextVar[list[str] | None] = ContextVar("copies", default=None)
 
 
 def build_session(app_name: str = "tallyline", *, master: str | None = None, shuffle_partitions: int | None = None):
@@ -61,10 +67,28 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     later reads still prune columns and push filters."""
     spark = df.sparkSession
     path = os.path.join(shared_folder(spark), f"{label}-{uuid.uuid4().hex}")
+    copies = _copies.get()
+    if copies is not None:
+        copies.append(path)
     df.write.parquet(path)
     return spark.read.parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the copies that :func:`materialize` makes inside the block when it ends, also
+    by an error. For jobs that save their results inside: tables that read the copies
+    are of no use after it."""
+    token = _copies.set([])
+    try:
+        yield
+    finally:
+        made = _copies.get()
+        _copies.reset(token)
+        for path in made:
+            paths.delete(spark, path)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Point RDD checkpoints (iterative model training) at the shared folder."""
     folder = shared_folder(spark)

@@ -114,3 +114,26 @@ def test_checked_slate(spark):
         slates.checked_slate(slate(spark, dict(is_home=0)))
     copies = slate(spark, {}, dict(player_name="Jo B"), dict(game_pk=0))
     assert [(r.game_pk, r.player_name) for r in slates.prediction_base(copies).collect()] == [(0, "Jo Doe"), (1, "Jo B")]
+
+
+def test_hot_keys_split_give_the_same_rows(spark, frame):
+    games = frame(
+        [game(i, avg_velo=None if i % 3 else 91.5) for i in range(40)]
+        + [game(i, game_pk=100 + i, pitcher=8, player_name="Al", strikeouts=None) for i in range(0, 30, 5)],
+        HISTORY_DDL,
+    )
+    days = [dict(game_date=DAY + datetime.timedelta(days=d), game_pk=d) for d in (4, 9, 25, 39, 60)]
+    rows = slate(spark, *days, dict(game_pk=2, pitcher=8, player_name="Al"), dict(game_pk=3, pitcher=99))
+    plain = serving_features(rows, games, min_career_starts=1)
+    split = serving_features(rows, games, min_career_starts=1, max_rows_per_task=3)
+    key = ("game_date", "game_pk")
+    assert plain.count() == 7
+    assert split.orderBy(*key).collect() == plain.orderBy(*key).collect()
+
+
+def test_missing_measures_leave_their_place_empty(spark, frame):
+    games = frame([game(i, strikeouts=None if i > 2 else i, whiffs=None) for i in range(6)], HISTORY_DDL)
+    row = serving_features(slate(spark, {}), games).first()
+    assert (row.starts_last3_available, row.strikeouts_last3, row.strikeouts_last5) == (3, None, 1.5)
+    assert row.whiffs_last10 is None and row.whiff_per_pitch_last10 is None
+    assert (row.strikeouts_stddev_last10, row.strikeouts_p25_last10) == (pytest.approx(statistics.pstdev([0, 1, 2])), 0.5)

@@ -26,3 +26,23 @@ def test_shared_folder_is_the_clusters_own():
 def test_materialize_round_trip(spark):
     df = session.materialize(spark.range(5), "numbers")
     assert df.count() == 5 and session.shared_folder(spark) in df.inputFiles()[0]
+
+
+def test_scratch_deletes_its_copies_and_no_others(spark):
+    kept = session.materialize(spark.range(3), "kept")
+    with session.scratch(spark):
+        inner = session.materialize(spark.range(5), "inner")
+        with session.scratch(spark):
+            innermost = session.materialize(inner, "innermost").inputFiles()[0]
+        assert inner.count() == 5 and not spark._jvm.java.io.File(innermost.removeprefix("file://")).exists()
+        gone = inner.inputFiles()[0]
+    assert not spark._jvm.java.io.File(gone.removeprefix("file://")).exists()
+    assert kept.count() == 3
+
+
+def test_scratch_deletes_after_an_error(spark):
+    with pytest.raises(ValueError):
+        with session.scratch(spark):
+            path = session.materialize(spark.range(5), "failed").inputFiles()[0]
+            raise ValueError
+    assert not spark._jvm.java.io.File(path.removeprefix("file://")).exists()
