@@ -59,41 +59,63 @@ def batting_group() -> Column:
     return F.when(_in_top_half(), F.col("away_team")).otherwise(F.col("home_team"))
 
 
-def _period_aggregates() -> list[Column]:
-    return [
+# What events are grouped by, here or later, besides the half of the inning.
+CELL_KEYS = PERIOD_KEYS + ("player_name", "home_team", "away_team", "p_throws", "batter")
+
+
+def event_cells(flagged: DataFrame, *, halves: bool = True) -> DataFrame:
+    """Events counted by all that the rollups group by. Text is a key here and every buffer
+    a number, so the map tasks hash the events and never sort them; what the rollups sort
+    is one row per batter an entity met in a period. With ``halves`` the sides are known."""
+    keys = CELL_KEYS + ("inning_topbot",) * halves
+    require_columns(
+        flagged, keys + ("pitch_type", "is_k", "is_whiff", "release_speed", "release_spin_rate"), "events"
+    )
+    velo, spin = nan_to_null(F.col("release_speed")), nan_to_null(F.col("release_spin_rate"))
+    return flagged.groupBy(*keys).agg(
         F.count("pitch_type").alias("pitches"),
         F.sum("is_k").cast("long").alias("strikeouts"),
         F.sum("is_whiff").cast("long").alias("whiffs"),
-        F.avg(nan_to_null(F.col("release_speed"))).alias("avg_velo"),
-        F.avg(nan_to_null(F.col("release_spin_rate"))).alias("avg_spin"),
-        F.count_distinct("batter").alias("batters_faced"),
-        F.min("home_team").alias("home_team"),
-        F.min("away_team").alias("away_team"),
-        F.min("p_throws").alias("p_throws"),
-    ]
+        F.sum(velo).alias("sum_velo"),
+        F.count(velo).alias("n_velo"),
+        F.sum(spin).alias("sum_spin"),
+        F.count(spin).alias("n_spin"),
+    )
 
 
-def entity_periods(flagged: DataFrame) -> DataFrame:
-    """One row per entity and period with its counts, means and whiff rate."""
-    require_columns(
-        flagged,
-        PERIOD_KEYS
-        + ("player_name", "pitch_type", "is_k", "is_whiff", "release_speed", "release_spin_rate", "batter")
-        + ("home_team", "away_team", "p_throws"),
-        "events",
-    )
+def _rolled_up(cells: DataFrame, *more: Column) -> DataFrame:
     keys = PERIOD_KEYS + ("player_name",)
-    periods = flagged.filter(_present(*keys)).groupBy(*keys).agg(*_period_aggregates())
+    periods = (
+        cells.filter(_present(*keys))
+        .groupBy(*keys)
+        .agg(
+            *[F.sum(c).alias(c) for c in ("pitches", "strikeouts", "whiffs")],
+            safe_ratio(F.sum("sum_velo"), F.sum("n_velo")).alias("avg_velo"),
+            safe_ratio(F.sum("sum_spin"), F.sum("n_spin")).alias("avg_spin"),
+            F.count_distinct("batter").alias("batters_faced"),
+            *[F.min(c).alias(c) for c in ("home_team", "away_team", "p_throws")],
+            *more,
+        )
+    )
     return periods.withColumn("whiff_per_pitch", safe_ratio(F.col("whiffs"), F.col("pitches")))
 
 
+def entity_periods(flagged: DataFrame) -> DataFrame:
+    """One row per entity and period with its counts, means and whiff rate."""
+    return _rolled_up(event_cells(flagged, halves=False))
+
+
 def fielding_lookup(events: DataFrame) -> DataFrame:
     """Fielding and opposing group of every entity-period."""
     require_columns(events, PERIOD_KEYS + ("home_team", "away_team", "inning_topbot"), "events")
+    sides = events.filter(_present(*PERIOD_KEYS)).select(
+        *PERIOD_KEYS, fielding_group().alias("pitching_team"), fielding_opponent().alias("opponent_team")
+    )
+    # Distinct first, which hashes; the text minima then see a row or two per period.
     return (
-        events.filter(_present(*PERIOD_KEYS))
+        sides.distinct()
         .groupBy(*PERIOD_KEYS)
-        .agg(F.min(fielding_group()).alias("pitching_team"), F.min(fielding_opponent()).alias("opponent_team"))
+        .agg(F.min("pitching_team").alias("pitching_team"), F.min("opponent_team").alias("opponent_team"))
     )
 
 
@@ -103,27 +125,26 @@ def add_group_info(periods: DataFrame, events: DataFrame) -> DataFrame:
     return periods.join(fielding_lookup(events), list(PERIOD_KEYS), "left")
 
 
-def entity_periods_with_groups(flagged: DataFrame) -> DataFrame:
-    """:func:`entity_periods` and :func:`add_group_info` in one pass over the events:
-    both group on the same keys, so the groups are two more aggregates, not a join."""
-    keys = PERIOD_KEYS + ("player_name",)
-    require_columns(flagged, keys + ("inning_topbot",), "events")
-    periods = (
-        flagged.filter(_present(*keys))
-        .groupBy(*keys)
-        .agg(
-            *_period_aggregates(),
-            F.min(fielding_group()).alias("pitching_team"),
-            F.min(fielding_opponent()).alias("opponent_team"),
-        )
+def periods_of_cells(cells: DataFrame) -> DataFrame:
+    """Entity-periods with their groups from :func:`event_cells`: both group on the same keys,
+    so the groups are two more aggregates, not a join."""
+    return _rolled_up(
+        cells,
+        F.min(fielding_group()).alias("pitching_team"),
+        F.min(fielding_opponent()).alias("opponent_team"),
     )
-    return periods.withColumn("whiff_per_pitch", safe_ratio(F.col("whiffs"), F.col("pitches")))
 
 
-def group_periods(flagged: DataFrame) -> DataFrame:
-    """One row per batting group and period: strikeouts, distinct batters, rate."""
+def entity_periods_with_groups(flagged: DataFrame) -> DataFrame:
+    """:func:`entity_periods` and :func:`add_group_info` in one pass over the events."""
+    return periods_of_cells(event_cells(flagged))
+
+
+def group_periods(flagged: DataFrame, *, strikeouts: str = "is_k") -> DataFrame:
+    """One row per batting group and period: strikeouts, distinct batters, rate. The rows are
+    events or, with their column of ``strikeouts``, :func:`event_cells`."""
     require_columns(
-        flagged, ("game_date", "game_pk", "inning_topbot", "away_team", "home_team", "is_k", "batter"), "events"
+        flagged, ("game_date", "game_pk", "inning_topbot", "away_team", "home_team", strikeouts, "batter"), "events"
     )
     keys = ("game_date", "game_pk", "batting_team")
     grouped = (
@@ -131,7 +152,7 @@ def group_periods(flagged: DataFrame) -> DataFrame:
         .filter(_present(*keys))
         .groupBy(*keys)
         .agg(
-            F.sum("is_k").cast("long").alias("team_batter_strikeouts"),
+            F.sum(strikeouts).cast("long").alias("team_batter_strikeouts"),
             F.count_distinct("batter").alias("batters_faced"),
         )
     )

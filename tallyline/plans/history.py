@@ -8,8 +8,9 @@ from tallyline.contracts import ContractError, check_contract, require_columns
 from tallyline.operators.rollup import (
     add_event_flags,
     add_opponent_form,
-    entity_periods_with_groups,
+    event_cells,
     group_periods,
+    periods_of_cells,
     require_one_name_per_period,
 )
 from tallyline.operators.trailing import (
@@ -27,19 +28,20 @@ def entity_history(
 ) -> DataFrame:
     """The complete history table.
 
-    The events are read twice with pruned columns, once per rollup, at every size. The
-    rollups, a small fraction of the events, are written once; checks, the search for hot
-    keys and the windows read those copies.
+    The events are read once, with pruned columns, at every size: hashed into cells, which
+    are written. Both rollups come from the cells and are written too; checks, the search
+    for hot keys and the windows read those copies.
     """
-    flagged = add_event_flags(events)
-    periods = materialize(entity_periods_with_groups(flagged), "periods")
+    cells = event_cells(add_event_flags(events)).filter("game_date is not null and game_pk is not null")
+    cells = materialize(cells, "cells")
+    periods = materialize(periods_of_cells(cells), "periods")
     if strict:
         if periods.isEmpty():
             raise ContractError("events hold no entity-periods")
         require_one_name_per_period(periods)
         check_contract(periods, HISTORY_CONTRACT, strict=False)
     # The windows come before the join: looking for hot keys then reads rollups only.
-    form = add_group_form(materialize(group_periods(flagged), "groups"), max_rows_per_task=max_rows_per_task)
+    form = add_group_form(materialize(group_periods(cells, strikeouts="strikeouts"), "groups"), max_rows_per_task=max_rows_per_task)
     history = add_entity_form(periods, max_rows_per_task=max_rows_per_task)
     history = add_rates(add_opponent_form(history, form))
     require_columns(history, MODEL_FEATURES, "entity_periods")
