@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyline import session
 from tallyline.contracts import contract_report
 from tallyline.functions.names import canonical_name, entity_name, quote_name, slate_name
 from tallyline.operators import backtest, evaluate, ledger, lines, market, model, picks, rollup, serving, slate, trailing
@@ -16,8 +17,11 @@ from tallyline.plans.slate import build_slate
 from tallyline.queries import inputs, tables
 from tallyline.schemas import MODEL_FEATURES, SLATE_CONTRACT
 from tallyline.session import materialize
+from tallyline.sources import paths
 from tallyline.sources.nested import flatten_quotes, flatten_schedule, market_documents
 from tallyline.sources.readers import events_between
+from tallyline.sources.snapshots import land_snapshots
+from tallyline.streaming import curation
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -277,6 +281,35 @@ def lines_curate(spark, sf):
     return _lines_output(lines.curate_lines(inputs.snapshots(spark, sf), strict=False))
 
 
+def _two_kinds(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """The raw snapshots as text under two headers: rows with a source, and rows without
+    that column whose other columns stand in another order."""
+    raw = tables.RAW_LINES.read(spark, sf)
+    text = raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns])
+    fewer = [c for c in reversed(raw.columns) if c != "source"]
+    return text.filter("source is not null"), text.filter("source is null").select(*fewer)
+
+
+@query
+def lines_landed(spark, sf):
+    """Files under two headers, landed twice: the second landing replaces the first."""
+    log, target = (session.new_folder(spark, label) for label in ("snapshots.csv", "landed"))
+    for kind, part in zip(("with_source", "without"), _two_kinds(spark, sf), strict=True):
+        part.write.option("header", True).csv(paths.join(log, kind))
+    land_snapshots(spark, log, target)
+    return _lines_output(lines.normalize_snapshots(land_snapshots(spark, log, target)))
+
+
+@query
+def lines_streamed(spark, sf):
+    """Snapshots that arrive in two drops, curated by a stream that is stopped in between."""
+    dropped, log, progress = (session.new_folder(spark, label) for label in ("dropped", "curated", "progress"))
+    for part in _two_kinds(spark, sf):
+        part.write.mode("append").parquet(dropped)
+        curation.curate_stream(curation.snapshot_stream(spark, dropped), log, progress).awaitTermination()
+    return _lines_output(curation.curated_from_log(spark, log))
+
+
 # ---- market ------------------------------------------------------------------------
 
 

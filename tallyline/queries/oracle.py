@@ -506,6 +506,8 @@ def statements() -> dict[str, str]:
         f"upper(home_team) AS home_team, upper(away_team) AS away_team) FROM ({scheduled})",
         "lines_normalize": _normalized(tables.DIRTY_LINES.sql()),
         "lines_curate": _sql("SELECT * FROM cur", "snap", "cur"),
+        "lines_landed": _sql("SELECT * FROM snap", "snap"),
+        "lines_streamed": _sql("SELECT * FROM cur", "snap", "cur"),
         "forecast_quote_join": _sql(
             "SELECT event_id, bookmaker, side, line, price, player_name_proj, player_name_odds, player_name_norm, "
             f"team, {_rounded('predicted_strikeouts', 'edge')} FROM joined", *JOINED,

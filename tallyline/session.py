@@ -60,16 +60,22 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[application]
 
 
+def new_folder(spark: SparkSession, label: str) -> str:
+    """A folder of a name not used before, in the shared one; :func:`scratch` deletes it."""
+    path = os.path.join(shared_folder(spark), f"{label}-{uuid.uuid4().hex}")
+    copies = _copies.get()
+    if copies is not None:
+        copies.append(path)
+    return path
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write a table that several jobs read and continue from the written copy.
 
     Unlike a cached table it survives lost executors, and unlike an RDD checkpoint
     later reads still prune columns and push filters."""
     spark = df.sparkSession
-    path = os.path.join(shared_folder(spark), f"{label}-{uuid.uuid4().hex}")
-    copies = _copies.get()
-    if copies is not None:
-        copies.append(path)
+    path = new_folder(spark, label)
     df.write.parquet(path)
     return spark.read.parquet(path)
 
