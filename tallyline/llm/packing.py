@@ -4,13 +4,15 @@ A document is its token ids and an end mark. One longer than a sequence is cut i
 sequences; what is left over is its first piece. Pieces are dealt out to as many tasks as
 their number asks for; each task packs its own by bounded-space best fit: the open bins
 are kept by free space, a bitset over the free spaces finds the fullest bin that still
-takes a piece, and when all bins are open the fullest closes. A task takes its pieces in
-decreasing length, so bins that close early have the least room to lose.
+takes a piece, and when all bins are open the fullest closes. A task that may keep a bin
+open for every piece closes none early and takes its pieces in decreasing length, which
+packs best. With fewer bins than that the long pieces would close theirs before the short
+ones come that fill them, so pieces come in a random order that can be repeated, by hash.
 
 Defined cases: a null or empty text is the end mark alone; texts of any length are packed
 whole; repeated rows are packed as often as they occur; an empty table gives no pieces;
-input columns other than the id and the text are ignored. Ties in length are broken by
-document, piece and content, so a repeated task packs alike.
+input columns other than the id and the text are ignored. Ties in length, or in hash, are
+broken by document, piece and content, so a repeated task packs alike.
 """
 
 from __future__ import annotations
@@ -32,9 +34,9 @@ from tallyline.llm.token_counts import byte_symbols
 from tallyline.session import materialize
 
 SEQUENCE = 2048
-# Bins a task keeps open, and pieces a task packs.
-OPEN_BINS = 16_384
+# Pieces a task packs, and bins it keeps open: as many, so none closes early.
 PIECES_PER_TASK = 100_000
+OPEN_BINS = PIECES_PER_TASK
 
 
 class DocumentTokens:
@@ -172,7 +174,9 @@ def pack(
     names = [c for c in items.columns if c.lower() not in {"sequence_id", "offset"}]
     items = materialize(items.select(*[column(c) for c in names]), "pieces")
     tasks = max(1, -(-items.count() // pieces_per_task))
-    dealt = items.repartition(tasks).sortWithinPartitions(column(length).desc(), *[column(c) for c in names])
+    by = [column(c) for c in names]
+    order = column(length).desc() if open_bins >= pieces_per_task else F.xxhash64(*by)
+    dealt = items.repartition(tasks).sortWithinPartitions(order, *by)
     numbered = dealt.withColumn("_task", F.spark_partition_id().cast("long"))
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in items.schema)
 

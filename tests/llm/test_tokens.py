@@ -132,6 +132,16 @@ def test_packing_over_many_tasks_and_few_bins(documents, library):
     assert used <= least * 1.3 + 6
 
 
+def test_more_bins_than_a_task_keeps_open(spark):
+    draw = random.Random(6)
+    rows = [(i, draw.randint(600, 1400)) for i in range(3000)]
+    packed = packing.pack(spark.createDataFrame(rows, "doc_id long, length int"), open_bins=490, pieces_per_task=3000)
+    used = packed.select("sequence_id").distinct().count()
+    # Taken by decreasing length, these pieces need 1.28 times the sequences of the token bound.
+    assert packed.count() == 3000 and used <= 1.06 * sum(n for _, n in rows) / packing.SEQUENCE
+    assert packing.OPEN_BINS >= packing.PIECES_PER_TASK
+
+
 def test_open_bins_close_the_fullest():
     bins = packing.OpenBins(10, 2)
     assert bins.put(7) == (0, 0)
