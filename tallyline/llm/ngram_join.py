@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.llm import set_join
-from tallyline.llm.arrow import column, rows_of
+from tallyline.llm.arrow import add_columns, column, rows_of
 from tallyline.llm.components import components
 from tallyline.session import materialize
 
@@ -197,6 +197,13 @@ def _lengthened_by(n: Column, percent: int) -> Column:
 # ---- the join ----------------------------------------------------------------------
 
 
+def _signatures(sets: list[np.ndarray]) -> dict[str, list[int]]:
+    return {
+        "s1": [_signature(s, 0x5851F42D4C957F2D) for s in sets],
+        "s2": [_signature(s, 0x14057B7EF767814F) for s in sets],
+    }
+
+
 def _measured(rows: DataFrame, size: int, percent: int) -> DataFrame:
     """Rows (row, key, n, s1, s2, sample): size and signature of every shingle set, and its
     lengthened prefix in the order of hashes."""
@@ -209,8 +216,7 @@ def _measured(rows: DataFrame, size: int, percent: int) -> DataFrame:
                     "row": batch.column(0),
                     "key": batch.column(1),
                     "n": [len(s) for s in sets],
-                    "s1": [_signature(s, 0x5851F42D4C957F2D) for s in sets],
-                    "s2": [_signature(s, 0x14057B7EF767814F) for s in sets],
+                    **_signatures(sets),
                     "sample": _lists([s[:end] for s, end in zip(sets, ends, strict=True)]),
                 }
 
@@ -242,11 +248,7 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     def prepare():
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             for batch, sets in shingle_sets(batches, size):
-                yield {
-                    "s1": [_signature(s, 0x5851F42D4C957F2D) for s in sets],
-                    "s2": [_signature(s, 0x14057B7EF767814F) for s in sets],
-                    "tokens": _lists(sets),
-                }
+                yield _signatures(sets) | {"tokens": _lists(sets)}
 
         return work
 
@@ -273,11 +275,9 @@ def _links(whole: DataFrame, percent: int) -> DataFrame:
     return set_join.connecting_links(members, percent, lambda pairs: set_join.verified(pairs, sets, linked))
 
 
-def similarity_components(
-    docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT
-) -> DataFrame:
-    """One row per document: the key (a long), n_shingles and component_id, the smallest
-    key that links lead to."""
+def _grouped(docs: DataFrame, *, key: str, text: str, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The sets of all rows, and rows (s1, s2, key, component): the smallest key of every
+    class and the component it is in."""
     narrow = docs.select(column(key).cast("long").alias("key"), column(text).alias("text"))
     numbered = narrow.select(F.monotonically_increasing_id().alias("row"), "key", "text")
     sets = materialize(_measured(numbered, words, percent), "sets")
@@ -288,7 +288,15 @@ def similarity_components(
     whole = materialize(_whole_sets(narrow, wanted, words), "whole")
     linked = components(_links(whole, percent)).withColumnRenamed("node", "cid")
     grouped = classes.join(linked, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
-    grouped = materialize(grouped.select("s1", "s2", "key", "component"), "grouped")
+    return sets, materialize(grouped.select("s1", "s2", "key", "component"), "grouped")
+
+
+def similarity_components(
+    docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT
+) -> DataFrame:
+    """One row per document: the key (a long), n_shingles and component_id, the smallest
+    key that links lead to."""
+    sets, grouped = _grouped(docs, key=key, text=text, words=words, percent=percent)
     least = materialize(grouped.groupBy("component").agg(F.min("key").alias("component_id")), "least")
     named = materialize(grouped.join(least, "component").select("s1", "s2", "component_id"), "named")
     placed = sets.select("key", "n", "s1", "s2").join(named, ["s1", "s2"], "left")
@@ -296,10 +304,41 @@ def similarity_components(
     return placed.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, *, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` whose key names their component, one row for a key; rows without
-    a key stay. The columns are those of ``docs``."""
-    placed = similarity_components(docs, key=key, text=text, **options)
-    first = placed.filter(column(key) == F.col("component_id")).select(column(key).alias("_kept")).distinct()
-    kept = docs.join(first, column(key) == F.col("_kept"), "left_semi").dropDuplicates([key])
-    return kept.unionByName(docs.filter(column(key).isNull()))
+def one_of_each(
+    docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT
+) -> DataFrame:
+    """One row of ``docs`` for each component, of the smallest key and there of the smallest
+    signature; a key whose rows have different texts may keep several. Of the rows of a key
+    without words one stays; rows without a key all stay. The columns are those of ``docs``."""
+    sets, grouped = _grouped(docs, key=key, text=text, words=words, percent=percent)
+    first = grouped.groupBy("component").agg(F.min(F.struct("key", "s1", "s2")).alias("first")).select("first.*")
+    empty = sets.filter("key is not null and n = 0").select("key", "s1", "s2").distinct()
+    first = materialize(first.unionByName(empty), "first")
+    # Only where a key has rows of several classes does the key not name the row.
+    differ = (F.min("s1") != F.max("s1")) | (F.min("s2") != F.max("s2"))
+    several = sets.filter("key is not null").groupBy("key").agg(differ.alias("differ")).filter("differ").select("key")
+    several = materialize(several.join(first.select("key").distinct(), "key", "left_semi"), "several")
+    plain = first.join(several, "key", "left_anti").select(F.col("key").alias("_kept"))
+    by_key = docs.join(plain, column(key) == F.col("_kept"), "left_semi").dropDuplicates([key])
+    kept = by_key.unionByName(docs.filter(column(key).isNull()))
+    n = several.count()
+    if not n:
+        return kept
+    # A checked size is sent to all, as in _whole_sets.
+    names = several.withColumnRenamed("key", "_kept")
+    names = F.broadcast(names) if n <= MOST_BROADCAST else names
+    rows = docs.join(names, column(key) == F.col("_kept"), "left_semi")
+
+    def prepare():
+        def work(values: pa.Array) -> list:
+            batch = pa.RecordBatch.from_arrays([values], ["text"])
+            found = [s for _, sets in shingle_sets(iter([batch]), words) for s in sets]
+            return list(_signatures(found).values())
+
+        return work
+
+    signed = add_columns(rows, [text], prepare, "_s1 long, _s2 long")
+    wanted = first.select(F.col("key").alias("_kept"), F.col("s1").alias("_k1"), F.col("s2").alias("_k2"))
+    same = (column(key) == F.col("_kept")) & (F.col("_s1") == F.col("_k1")) & (F.col("_s2") == F.col("_k2"))
+    found = signed.join(wanted, same, "left_semi").dropDuplicates([key, "_s1", "_s2"])
+    return kept.unionByName(found.select(*map(column, docs.columns)))

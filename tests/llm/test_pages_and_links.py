@@ -181,6 +181,18 @@ def test_one_of_each(documents):
     assert sorted(r["doc_id"] for r in kept.collect()) == [3, 7, 9] and kept.columns == docs.columns
 
 
+def test_one_of_each_keeps_different_texts_of_a_key(documents):
+    draw = random.Random(5)
+    a, b, c, d = (" ".join(f"w{draw.randint(0, 9999)}" for _ in range(60)) for _ in range(4))
+    # b stands under 1 and, nearly, under 2; c only beside a copy of a; None beside d.
+    rows = [(1, a), (1, b), (1, b), (2, b + " x"), (4, a + " x"), (4, c), (6, d), (6, None), (6, "")]
+    rows += [(7, f"{word} {word}s") for word in ("one", "two", "three")] + [(None, a), (None, a)]
+    kept = ngram_join.one_of_each(documents(*rows), words=5, percent=80).collect()
+    found = sorted(((r["doc_id"], r["text"] or None) for r in kept), key=str)
+    want = [(1, a), (1, b), (4, c), (6, d), (6, None), *rows[9:]]
+    assert found == sorted(want, key=str)
+
+
 def test_word_hashes_do_not_depend_on_blocks(monkeypatch):
     text = ("alpha  beta\tgamma " * 9 + "x" * 50 + " end").encode()
     raw = np.frombuffer(text, dtype=np.uint8)
