@@ -169,24 +169,32 @@ def nearest(found: np.ndarray, profiles: Profiles) -> tuple[str, float]:
     return profiles.languages[best], float((second - apart[best]) / second) if second else 0.0
 
 
-def with_language(docs: DataFrame, profiles: Profiles, *, text: str = "text") -> DataFrame:
+def with_language(
+    docs: DataFrame, profiles: Profiles, *, text: str = "text", in_profile: str | None = None
+) -> DataFrame:
     """``docs`` with lang_pred and score (0: two languages are equally near, towards 1: one
-    is far nearer than any other)."""
+    is far nearer than any other); if asked for, a column named ``in_profile`` says whether
+    any n-gram of the text lies in a profile."""
 
     def prepare():
         grams = Grams()
 
-        def one(t: str) -> tuple[str, float]:
+        def one(t: str) -> tuple[str, float, bool]:
             found = grams.of(t) if profiles.languages else None
-            return (UNKNOWN, 0.0) if found is None else nearest(found, profiles)
+            if found is None:
+                return UNKNOWN, 0.0, False
+            language, score = nearest(found, profiles)
+            # A text that no profile knows is equally far from all.
+            return language, score, score > 0 or bool(np.isin(found, profiles.codes).any())
 
         def work(values: pa.Array) -> list:
             predicted = [one(t) for t in texts(values)]
-            return [[p[0] for p in predicted], [p[1] for p in predicted]]
+            return [[p[i] for p in predicted] for i in range(3 if in_profile else 2)]
 
         return work
 
-    return add_columns(docs, [text], prepare, "lang_pred string, score double")
+    ddl = "lang_pred string, score double" + (f", {in_profile} boolean" if in_profile else "")
+    return add_columns(docs, [text], prepare, ddl)
 
 
 def fold_of(key: str, folds: int) -> Column:

@@ -220,6 +220,15 @@ def test_pipeline(spark):
     assert sum(r["length"] for r in rows) == packing.pieces(docs).agg(F.sum("length")).first()[0]
 
 
+def test_language_stage_rejects_what_no_profile_knows(spark, documents):
+    small = "/root/testdata/sf0.001"
+    docs = queries.table(spark, small, "documents").select(*corpus_pipeline.DOCUMENTS)
+    odd = documents((-1, "東京 大阪 京都", None), (-2, "12 !! 34", None), (-3, "the house", None)).select(*docs.columns)
+    before = {r["doc_id"] for r in docs.select("doc_id").collect()}
+    kept = corpus_pipeline.language(spark, docs.unionByName(odd), small)
+    assert {r["doc_id"] for r in kept.collect()} == before | {-3}
+
+
 def test_queries_are_registered():
     names = list(queries.registered())
     assert len(names) == 10 and all(n.startswith(f"op{i}_") for i, n in enumerate(names, 1))
