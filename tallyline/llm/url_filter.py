@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from itertools import count
 from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame
@@ -27,7 +28,10 @@ from tallyline.llm.arrow import column
 from tallyline.session import materialize
 
 ALLOW, BLOCK = "allow", "block"
-DAMPING, ROUNDS, ROUNDS_PER_JOB = 0.85, 20, 5
+DAMPING, ROUNDS_PER_JOB = 0.85, 5
+# Ranks are settled when none changes by a larger share within a job; smaller ones than the
+# least come near the end of what a double can hold and count as none.
+TOLERANCE, LEAST_RANK = 1e-6, 1e-300
 # Share of trust in trust and distrust under which a host is blocked.
 LEAST_TRUST = 0.5
 
@@ -106,22 +110,43 @@ def host_edges(hosted: DataFrame, *, html: str = "html") -> DataFrame:
     return both.groupBy("src", "dst").agg(F.sum("n").alias("n"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, *, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def _settled(ranks: DataFrame, before: DataFrame, tolerance: float) -> bool:
+    """Whether no host is new and no rank has changed by a larger share than ``tolerance``."""
+    old = before.withColumnRenamed("rank", "_before")
+    share = F.coalesce(F.abs(F.col("rank") - F.col("_before")) / F.col("rank"), F.lit(1.0))
+    most = ranks.join(old, ["kind", "host"], "left").agg(F.max(share)).first()[0]
+    return most is None or most <= tolerance
+
+
+def propagate(
+    edges: DataFrame,
+    seeds: DataFrame,
+    *,
+    damping: float = DAMPING,
+    rounds: int | None = None,
+    tolerance: float = TOLERANCE,
+) -> DataFrame:
     """Rows (kind, host, rank) of personalised PageRank for every kind of ``seeds`` (kind,
     host, share; all shares add up to 1, so that kinds can be compared). ``edges`` are (kind, src, dst, share)
     with shares that add up to 1 per kind and src. What reaches a host without links ends
     there. Ranks are written every few rounds, which keeps plans short and survives the
-    loss of executors."""
+    loss of executors. Without a number of ``rounds`` they go on until no host is new and no
+    rank changes by a larger share than ``tolerance``: a threshold on the share of trust
+    decides by ranks however small."""
     flows = edges.select(F.col("kind").alias("of"), "src", "dst", "share")
     start = seeds.select("kind", "host", (F.col("share") * (1 - damping)).alias("rank"))
     ranks = seeds.select("kind", "host", F.col("share").alias("rank"))
-    for done in range(1, rounds + 1):
+    before = ranks
+    for done in count(1) if rounds is None else range(1, rounds + 1):
         passed = ranks.join(flows, (F.col("host") == F.col("src")) & (F.col("kind") == F.col("of"))).select(
             F.col("of").alias("kind"), F.col("dst").alias("host"), (F.col("rank") * F.col("share") * damping).alias("rank")
         )
         ranks = passed.unionByName(start).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
         if done % ROUNDS_PER_JOB == 0 or done == rounds:
-            ranks = materialize(ranks, "ranks")
+            ranks = materialize(ranks.filter(F.col("rank") >= LEAST_RANK), "ranks")
+            if rounds is None and _settled(ranks, before, tolerance):
+                break
+            before = ranks
     return ranks
 
 

@@ -66,6 +66,26 @@ def test_links_carry_distrust(spark):
     assert found == {1: "block", 2: "block", 3: "allow", 4: "allow"}
 
 
+def test_distrust_reaches_the_end_of_a_chain(spark):
+    # Each host links to the one before it, the first to a blocked page.
+    rows = [(0, "http://h0.com/de/1", None)]
+    rows += [(i, f"http://h{i}.com/x", f"<a href='http://h{i - 1}.com/'>x</a>") for i in range(1, 31)]
+    rows.append((99, "http://alone.net/x", None))
+    found = {r["page_id"]: r["verdict"] for r in url_filter.judge(spark.createDataFrame(rows, PAGES), queries.RULES).collect()}
+    assert found == {i: "block" for i in range(31)} | {99: "allow"}
+
+
+def test_ranks_settle(spark):
+    edges = [("t", "a", "b", 1.0), ("t", "b", "a", 0.5), ("t", "b", "c", 0.5)]
+    got = url_filter.propagate(
+        spark.createDataFrame(edges, "kind string, src string, dst string, share double"),
+        spark.createDataFrame([("t", "a", 1.0)], "kind string, host string, share double"),
+    ).collect()
+    flow = np.array([[0, 0.5, 0], [1, 0, 0], [0, 0.5, 0]])
+    exact = np.linalg.solve(np.eye(3) - 0.85 * flow, [0.15, 0, 0])
+    assert np.allclose([r["rank"] for r in sorted(got, key=lambda r: r["host"])], exact, rtol=1e-5)
+
+
 def test_main_text(spark):
     body = "<p>The first   paragraph\n is here &amp; long enough.</p><p><b>Second one follows.<br><p>Third &eacute;nd."
     page = (
