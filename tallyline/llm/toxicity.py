@@ -39,7 +39,7 @@ MAX_TERMS = 2_000
 LEAST_TOXIC, CANDIDATES_PER_TERM = 4, 10
 # Lengths of stems, and from which length on a word may hold one or two misprints.
 STEMS = (4, 5, 6, 7)
-ONE_EDIT, TWO_EDITS = 5, 8
+ONE_EDIT, TWO_EDITS = 4, 8
 REMEMBERED_WORDS = 600_000
 TERMS_HELD = 400_000
 # Words before a hit among which a reporting verb makes it a quotation.
@@ -148,7 +148,8 @@ def shortened(word: str, letters: int) -> set[str]:
 @dataclass(frozen=True)
 class Lexicon:
     """``words`` match whole, misspelled too, but for the ``known`` words near them;
-    ``stems`` match the beginnings of words."""
+    ``stems`` match the beginnings of words. Words that a stem covers are among ``words``
+    for the sake of their misspellings."""
 
     words: tuple[str, ...] = ()
     stems: tuple[str, ...] = ()
@@ -162,10 +163,11 @@ class Matcher:
         self.words, self.stems = frozenset(lexicon.words), frozenset(lexicon.stems)
         self.known = frozenset(lexicon.known)
         self.stem_lengths = sorted({len(s) for s in self.stems})
-        self.trie = Trie()
+        # By allowed edits, so that a nearer term with fewer of them hides no other.
+        self.tries: dict[int, Trie] = {}
         near = [w for w in lexicon.words if allowed_edits(w)]
         for word in near:
-            self.trie.add(word)
+            self.tries.setdefault(allowed_edits(word), Trie()).add(word)
         self.sizes = np.array([len(w) for w in near], dtype=np.int64)
         self.sets = np.array([_letter_set(w) for w in near], dtype=np.uint64)
         self.shortened = set().union(*(shortened(w, allowed_edits(w)) for w in near))
@@ -201,8 +203,7 @@ class Matcher:
                 word = doubtful[at + i]
                 if self.shortened.isdisjoint(shortened(word, 2 if len(word) >= TWO_EDITS - 2 else 1)):
                     continue
-                found = Automaton(word, 2).nearest(self.trie)
-                if found and found[0] <= allowed_edits(found[1]):
+                if any(Automaton(word, edits).nearest(trie) for edits, trie in self.tries.items()):
                     self.hits[word] = 2
 
     def features(self, text: str) -> tuple[int, int, int, int]:
@@ -307,8 +308,9 @@ def learn_lexicon(
 ) -> Lexicon:
     """Terms that chance would not put into so many toxic texts even once among all terms
     tried, counting only different contexts. Of a stem and the words it covers, the one with
-    more evidence stays, the word if they are equal. Words near a term that clean texts use
-    as often as toxic ones are known words, no misspellings."""
+    more evidence is the term, the word if they are equal; covered words of enough toxic
+    texts stay beside their stem, to be found misspelled. Words near a term that clean texts
+    use as often as toxic ones are known words, no misspellings."""
     counts = materialize(term_counts(labelled, text=text, label=label), "terms")
     whole = counts.filter("term = ''").first()
     if whole is None or not whole["toxic"] or not whole["clean"]:
@@ -345,10 +347,21 @@ def learn_lexicon(
             stems.append(bare)
         elif not is_stem and not covered:
             words.append(term)
-    lexicon = Lexicon(tuple(words), tuple(stems))
+    covered_words = _covered_words(counts, stems, min_precision, max_terms * CANDIDATES_PER_TERM)
+    lexicon = Lexicon(tuple(dict.fromkeys([*words, *covered_words])), tuple(stems))
     return replace(lexicon, known=_known_words(counts, lexicon, max_terms * CANDIDATES_PER_TERM))
 
 
+def _covered_words(counts: DataFrame, stems: list[str], min_precision: float, most: int) -> list[str]:
+    """The words of most toxic texts that begin with a stem."""
+    begins = F.lit(False)
+    for n in sorted({len(s) for s in stems}):
+        begins |= F.substring("term", 1, n).isin([s for s in stems if len(s) == n])
+    enough = (F.col("toxic") >= LEAST_TOXIC) & (F.col("toxic") >= min_precision * (F.col("toxic") + F.col("clean")))
+    found = counts.filter("not endswith(term, '*')").filter(begins & enough)
+    return [r["term"] for r in found.orderBy(F.desc("toxic"), "term").limit(most).collect()]
+
+
 def _known_words(counts: DataFrame, lexicon: Lexicon, most: int) -> tuple[str, ...]:
     """The most frequent words of clean texts that would pass for misspelled terms."""
 

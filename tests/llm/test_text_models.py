@@ -142,6 +142,33 @@ def test_toxicity_is_learnt(spark, documents):
     assert all(v[0] == 0 and 0 <= v[1] <= 1 for v in none.values())
 
 
+def test_short_terms_are_found_misspelled():
+    matcher = toxicity.Matcher(toxicity.Lexicon(("abcd", "oaf", "grumbling"), (), ("abcx",)))
+    words = ["abcd", "bacd", "abd", "abcdd", "abce", "abcx", "xbcx", "ab", "oa", "grmbing"]
+    matcher.learn(words)
+    assert [matcher.hits.get(w, 0) for w in words] == [1, 2, 2, 2, 2, 0, 0, 0, 0, 2]
+    # Two edits from either term, but only the longer one allows two.
+    matcher = toxicity.Matcher(toxicity.Lexicon(("abcd", "abcdefgh")))
+    matcher.learn(["abcdef"])
+    assert matcher.hits == {"abcdef": 2}
+
+
+def test_misspelled_inflections_and_short_terms_are_learnt(spark, documents):
+    draw = random.Random(9)
+    rows, labels = [], []
+    for i in range(240):
+        words = [f"{draw.choice('bcdfg')}{draw.choice('aeiou')}{draw.randint(0, 400)}" for _ in range(30)]
+        if i % 4 == 0:
+            words[draw.randint(2, 29)] = "scum" if i % 8 else "grumbl" + draw.choice(["ing", "ed", "er", "s"])
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(i % 4 == 0)))
+    tests = ["you gurmbling man", "a grmubler she is", "you scmu there", "the scm of them", "calm water there"]
+    docs = documents(*rows, *enumerate(tests, 1000))
+    found = by_id(toxicity.with_toxicity(docs, spark.createDataFrame(labels, "doc_id long, toxic int")), "predicted")
+    assert [found[1000 + i] for i in range(len(tests))] == [1, 1, 1, 1, 0]
+    assert [found[i] for i, _ in labels] == [y for _, y in labels]
+
+
 @pytest.mark.parametrize("cells", [[], [((0, 0, 0, 0), 0, 5)], [((0, 0, 0, 0), 5, 5)]])
 def test_weights_of_degenerate_labels(cells):
     assert np.isfinite(toxicity.learn_weights(cells).bias)
