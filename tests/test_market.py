@@ -1,3 +1,5 @@
+import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,48 +17,64 @@ LINE_DDL = (
 )
 
 
-def snapshot(**over):
+DAY = datetime.date(2033, 9, 3)
+START = datetime.datetime(2033, 9, 3, 17, 25)
+
+
+def snapshot(minutes, **over):
+    """A snapshot pulled so many minutes after the start of its game."""
     row = dict(
-        game_date="2031-05-14", player_name="Ana McVale", market_key="pitcher_strikeouts", bookmaker="DraftKings",
-        bookmaker_key="draftkings", side="Over", line="6.5", price="-120", event_id="game-77",
-        commence_time="2031-05-14T23:10:00Z", pulled_at="2031-05-14T22:00:00Z",
+        game_date=str(DAY), player_name="Ida Fenn", market_key="pitcher_strikeouts", bookmaker="Northbook",
+        bookmaker_key="north", side="Over", line="3.5", price="140", event_id="match-4",
+        commence_time=f"{START.isoformat()}Z", pulled_at=f"{(START + datetime.timedelta(minutes=minutes)).isoformat()}Z",
     )
     row.update(over)
     return row
 
 
+def with_line(minutes, line, **over):
+    return snapshot(minutes, line=str(line), **over)
+
+
+# One participant for each rule of the choice; the winner of each is the row marked.
 SNAPSHOTS = [
-    snapshot(),
-    snapshot(player_name="Ana Mcvale", line="7.0", price="-110", pulled_at="2031-05-14T22:30:00Z"),
-    snapshot(line="7.5", price="100", pulled_at="2031-05-14T23:30:00Z"),
-    snapshot(player_name="Olu Brandt", bookmaker="FanDuel", side="Under", line="6.0", price="105",
-             commence_time="2031-05-14T23:40:00Z", pulled_at="2031-05-14T22:45:00Z"),
-    snapshot(player_name="Olu Brandt", market_key="batter_hits", bookmaker="FanDuel"),
+    with_line(-95, 3.5),
+    with_line(-20, 4.0, player_name=" IDA FENN"),
+    with_line(0, 8.5, player_name="Ida FENN"),  # at the start still counts as before it
+    with_line(1, 9.5),
+    with_line(5, 2.5, player_name="Rui Sato", side="Under"),
+    with_line(50, 1.5, player_name="Rui Sato", side="Under"),  # only later rows: the latest
+    with_line(-8, 11.0, player_name="Lev Ohm", snapshot_rank="2"),  # a tie in time: the higher rank
+    with_line(-8, 12.0, player_name="Lev Ohm", snapshot_rank="1"),
+    with_line(-3, 13.5, player_name="Lev Ohm", market_key="outs"),
+    with_line(-3, 14.5, player_name="Lev Ohm", bookmaker="Southbook"),  # another book is another key
 ]
 
 
-def test_curation_golden(frame):
-    got = lines.curate_lines(lines.normalize_snapshots(frame(SNAPSHOTS, LINE_DDL))).orderBy("player_name_norm").collect()
-    assert [(r.player_name_norm, r.line, r.is_closing_line) for r in got] == [
-        ("ana mcvale", 7.0, True), ("olu brandt", 6.0, True),
+def test_curation_follows_its_rules(frame):
+    curated = lines.curate_lines(lines.normalize_snapshots(frame(SNAPSHOTS, LINE_DDL)))
+    got = curated.orderBy("player_name_norm", "bookmaker").collect()
+    assert [(r.player_name_norm, r.bookmaker, r.line, r.is_closing_line) for r in got] == [
+        ("ida fenn", "Northbook", 8.5, True),
+        ("lev ohm", "Northbook", 11.0, True),
+        ("lev ohm", "Southbook", 14.5, True),
+        ("rui sato", "Northbook", 1.5, False),
     ]
-    assert got[0].selection_rule == lines.SELECTION_RULE and got[0].source == lines.LINE_SOURCE
+    assert {(r.selection_rule, r.source) for r in got} == {(lines.SELECTION_RULE, lines.LINE_SOURCE)}
 
 
-def test_curation_in_steps_and_after_start(frame):
-    late = [snapshot(pulled_at=f"2031-05-15T0{i}:00:00Z", line=str(i)) for i in range(3)]
-    got = lines.curate_lines(lines.normalize_snapshots(frame(late, LINE_DDL))).collect()
-    assert [(r.line, r.is_closing_line) for r in got] == [(2.0, False)]
-    snapshots = lines.normalize_snapshots(frame(SNAPSHOTS + late, LINE_DDL))
-    whole = lines.curate_lines(snapshots)
-    first = lines.curate_lines(snapshots.filter("line < 6.9"))
-    stepwise = lines.curate_lines(first.unionByName(snapshots.filter("line >= 6.9")))
-    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, stepwise.collect()))
+def test_curation_in_steps(frame):
+    snapshots = lines.normalize_snapshots(frame(SNAPSHOTS, LINE_DDL))
+    whole = sorted(map(tuple, lines.curate_lines(snapshots).collect()))
+    for cut in (2.0, 8.0, 11.5, 14.0):
+        first = lines.curate_lines(snapshots.filter(F.col("line") < cut))
+        stepwise = lines.curate_lines(first.unionByName(snapshots.filter(F.col("line") >= cut)))
+        assert sorted(map(tuple, stepwise.collect())) == whole
 
 
 def test_curation_rejects_missing_prices(frame):
     with pytest.raises(ContractError):
-        lines.curate_lines(lines.normalize_snapshots(frame([snapshot(price="EVEN")], LINE_DDL)))
+        lines.curate_lines(lines.normalize_snapshots(frame([snapshot(-1, price="EVEN")], LINE_DDL)))
 
 
 def quote(name, predicted, side, line, price, book="DK", actual=None):
@@ -67,7 +85,8 @@ def quote(name, predicted, side, line, price, book="DK", actual=None):
 
 
 def only(frame, rows, **options):
-    return picks.daily_picks(frame(rows, JOINED_DDL), **options).collect()
+    policy = options.get("policy", picks.DEFAULT_POLICY)
+    return picks.daily_picks(frame(rows, JOINED_DDL), **options).orderBy(*policy.order()).collect()
 
 
 def test_best_quotes_per_side(frame):
@@ -158,26 +177,30 @@ def test_best_over_takes_first_known_value_per_column(frame):
     ]
 
 
-def test_backtest_golden(frame):
+def test_backtest_counts_each_outcome(frame):
+    """(forecast, side, line, price, book, realized): a win on either side, a loss on either
+    side, a push, and a row without outcome; "Cleared" has a worse line at another book."""
     rows = [
-        quote("Far Above", 7.2, "Over", 6.0, -110.0, "DraftKings", 8.0),
-        quote("Far Above", 7.2, "Over", 6.5, 105.0, "FanDuel", 8.0),
-        quote("Bit Below", 5.0, "Under", 5.5, -115.0, "Caesars", 4.0),
-        quote("Near Line", 4.7, "Over", 4.5, -110.0, "BetMGM", 3.0),
-        quote("Not Played", 4.7, "Over", 4.5, -110.0, "BetMGM", None),
+        quote("Cleared", 9.1, "Over", 8.0, 130.0, "Northbook", 11.0),
+        quote("Cleared", 9.1, "Over", 8.5, 155.0, "Southbook", 11.0),
+        quote("Ducked", 1.9, "under", 3.0, 170.0, "Eastbook", 0.0),
+        quote("Level", 3.45, "Under ", 4.0, -140.0, "Southbook", 4.0),
+        quote("Missed", 7.3, "over", 7.0, -105.0, "Northbook", 2.0),
+        quote("Sank", 6.55, "UNDER", 7.5, -180.0, "Eastbook", 10.0),
+        quote("Scratched", 5.2, "over", 4.2, -130.0, "Northbook", None),
     ]
     joined = frame(rows, JOINED_DDL)
     graded = backtest.run_backtest(joined)
     summary = {(r.grouping, r.group_value): r for r in backtest.summarize_backtest(graded).collect()}
     overall = summary["overall", None]
-    assert (overall.picks, overall.wins, overall.losses, overall.decisions) == (3, 2, 1, 3)
-    assert overall.profit_units == pytest.approx(100 / 110 + 100 / 115 - 1)
-    assert {v for g, v in summary if g == "by_line_band"} == {"<=4.5", "4.5-5.5", "5.5-6.5"}
-    assert {v for g, v in summary if g == "by_book"} == {"DraftKings", "Caesars", "BetMGM"}
-    one = {r.pick_type: r.wins for r in backtest.summarize_one(graded, "pick_type").collect()}
-    assert one == {"official": 1, "lean": 1, "pass": 0}
+    assert (overall.picks, overall.wins, overall.losses, overall.pushes, overall.decisions) == (5, 2, 2, 1, 4)
+    assert overall.profit_units == pytest.approx(1.3 + 1.7 - 2) and overall.win_rate == 0.5
+    assert {v: r.picks for (g, v), r in summary.items() if g == "by_line_band"} == {"<=4.5": 2, "6.5-7.5": 2, "7.5+": 1}
+    assert {v: r.picks for (g, v), r in summary.items() if g == "by_book"} == {"Northbook": 2, "Southbook": 1, "Eastbook": 2}
+    one = {r.pick_type: (r.wins, r.losses) for r in backtest.summarize_one(graded, "pick_type").collect()}
+    assert one == {"official": (2, 1), "lean": (0, 0), "pass": (0, 1)}
     status = backtest.backtest_status(joined, graded).first()
-    assert (status.available, status.reason, status.graded_pick_rows) == (True, None, 3)
+    assert (status.available, status.reason, status.graded_pick_rows) == (True, None, 5)
 
 
 def test_a_missing_group_value_is_a_group_of_its_own(frame):
@@ -190,16 +213,33 @@ def test_a_missing_group_value_is_a_group_of_its_own(frame):
 def test_historical_backtest(frame):
     forecasts = frame(
         [
-            dict(game_date="2031-05-14", player_name="Ana McVale", predicted_strikeouts=8.2, actual_strikeouts=9.0),
-            dict(game_date="2031-05-14", player_name="Olu Brandt", predicted_strikeouts=5.0, actual_strikeouts=4.0),
+            dict(game_date=str(DAY), player_name="Ida Fenn", predicted_strikeouts=10.2, actual_strikeouts=12.0),
+            dict(game_date=str(DAY), player_name="Rui Sato", predicted_strikeouts=0.4, actual_strikeouts=3.0),
         ],
         FORECAST_DDL,
     )
     curated = lines.curate_lines(lines.normalize_snapshots(frame(SNAPSHOTS, LINE_DDL)))
     result = historical_backtest(forecasts, curated)
     overall = result.summary.filter("grouping = 'overall'").first()
-    assert (overall.picks, overall.wins) == (2, 2)
-    none = historical_backtest(forecasts.withColumn("game_date", F.lit("2031-05-15")), curated)
+    assert (overall.picks, overall.wins, overall.losses) == (2, 1, 1)
+    none = historical_backtest(forecasts.withColumn("game_date", F.lit("2033-09-04")), curated)
     status = none.status.first()
     assert (status.available, status.reason) == (False, backtest.NO_LINES)
     assert none.summary.count() == 0
+
+
+def test_names_meet_by_collation(frame):
+    forecasts = frame(
+        [dict(player_name=n, predicted_strikeouts=5.0, game_date="x") for n in ("José Núñez", "Ana  Li", " ", None, "Zoë")],
+        FORECAST_DDL,
+    )
+    quotes = frame(
+        [dict(player_name=n, bookmaker="B", side="Over", line=3.5, price=1.0) for n in ("JOSE NUNEZ", "Jose Nuñez ", "", None, "zoe", "Zo")],
+        "player_name string, bookmaker string, side string, line double, price double",
+    )
+    joined = market.join_quotes_by_collation(forecasts, quotes)
+    assert sorted((r.player_name_proj, r.player_name_odds, r.edge) for r in joined.collect()) == [
+        ("José Núñez", "JOSE NUNEZ", 1.5), ("José Núñez", "Jose Nuñez ", 1.5), ("Zoë", "zoe", 1.5),
+    ]
+    plan = joined._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "translate" not in plan

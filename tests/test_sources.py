@@ -7,20 +7,26 @@ from tallyline.contracts import ContractError, check_contract, contract_report
 from tallyline.operators.lines import curate_lines, normalize_snapshots
 from tallyline.plans.lines import curated_lines_from, lines_root, publish_lines
 from tallyline.schemas import CURATED_LINE, EVENT, HISTORY_CONTRACT, QUOTE, SLATE, Contract
-from tallyline.sources import nested, paths, publish, readers, snapshots
+from tallyline.sources import nested, publish, readers, snapshots, versions
 from tallyline.streaming.curation import curate_stream, curated_from_log, snapshot_stream
 
 HEADER = "game_date,player_name,market_key,bookmaker,side,line,price,commence_time,pulled_at"
 LONG = "source," + HEADER
-FIRST = "2031-05-14,Ana McVale,pitcher_strikeouts,DK,Over,6.5,-120,2031-05-14T23:10:00Z,2031-05-14T22:00:00Z"
-SECOND = "feed,2031-05-14,Ana Mcvale,pitcher_strikeouts,DK,Over,7.0,-110,2031-05-14T23:10:00Z,2031-05-14T22:30:00Z"
-LATE = "2031-05-14,Ana McVale,pitcher_strikeouts,DK,Over,7.5,100,2031-05-14T23:10:00Z,2031-05-14T23:30:00Z"
+
+
+def line_row(line, pulled, side="Over"):
+    """One snapshot of a game that starts at 17:25, pulled at the given time of its day."""
+    fields = ("2033-09-03", "Ida Fenn", "pitcher_strikeouts", "Northbook", side, line, 140, "2033-09-03T17:25:00Z")
+    return ",".join(map(str, (*fields, f"2033-09-03T{pulled}Z")))
+
+
+EARLY, LAST_BEFORE, AFTER = line_row(3.5, "15:50:00"), "feed," + line_row(8.5, "17:25:00"), line_row(9.5, "17:26:00")
 
 
 @pytest.fixture
 def log(tmp_path):
     folder = tmp_path / "raw"
-    for name, lines in {"a/one.csv": [HEADER, FIRST, LATE], "b/c/two.csv": [LONG, SECOND]}.items():
+    for name, lines in {"a/one.csv": [HEADER, EARLY, AFTER], "b/c/two.csv": [LONG, LAST_BEFORE]}.items():
         path = folder / name
         path.parent.mkdir(parents=True, exist_ok=True)
         path.write_text("\n".join(lines) + "\n")
@@ -31,7 +37,7 @@ def test_snapshots_with_different_headers(spark, log, tmp_path):
     df = snapshots.read_snapshots(spark, str(log))
     assert df.count() == 3 and {r.source for r in df.collect()} == {None, "feed"}
     row = curated_lines_from(spark, str(log)).first()
-    assert (row.line, row.source, row.is_closing_line) == (7.0, "feed", True)
+    assert (row.line, row.source, row.is_closing_line) == (8.5, "feed", True)
     assert snapshots.read_snapshots(spark, str(tmp_path / "none")).count() == 0
     assert curated_lines_from(spark, str(tmp_path / "none")).columns == CURATED_LINE.names
 
@@ -60,19 +66,21 @@ def test_stream_equals_batch(spark, log, tmp_path):
     batch = curate_lines(normalize_snapshots(snapshots.read_snapshots(spark, str(log))))
     snapshots.land_snapshots(spark, str(log / "a"), landed)
     curate_stream(snapshot_stream(spark, landed), out, check).awaitTermination(120)
-    assert curated_from_log(spark, out).first().line == 6.5
+    assert curated_from_log(spark, out).first().line == 3.5
     snapshots.land_snapshots(spark, str(log / "b"), landed)
     curate_stream(snapshot_stream(spark, landed), out, check).awaitTermination(120)
     stepwise = curated_from_log(spark, out).select(*batch.columns)
     assert list(map(tuple, stepwise.collect())) == list(map(tuple, batch.collect()))
 
 
-def test_publish_lines_keeps_the_previous_copy(spark, log, tmp_path):
+def test_publish_lines_keeps_the_version_before(spark, log, tmp_path):
     root = str(tmp_path / "published")
     assert publish_lines(spark, str(log), root)[1] == 1
-    (log / "three.csv").write_text("\n".join([HEADER, FIRST.replace("Over", "Under")]) + "\n")
+    (log / "three.csv").write_text("\n".join([HEADER, line_row(3.5, "15:50:00", side="Under")]) + "\n")
     assert publish_lines(spark, str(log), root)[1] == 2
-    assert spark.read.parquet(paths.join(lines_root(root), publish.PREVIOUS, publish.LINES)).count() == 1
+    store = lines_root(root)
+    before = versions.at(spark, store, versions.numbers(spark, store)[-2])
+    assert spark.read.parquet(before.path(publish.LINES)).count() == 1
 
 
 def test_slate_and_ledger_readers(spark, tmp_path):
