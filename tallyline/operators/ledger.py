@@ -60,6 +60,11 @@ def one_per_key(rows: DataFrame) -> DataFrame:
     return rows.groupBy("pick_key").agg(best).select("pick_key", "_best.*").select(*LEDGER_COLUMNS)
 
 
+def ledger_bucket(buckets: int) -> Column:
+    """The bucket of a row: its key's hash, in one form for every engine."""
+    return F.conv(F.substring(F.md5(F.col("pick_key").cast("binary")), 1, 8), 16, 10).cast("long") % buckets
+
+
 def upsert_ledger(ledger: DataFrame, new_rows: DataFrame) -> DataFrame:
     """The ledger with new rows in place of old rows of the same key. A new row that
     leaves a settled field blank keeps the old one; other rows stay untouched. Of several

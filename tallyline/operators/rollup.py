@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.contracts import ContractError, require_columns
+from tallyline.contracts import require_columns
 from tallyline.functions.numeric import nan_to_null, safe_ratio
 
 # Event codes that count as a strikeout and as a whiff.
@@ -111,9 +111,11 @@ def fielding_lookup(events: DataFrame) -> DataFrame:
     sides = events.filter(_present(*PERIOD_KEYS)).select(
         *PERIOD_KEYS, fielding_group().alias("pitching_team"), fielding_opponent().alias("opponent_team")
     )
-    # Distinct first, which hashes; the text minima then see a row or two per period.
+    # Counted first, which hashes, as text is a key there; the text minima, which sort, then
+    # see a row or two per period. Spark would drop a distinct below a minimum.
     return (
-        sides.distinct()
+        sides.groupBy(*sides.columns)
+        .agg(F.count(F.lit(1)).alias("n"))
         .groupBy(*PERIOD_KEYS)
         .agg(F.min("pitching_team").alias("pitching_team"), F.min("opponent_team").alias("opponent_team"))
     )
@@ -178,11 +180,3 @@ def starter_like(periods: DataFrame, *, min_pitches: int, min_batters: int) -> D
     require_columns(periods, ("pitches", "batters_faced"), "entity_periods")
     return periods.filter((F.col("pitches") >= min_pitches) | (F.col("batters_faced") >= min_batters))
 
-
-def require_one_name_per_period(periods: DataFrame) -> DataFrame:
-    """Two spellings of one entity in one period are an error."""
-    twice = periods.groupBy(*PERIOD_KEYS).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
-    shown = twice.limit(20).collect()
-    if shown:
-        raise ContractError(f"entity_periods has duplicate rows for {list(PERIOD_KEYS)}: {shown}")
-    return periods

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyline.contracts import ContractError, check_contract, require_columns
 from tallyline.functions.names import group_code, slate_name
 from tallyline.schemas import SLATE, SLATE_CONTRACT
-from tallyline.session import materialize
+from tallyline.sources.checked import raise_if_bad, write_checked
 
 
 def finalize_slate(raw: DataFrame) -> DataFrame:
@@ -28,20 +28,15 @@ def home_away_mismatch() -> Column:
     return expected.isNotNull() & ~F.col("team").eqNullSafe(expected)
 
 
-def check_home_away(slate: DataFrame) -> DataFrame:
-    if not slate.filter(home_away_mismatch()).isEmpty():
-        raise ContractError("slate failed home/away team consistency checks")
-    return slate
-
-
 def checked_slate(raw: DataFrame) -> DataFrame:
-    """Finalized slate that satisfies its contract and the home/away rule."""
-    # Checks and result read the written copy, so the documents are parsed once.
-    slate = materialize(finalize_slate(raw), "slate")
-    if slate.isEmpty():
+    """Finalized slate that satisfies its contract and the home/away rule, written by the job
+    that counts what does not."""
+    checks = {"home/away team consistency": home_away_mismatch()}
+    checked = write_checked(finalize_slate(raw), SLATE_CONTRACT, more=checks, strict=False)
+    if not checked.counts["rows"]:
         raise ContractError("no probable starters found in the schedule")
-    check_contract(slate, SLATE_CONTRACT)
-    return check_home_away(slate)
+    raise_if_bad(checked, SLATE_CONTRACT)
+    return checked.good
 
 
 def distinct_slate(slate: DataFrame) -> DataFrame:
@@ -54,7 +49,5 @@ def distinct_slate(slate: DataFrame) -> DataFrame:
 
 
 def prediction_base(slate: DataFrame, *, strict: bool = True) -> DataFrame:
-    """Distinct, contract-checked slate in (date, game, name) order."""
-    clean = distinct_slate(slate)
-    check_contract(clean, SLATE_CONTRACT, strict=strict)
-    return clean.orderBy("game_date", "game_pk", "player_name")
+    """Distinct, contract-checked slate."""
+    return check_contract(distinct_slate(slate), SLATE_CONTRACT, strict=strict)

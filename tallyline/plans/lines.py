@@ -27,4 +27,4 @@ def publish_lines(spark: SparkSession, folder: str, root: str) -> tuple[str, int
     """Rebuild the lines published by themselves, beside the sets, whose lines stay those
     of their model; returns their folder and number of rows."""
     latest = publish.publish_table(curated_lines_from(spark, folder), lines_root(root), publish.LINES)
-    return latest, spark.read.parquet(latest).count()
+    return latest.path(publish.LINES), spark.read.parquet(latest.path(publish.LINES)).count()

@@ -1,9 +1,7 @@
-"""Training build: history, lines, model, evaluation record and staged publishing."""
+"""Training build: history, lines, model, evaluation record and publishing as one version."""
 
 from __future__ import annotations
 
-import uuid
-
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -35,8 +33,9 @@ from tallyline.schemas import (
     STARTER_MIN_PITCHES,
 )
 from tallyline.session import materialize, scratch
-from tallyline.sources import paths, publish
+from tallyline.sources import publish
 from tallyline.sources.readers import read_events
+from tallyline.sources.versions import Version
 
 
 @dataclass(frozen=True)
@@ -157,10 +156,8 @@ def build_training_set(
     params: BoostParams = BoostParams(),
     split_date: str = SPLIT_DATE,
     event_range: tuple[str, str] = EVENT_RANGE,
-) -> str:
-    """Build all datasets, stage and check them, promote them; returns their folder."""
-    # A folder of its own, so that jobs at the same time leave each other's staging alone.
-    staging = paths.join(root, publish.STAGING, uuid.uuid4().hex)
+) -> Version:
+    """Build all datasets, check and commit them as one version; returns it."""
     with scratch(spark):
         events = read_events(spark, events_path, *event_range)
         history = materialize(entity_history(events), "history")
@@ -168,13 +165,12 @@ def build_training_set(
         trained = train_and_evaluate(
             history, lines, params=params, split_date=split_date, event_range=event_range, lines_folder=lines_folder
         )
-        publish.write_set(
+        return publish.publish_set(
             spark,
-            staging,
+            root,
             history=history,
             table=trained.table,
             lines=lines,
             model=trained.model,
             metadata=trained.metadata,
         )
-    return publish.promote(spark, root, staging)

@@ -4,25 +4,46 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tallyline.functions.names import quote_name
 from tallyline.schemas import BOOK_NAMES, QUOTE, QUOTES_DOCUMENT, SCHEDULE_DOCUMENT, SLATE
 
 
-def read_quote_documents(spark: SparkSession, path: str, *, multi_line: bool = True) -> DataFrame:
+def _read_json(spark: SparkSession, path: str, schema: StructType, multi_line: bool, corrupt: str | None) -> DataFrame:
+    reader = spark.read.option("multiLine", multi_line)
+    if corrupt:
+        # A document that is no JSON, or whose values do not fit, stays whole in this column.
+        schema = StructType([*schema.fields, StructField(corrupt, StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", corrupt)
+    return reader.schema(schema).json(path)
+
+
+def read_quote_documents(
+    spark: SparkSession, path: str, *, multi_line: bool = True, corrupt: str | None = None
+) -> DataFrame:
     """Landed quote documents: one JSON object or array of objects per file, or with
-    ``multi_line=False`` one object per line, which Spark can split."""
-    return spark.read.schema(QUOTES_DOCUMENT).option("multiLine", multi_line).json(path)
+    ``multi_line=False`` one object per line, which Spark can split. ``corrupt`` names a
+    column for broken documents (see ``set_aside``); without it they are rows of NULL, which
+    have no id and drop out later."""
+    return _read_json(spark, path, QUOTES_DOCUMENT, multi_line, corrupt)
 
 
-def read_schedule_documents(spark: SparkSession, path: str, *, multi_line: bool = True) -> DataFrame:
-    return spark.read.schema(SCHEDULE_DOCUMENT).option("multiLine", multi_line).json(path)
+def read_schedule_documents(
+    spark: SparkSession, path: str, *, multi_line: bool = True, corrupt: str | None = None
+) -> DataFrame:
+    return _read_json(spark, path, SCHEDULE_DOCUMENT, multi_line, corrupt)
 
 
-def parse_documents(df: DataFrame, column: str, layout) -> DataFrame:
+def parse_documents(df: DataFrame, column: str, layout: StructType, *, corrupt: str | None = None) -> DataFrame:
     """Documents held as JSON text in a column. The generator keeps later filters from
-    being merged into the parse, which would then run once per use of a field."""
-    return df.select(F.inline(F.array(F.from_json(column, layout))))
+    being merged into the parse, which would then run once per use of a field. ``corrupt``
+    names a column for the text of broken documents."""
+    options = {}
+    if corrupt:
+        layout = StructType([*layout.fields, StructField(corrupt, StringType())])
+        options = {"columnNameOfCorruptRecord": corrupt}
+    return df.select(F.inline(F.array(F.from_json(column, layout, options))))
 
 
 def market_documents(documents: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
-"""Staged publishing: a set of datasets is written aside, checked, then promoted.
+"""Published sets: the datasets of a training build, committed as one version.
 
-Readers see the latest complete set, or the previous one while a promotion is under
-way. Folders are moved, not copied, so promotion does not grow with the data.
+A set is written into a folder of its own, checked there, and then named by a manifest
+(:mod:`tallyline.sources.versions`). Readers take the newest complete set.
 """
 
 from __future__ import annotations
@@ -14,9 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyline.contracts import ContractError
 from tallyline.schemas import CURATED_LINE
-from tallyline.sources import paths
+from tallyline.sources import paths, versions
+from tallyline.sources.versions import Change, Version
 
-STAGING, LATEST, PREVIOUS = "_staging", "latest", "previous"
 HISTORY, TABLE, LINES, MODEL, METADATA = "entity_periods", "model_table", "curated_lines", "model", "metadata"
 DATASETS = (HISTORY, TABLE, LINES, MODEL, METADATA)
 
@@ -54,10 +54,6 @@ def write_set(
     return folder
 
 
-def set_exists(spark: SparkSession, folder: str) -> bool:
-    return all(paths.exists(spark, paths.join(folder, name)) for name in DATASETS)
-
-
 def check_set(spark: SparkSession, folder: str) -> str:
     """A set is complete, its history and model table hold rows, and its lines have
     the line layout."""
@@ -72,46 +68,41 @@ def check_set(spark: SparkSession, folder: str) -> str:
     return folder
 
 
-def promote(spark: SparkSession, root: str, staging: str | None = None) -> str:
-    """A staged set becomes latest; a complete latest becomes previous first."""
-    latest, previous = (paths.join(root, n) for n in (LATEST, PREVIOUS))
-    staging = staging or paths.join(root, STAGING)
-    check_set(spark, staging)
-    if set_exists(spark, latest):
-        paths.delete(spark, previous)
-        paths.rename(spark, latest, previous)
-    else:
-        paths.delete(spark, latest)
-    paths.rename(spark, staging, latest)
-    return latest
+def publish_set(spark: SparkSession, root: str, **datasets) -> Version:
+    """Write the datasets of :func:`write_set` into a new folder, check and commit them. It
+    takes the place of the set before it, whatever that was made from."""
+    folder = versions.new_data(root, "set")
+
+    def build(base: Version) -> Change:
+        return Change(put={name: f"{folder}/{name}" for name in DATASETS})
+
+    whole = paths.join(root, folder)
+    write_set(spark, whole, **datasets)
+    check_set(spark, whole)
+    return versions.commit(spark, root, build)
 
 
-def resolve_set(spark: SparkSession, root: str) -> str:
-    """Folder of the set to read: latest, else previous. One choice for the whole set,
-    so a model is never paired with the metadata of another one."""
-    for name in (LATEST, PREVIOUS):
-        folder = paths.join(root, name)
-        if set_exists(spark, folder):
-            return folder
-    raise FileNotFoundError(f"no complete dataset set in {LATEST} or {PREVIOUS} under {root}")
+def resolve_set(spark: SparkSession, root: str) -> Version:
+    """The newest version that holds a whole set. One choice for all datasets, so a model is
+    never paired with the metadata of another one."""
+    for number in reversed(versions.numbers(spark, root)):
+        version = versions.at(spark, root, number)
+        if all(name in version and paths.exists(spark, version.path(name)) for name in DATASETS):
+            return version
+    raise FileNotFoundError(f"no complete dataset set under {root}")
 
 
-def load_model(folder: str) -> PipelineModel:
-    return PipelineModel.load(paths.join(folder, MODEL))
+def load_model(version: Version) -> PipelineModel:
+    return PipelineModel.load(version.path(MODEL))
 
 
-def load_metadata(spark: SparkSession, folder: str) -> dict:
-    return read_record(spark, paths.join(folder, METADATA))
+def load_metadata(spark: SparkSession, version: Version) -> dict:
+    return read_record(spark, version.path(METADATA))
 
 
-def publish_table(df: DataFrame, root: str, name: str) -> str:
-    """Replace one dataset that is published by itself, keeping the old copy as previous.
-    ``root`` is the dataset's own: a complete set is replaced by :func:`promote` only."""
+def publish_table(df: DataFrame, root: str, name: str) -> Version:
+    """Replace one dataset that is published by itself. ``root`` is the dataset's own."""
     spark = df.sparkSession
-    staging, latest, previous = (paths.join(root, n, name) for n in (STAGING, LATEST, PREVIOUS))
-    df.write.mode("overwrite").parquet(staging)
-    if paths.exists(spark, latest):
-        paths.delete(spark, previous)
-        paths.rename(spark, latest, previous)
-    paths.rename(spark, staging, latest)
-    return latest
+    folder = versions.new_data(root, name)
+    df.write.parquet(paths.join(root, folder))
+    return versions.commit(spark, root, lambda base: Change(put={name: folder}))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tallyline.contracts import ContractError, check_contract, require_columns
 from tallyline.functions.numeric import nan_columns_to_null
@@ -17,8 +19,21 @@ def empty_table(spark: SparkSession, layout: StructType) -> DataFrame:
 
 
 def read_csv_text(spark: SparkSession, paths) -> DataFrame:
-    """CSV files of one header with every field as text; a blank field is NULL."""
-    return spark.read.option("header", True).option("multiLine", False).csv(paths)
+    """CSV files of one header with every field as text; a blank field is NULL. A quote inside
+    a quoted field is doubled."""
+    return spark.read.option("header", True).option("multiLine", False).option("escape", '"').csv(paths)
+
+
+def read_csv_records(spark: SparkSession, path: str, columns: Sequence[str], *, corrupt: str) -> DataFrame:
+    """CSV of known columns, in the order of its header, with lines that do not fit in a
+    column of their own (see ``set_aside``)."""
+    own = read_csv_text(spark, path).columns
+    require_columns(spark.createDataFrame([], ", ".join(f"`{c}` string" for c in own)), columns, path)
+    schema = StructType([StructField(c, StringType()) for c in [*own, corrupt]])
+    reader = spark.read.schema(schema).option("header", True).option("columnNameOfCorruptRecord", corrupt)
+    # A line is judged whole, also where only some of its columns are asked for.
+    reader = reader.option("columnPruning", False).option("escape", '"')
+    return reader.csv(path).select(*columns, corrupt)
 
 
 def read_slate(spark: SparkSession, path: str) -> DataFrame:

@@ -1,9 +1,19 @@
 import pytest
 
 from tallyline.operators import ledger
-from tallyline.plans.ledger import ledger_root, ledger_report, persist_ledger, persist_ledger_report, read_current_ledger
+from tallyline.plans.ledger import (
+    bucket_folders,
+    ledger_report,
+    ledger_root,
+    persist_ledger,
+    read_current_ledger,
+    read_version,
+    replace_ledger,
+    upsert_rows,
+    write_ledger_report,
+)
 from tallyline.schemas import LEDGER, LEDGER_COLUMNS
-from tallyline.sources import paths, publish
+from tallyline.sources import paths, versions
 
 SLATE_DDL = "player_name string, team string, opponent string, game_date string, game_pk long"
 PICK_DDL = (
@@ -79,7 +89,7 @@ def test_saving_twice_keeps_settled_fields(spark, frame, tmp_path):
     persist_ledger(slate, frame([pick(player_name="A", team="T", opponent="O")], PICK_DDL), root)
     old = read_current_ledger(spark, root).first().asDict()
     other = settled("legacy", record_source="manual_seed")
-    publish.publish_table(rows(spark, {**old, "result": "W", "actual_strikeouts": "7"}, other), ledger_root(root), "ledger")
+    replace_ledger(spark, rows(spark, {**old, "result": "W", "actual_strikeouts": "7"}, other), root)
     again = frame([pick(player_name="A", team="T", opponent="O", predicted_strikeouts=6.8)], PICK_DDL)
     for _ in range(2):
         persist_ledger(slate, again, root)
@@ -88,7 +98,7 @@ def test_saving_twice_keeps_settled_fields(spark, frame, tmp_path):
         row = got["2031-05-14|a"]
         assert (row.result, row.actual_strikeouts, row.predicted_strikeouts) == ("W", "7", "6.8")
     target = str(tmp_path / "out")
-    persist_ledger_report(spark, root, target)
+    write_ledger_report(spark, versions.current(spark, ledger_root(root)), target)
     assert spark.read.json(paths.join(target, "ledger_overall")).first().wins == 1
 
 
@@ -98,3 +108,50 @@ def test_copies_of_a_key_count_once(spark):
     got = ledger.upsert_ledger(rows(spark, blank, settled_row, settled("b")), rows(spark, blank, blank)).collect()
     assert sorted((r.pick_key, r.result) for r in got if r.pick_key == "a") == [("a", "W")]
     assert len(got) == 2
+
+
+def seeded(spark, root, n, **options):
+    return replace_ledger(spark, rows(spark, *[settled(f"key{i}", odds="-110") for i in range(n)]), root, **options)
+
+
+def test_an_upsert_rewrites_only_the_buckets_of_its_keys(spark, tmp_path):
+    root = str(tmp_path)
+    before = seeded(spark, root, 500)
+    new = [settled(f"key{i}", result="W") for i in range(5)] + [settled(f"new{i}") for i in range(5)]
+    after = upsert_rows(spark, rows(spark, *new), root)
+    kept = set(bucket_folders(before)) & set(bucket_folders(after))
+    assert len(bucket_folders(before)) == 64 and 54 <= len(kept) < 64
+    got = {r.pick_key: r.result for r in read_current_ledger(spark, root).collect()}
+    assert len(got) == 505 and {k for k, v in got.items() if v == "W"} == {f"key{i}" for i in range(5)}
+    # The version before is still whole.
+    assert read_version(spark, before).filter("result = 'W'").count() == 0
+    assert upsert_rows(spark, rows(spark), root) == after
+
+
+def test_two_upserts_at_once_lose_nothing(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    seeded(spark, root, 40, buckets=4)
+    publish, rivals = versions.publish, [settled("key1", result="L"), settled("rival")]
+
+    def late(session, base, change):
+        """Another writer commits between the merge of this one and its commit."""
+        if rivals:
+            given = rows(spark, *rivals)
+            rivals.clear()
+            upsert_rows(spark, given, root)
+        return publish(session, base, change)
+
+    monkeypatch.setattr(versions, "publish", late)
+    upsert_rows(spark, rows(spark, settled("key1", actual_strikeouts="7"), settled("mine")), root)
+    got = {r.pick_key: r for r in read_current_ledger(spark, root).collect()}
+    assert len(got) == 42 and {"mine", "rival"} <= set(got)
+    assert (got["key1"].result, got["key1"].actual_strikeouts) == ("L", "7")
+
+
+def test_more_buckets(spark, tmp_path):
+    root = str(tmp_path)
+    seeded(spark, root, 60, buckets=2)
+    version = replace_ledger(spark, read_current_ledger(spark, root), root, buckets=8)
+    assert len(bucket_folders(version)) == 8 and read_current_ledger(spark, root).count() == 60
+    upsert_rows(spark, rows(spark, settled("late")), root)
+    assert read_current_ledger(spark, root).count() == 61

@@ -1,17 +1,19 @@
+import dataclasses
 import datetime
 import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyline.contracts import ContractError
 from tallyline.operators.model import BoostParams
 from tallyline.plans import daily_card as card
-from tallyline.plans.ledger import ledger_path, read_current_ledger
+from tallyline.plans.ledger import ledger_root, read_current_ledger, read_version
 from tallyline.plans.slate import build_slate
 from tallyline.plans.training import build_training_set
 from tallyline.schemas import EVENT
-from tallyline.sources import nested, paths, publish
+from tallyline.sources import nested, paths, publish, versions
 from tallyline.sources.paths import exists
 
 DAY = datetime.date(2025, 4, 1)
@@ -78,9 +80,9 @@ def published(spark, tmp_path_factory):
 
 def test_training_set(spark, published):
     _, root = published
-    folder = publish.resolve_set(spark, root)
-    assert folder.endswith("latest") and publish.check_set(spark, folder)
-    metadata = publish.load_metadata(spark, folder)
+    published = publish.resolve_set(spark, root)
+    assert set(publish.DATASETS) <= set(published.entries)
+    metadata = publish.load_metadata(spark, published)
     window = metadata["training_window"]
     assert window["train_rows"] + window["test_rows"] == window["model_table_rows"] > 20
     assert window["test_date_range"]["start"] >= "2025-06-10"
@@ -91,14 +93,16 @@ def test_training_set(spark, published):
     assert metadata["historical_lines"]["rows"] == 32
 
 
-def test_readers_fall_back_to_the_previous_set(spark, published):
+def test_readers_fall_back_to_the_set_before(spark, published):
     _, root = published
-    latest, previous = (paths.join(root, n) for n in (publish.LATEST, publish.PREVIOUS))
-    paths.rename(spark, latest, previous)
-    assert publish.resolve_set(spark, root) == previous
-    paths.rename(spark, previous, latest)
+    whole = publish.resolve_set(spark, root)
     with pytest.raises(FileNotFoundError):
-        publish.promote(spark, root)
+        publish.check_set(spark, root)
+    damaged = {name: "data/none" for name in (publish.MODEL, publish.METADATA)}
+    assert versions.commit(spark, root, lambda base: versions.Change(put=damaged)).number > whole.number
+    assert publish.resolve_set(spark, root).number == whole.number
+    versions.commit(spark, root, lambda base: versions.Change(put=dict(whole.entries)))
+    assert publish.resolve_set(spark, root).entries == whole.entries
 
 
 def test_daily_card(spark, published):
@@ -113,19 +117,73 @@ def test_daily_card(spark, published):
     assert 1 <= run.postable.count() <= 2
     target = str(base / "out")
     for _ in range(2):
-        card.save_card(spark, run, root, target)
-    assert publish.read_record(spark, paths.join(target, "run_status")) == {"status": "success", "message": ""}
-    keys = [r.pick_key for r in spark.read.parquet(ledger_path(root)).collect()]
+        saved = card.save_card(spark, run, root, target)
+    status = publish.read_record(spark, saved.path("run_status"))
+    assert (status["status"], status["message"]) == ("success", "")
+    assert versions.current(spark, target) == saved and saved.number == 2
+    shown = versions.at(spark, ledger_root(root), status["ledger_version"])
+    keys = [r.pick_key for r in read_version(spark, shown).collect()]
     assert len(keys) == len(set(keys)) and all(k.startswith("2025-08-01|jo name") for k in keys)
-    # Promotions replace the training set and leave the ledger alone.
+    # New training sets leave the ledger alone.
     kept = read_current_ledger(spark, root).count()
-    latest = paths.join(root, publish.LATEST)
+    again = dict(publish.resolve_set(spark, root).entries)
     for _ in range(3):
-        staging = paths.join(root, publish.STAGING, "again")
-        paths.rename(spark, latest, staging)
-        publish.promote(spark, root, staging)
+        versions.commit(spark, root, lambda base: versions.Change(put=again))
+    versions.expire(spark, root, keep=1)
     assert read_current_ledger(spark, root).count() == kept == len(keys)
-    assert all(exists(spark, paths.join(target, n)) for n in ("slate", "forecasts", "joined", "picks", "postable"))
+    assert set(saved.entries) == {*card.OUTPUTS, *(f"ledger_{n}" for n in ("graded", "skipped", "by_book", "overall"))}
+    assert all(exists(spark, saved.path(n)) for n in saved.entries)
+
+
+STEPS = ("ledger", "slate", "forecasts", "postable", "report", "status", "manifest")
+
+
+@pytest.mark.parametrize("step", STEPS)
+def test_a_card_that_dies_leaves_the_outputs_before_it(spark, frame, tmp_path, monkeypatch, step):
+    """Killed between any two steps: readers see the first card whole, and saving again works."""
+    root, target = str(tmp_path / "root"), str(tmp_path / "out")
+
+    def made(day, name):
+        day = f"2033-09-{day:02d}"
+        row = dict(player_name=name, team="T", opponent="O", game_date=day, game_pk=1, is_home=1, pick_type="official", price=120, value_score=1)
+        ddl = ", ".join(f"{k} {'long' if isinstance(v, int) else 'string'}" for k, v in row.items())
+        table = frame([row], ddl)
+        return card.Card(table, table, table, table, table, message=name)
+
+    card.save_card(spark, made(3, "First"), root, target)
+
+    class Killed(Exception):
+        pass
+
+    def dying(*_, **__):
+        raise Killed
+
+    second = made(4, "Second")
+    with monkeypatch.context() as patch:
+        if step == "ledger":
+            patch.setattr(card, "persist_ledger", dying)
+        elif step == "slate":
+            patch.setattr(card, "save_slate", dying)
+        elif step in ("forecasts", "postable"):
+            broken = second.slate.withColumn("x", F.raise_error(F.lit("killed")).cast("string"))
+            given = dataclasses.replace(second, **{step: broken})
+            if step == "postable":  # the ledger reads it, too
+                patch.setattr(card, "persist_ledger", lambda *_: versions.current(spark, ledger_root(root)))
+        elif step == "report":
+            patch.setattr(card, "write_ledger_report", dying)
+        elif step == "status":
+            patch.setattr(publish, "write_record", dying)
+        else:
+            patch.setattr(paths, "publish_if_absent", dying)
+        with pytest.raises(Exception):  # noqa: B017
+            card.save_card(spark, given if step in ("forecasts", "postable") else second, root, target)
+    seen = versions.current(spark, target)
+    names = {n: {r.player_name for r in spark.read.parquet(seen.path(n)).collect()} for n in ("slate", "joined", "picks")}
+    assert seen.number == 1 and set(map(tuple, names.values())) == {("First",)}
+    assert publish.read_record(spark, seen.path("run_status"))["message"] == "First"
+    after = card.save_card(spark, second, root, target)
+    assert {r.player_name for r in spark.read.parquet(after.path("picks")).collect()} == {"Second"}
+    assert sorted(r.player_name for r in read_current_ledger(spark, root).collect()) == ["First", "Second"]
 
 
 def test_market_and_hooks_of_the_daily_card(spark, published):
