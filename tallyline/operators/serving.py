@@ -16,6 +16,7 @@ from tallyline.contracts import check_contract, require_columns
 from tallyline.functions.dates import to_day
 from tallyline.functions.names import entity_name
 from tallyline.functions.numeric import nan_to_null, safe_ratio
+from tallyline.operators.asof import join_as_of
 from tallyline.operators.rollup import starter_like
 from tallyline.operators.trailing import MAX_ROWS_PER_TASK
 from tallyline.schemas import (
@@ -200,10 +201,12 @@ def serving_features(
     strict: bool = True,
     observation: Observation | None = None,
     max_rows_per_task: int = MAX_ROWS_PER_TASK,
+    context_per_row: bool = False,
 ) -> DataFrame:
     """Features of every slate row with at least ``min_career_starts`` earlier starts.
 
-    The number of slate rows left out for too little history is reported through
+    The opponent context is ``context``, one row per group for the whole slate, or with
+    ``context_per_row`` what the history knew strictly before each row's own day. The number of slate rows left out for too little history is reported through
     ``observation`` under ``skipped``.
     """
     check_contract(slate, SLATE_CONTRACT, strict=strict)
@@ -251,7 +254,10 @@ def serving_features(
             "whiff_trend_last3_vs_last10": F.col("whiff_per_pitch_last3") - F.col("whiff_per_pitch_last10"),
         }
     )
-    features = add_context(features, context)
+    if context_per_row:
+        features = add_context_per_row(features, periods, max_rows_per_task=max_rows_per_task)
+    else:
+        features = add_context(features, context)
     ordered = base + [c for c in features.columns if c not in base]
     features = features.select(*ordered)
     require_columns(features, MODEL_FEATURES, "serving_features")
@@ -268,3 +274,18 @@ def add_context(features: DataFrame, context: DataFrame | None) -> DataFrame:
     return features.join(
         context.select(F.col("opponent_team").alias("opponent"), *form), "opponent", "left"
     )
+
+
+def add_context_per_row(
+    features: DataFrame, periods: DataFrame, *, max_rows_per_task: int | None = MAX_ROWS_PER_TASK
+) -> DataFrame:
+    """The opponent context of every row as of its own day; NULL where its opponent has no
+    earlier period. Ties inside a day go to the last period, as for a single day."""
+    form = GROUP_CONTEXT.names[1:]
+    require_columns(periods, ("game_date", "game_pk", "pitcher", "opponent_team", *form), "entity_periods")
+    known = periods.select(
+        F.col("opponent_team").alias("opponent"), to_day(F.col("game_date")).alias("_day"), "game_pk", "pitcher", *form
+    )
+    return join_as_of(
+        features, known, ["opponent"], "game_date", ["_day", "game_pk", "pitcher"], form, max_rows_per_task=max_rows_per_task
+    )

@@ -22,8 +22,9 @@ from tallyline.functions.numeric import safe_ratio
 from tallyline.session import materialize
 
 MAX_ROWS_PER_TASK = 2_000_000
-# How finely one oversized unit (a key on one day) can be cut further.
-CUTS_PER_UNIT = 200
+# Cuts of an oversized unit (a key on one day) for each block that its rows fill, and the
+# most cuts of one; a block beyond that grows with its unit, and the sort of a task spills.
+CUTS_PER_BLOCK, MOST_CUTS = 4, 10_000
 
 
 @dataclass(frozen=True)
@@ -78,19 +79,19 @@ def add_trailing(
 
 def _unit_cuts(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int) -> DataFrame:
     """(key, unit) -> ``_cuts``: the values of the second order column at which an
-    oversized unit is cut. Any cuts are correct; quantiles make them even. The digests
-    are built in the map tasks, so no unit is gathered."""
+    oversized unit is cut, as many as the rows of the largest one ask for. Any cuts are
+    correct; quantiles make them even. The digests are built in the map tasks, so no unit
+    is gathered."""
     unit, sequence = order[0], order[1]
-    steps = [i / CUTS_PER_UNIT for i in range(1, CUTS_PER_UNIT)]
-    large = (
-        df.groupBy(*keys, unit)
-        .agg(
-            F.count(F.lit(1)).alias("_rows"),
-            F.percentile_approx(sequence, steps, 10 * CUTS_PER_UNIT).alias("_cuts"),
-        )
-        .filter(F.col("_rows") > limit)
-    )
-    return large.select(*keys, unit, F.array_distinct("_cuts").alias("_cuts"))
+    place = [*keys, unit]
+    counted = df.groupBy(*place).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > limit)
+    large = materialize(counted, "large-units")
+    most = large.agg(F.max("_rows")).first()[0] or 0
+    cuts = min(MOST_CUTS, max(2, CUTS_PER_BLOCK * -(-most // limit)))
+    steps = [i / cuts for i in range(1, cuts)]
+    digest = F.percentile_approx(sequence, steps, 10 * cuts).alias("_cuts")
+    found = df.join(large.select(*place), place, "left_semi").groupBy(*place).agg(digest)
+    return found.select(*place, F.array_distinct("_cuts").alias("_cuts"))
 
 
 def _blockwise(
