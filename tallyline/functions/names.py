@@ -43,6 +43,8 @@ def _accents() -> str:
 
 _ACCENTED, _BASE = _fold_table()
 _ACCENTS = _accents()
+# Marks stand behind the letters, where translate finds nothing to put for them.
+_FOLDED = _ACCENTED + "".join(ch for ch in _PLANE if unicodedata.combining(ch) and ch not in set(_ACCENTED))
 
 
 @F.pandas_udf(StringType())
@@ -58,7 +60,8 @@ def fold_accents(c: Column, *, exact: bool = False) -> Column:
     that differ in more than accents stay apart."""
     if exact:
         return _fold_nfkd(c)
-    return F.regexp_replace(F.translate(c, _ACCENTED, _BASE), _ACCENTS, "")
+    # A text as long in bytes as in characters holds nothing to fold.
+    return F.when(F.octet_length(c) == F.length(c), c).otherwise(F.translate(c, _FOLDED, _BASE))
 
 
 def entity_name(c: Column, *, exact: bool = False) -> Column:

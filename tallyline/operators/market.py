@@ -76,6 +76,28 @@ def join_quotes(
     return _with_edge(_suffixed_join(keyed, quotes, [(forecast_key, quote_key)], ("_proj", "_odds")))
 
 
+# Names that differ in case and accents alone are equal under it.
+NAME_COLLATION = "UNICODE_CI_AI"
+
+
+def join_quotes_by_collation(
+    forecasts: DataFrame, quotes: DataFrame, *, participant: str = DEFAULT_PARTICIPANT, name: str = "player_name"
+) -> DataFrame:
+    """Forecasts with every quote whose participant's name is the same but for case and
+    accents, and the edge over the line. The names themselves are joined, under a collation;
+    no folded copy of them is made. Shared columns get ``_proj`` and ``_odds``; blank names
+    pair with nothing."""
+    require_columns(forecasts, (participant, "predicted_strikeouts"), "forecasts")
+    require_columns(quotes, (name, "bookmaker", "side", "line", "price"), "quotes")
+    shared = set(forecasts.columns) & set(quotes.columns)
+    left = forecasts.filter(F.trim(participant) != "").withColumnsRenamed({c: f"{c}_proj" for c in shared})
+    right = quotes.filter(F.trim(name) != "").withColumnsRenamed({c: f"{c}_odds" for c in shared})
+    own = f"{participant}_proj" if participant in shared else participant
+    other = f"{name}_odds" if name in shared else name
+    same = F.collate(F.trim(own), NAME_COLLATION) == F.collate(F.trim(other), NAME_COLLATION)
+    return _with_edge(left.join(right, same))
+
+
 def join_historical_lines(
     forecasts: DataFrame,
     lines: DataFrame,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass
 
@@ -65,8 +66,12 @@ def train_model(
     features: Sequence[str] = MODEL_FEATURES,
     label: str = MODEL_LABEL,
     params: BoostParams = BoostParams(),
+    validation: str | None = None,
+    tolerance: float = 0.01,
 ) -> PipelineModel:
-    """Fit boosted regression trees on squared error.
+    """Fit boosted regression trees on squared error. Rows for which the boolean column
+    ``validation`` holds are not fitted; boosting ends when their error no longer falls by
+    ``tolerance`` (relative to it, if it is over 1%).
 
     Boosting is a long iteration, so its lineage is cut in the shared folder every few
     rounds; a lost executor costs those rounds, not the run."""
@@ -87,7 +92,11 @@ def train_model(
         cacheNodeIds=True,
         checkpointInterval=10,
     )
-    rows = assemble.transform(train.select(*features, F.col(label).cast("double").alias(label)))
+    chosen = [*features, F.col(label).cast("double").alias(label)]
+    if validation:
+        booster = booster.setParams(validationIndicatorCol=validation, validationTol=tolerance)
+        chosen.append(F.coalesce(F.col(validation), F.lit(False)).alias(validation))
+    rows = assemble.transform(train.select(*chosen))
     return PipelineModel(stages=[assemble, booster.fit(rows)])
 
 
@@ -104,11 +113,31 @@ def score(
     return apply_intervals(add_base_uncertainty(forecast), interval_config)
 
 
+def error_by_round(
+    model: PipelineModel, tables: Mapping[str, DataFrame], *, features: Sequence[str] = MODEL_FEATURES, label: str = MODEL_LABEL
+) -> DataFrame:
+    """Rows (round, one column for each table): the root mean squared error after every
+    round of boosting. Each table is read once: its rows add up the margins of the trees, and
+    sums of squares by round are all that leaves a task. An empty table has no errors."""
+    assemble, boosted = model.stages
+    errors = {}
+    for name, table in tables.items():
+        rows = table.select(*features, F.col(label).cast("double").alias(label)).dropna(subset=[label])
+        if rows.isEmpty():
+            errors[name] = [None] * boosted.getNumTrees
+        else:
+            means = boosted.evaluateEachIteration(assemble.transform(rows), "squared")
+            errors[name] = [math.sqrt(e) for e in means]
+    layout = "round int, " + ", ".join(f"`{name}` double" for name in errors)
+    rounds = [(i + 1, *(e[i] for e in errors.values())) for i in range(boosted.getNumTrees)]
+    return SparkSession.active().createDataFrame(rounds, layout)
+
+
 def score_latest(model: PipelineModel, table: DataFrame, *, features: Sequence[str] = MODEL_FEATURES) -> DataFrame:
-    """Forecasts for the latest row of every entity, highest first."""
+    """Forecasts for the latest row of every entity."""
     scored = score(model, latest_rows(table, ("pitcher",), ("game_date", "game_pk")), features=features)
     kept = ["game_date", "pitcher", MODEL_LABEL, PREDICTED, "lower_bound", "upper_bound", "std_dev"]
-    return scored.select(*kept, *features).orderBy(F.col(PREDICTED).desc(), "pitcher")
+    return scored.select(*kept, *features)
 
 
 def feature_importance(model: PipelineModel) -> DataFrame:

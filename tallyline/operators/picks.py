@@ -90,62 +90,56 @@ DEFAULT_POLICY = PickPolicy()
 WORKFLOW_LIMITS = PostLimits(official=3, lean=1)
 
 
-def _first_seen(df: DataFrame) -> Column:
-    """What "first row of a participant" means: its earliest date, then the lowest
-    forecast. A table carries no row order in Spark."""
-    return F.struct(*[c for c in ("game_date", "predicted_strikeouts") if c in df.columns])
+def first_forecasts(joined: DataFrame, *, group_keys: Sequence[str] = ("player_name_proj",)) -> DataFrame:
+    """Rows (group keys, _first_forecast): that of the first row of a participant, its earliest
+    date, then the lowest forecast. A table carries no row order in Spark. The quotes are
+    hashed by day; what is sorted after that is a row for each participant and day."""
+    days = [c for c in ("game_date",) if c in joined.columns and c not in group_keys]
+    lowest = joined.groupBy(*group_keys, *days).agg(F.min("predicted_strikeouts").alias("_first_forecast"))
+    if not days:
+        return lowest
+    first = F.min(F.struct(*days, "_first_forecast")).getField("_first_forecast")
+    return lowest.groupBy(*group_keys).agg(first.alias("_first_forecast"))
 
 
 def best_side_quotes(
     joined: DataFrame, policy: PickPolicy = DEFAULT_POLICY, *, group_keys: Sequence[str] = ("player_name_proj",)
 ) -> DataFrame:
     """Best quote per participant and side: one row per pair with the whole quote in
-    ``_quote`` and the participant's candidate for its first forecast in ``_first``.
-
-    Both are partial aggregates, so a participant's quotes are reduced in the map tasks.
-    """
+    ``_quote``. Each map task keeps one row per pair (window group limit)."""
     require_columns(joined, ("predicted_strikeouts", "side", "line", "price", *group_keys), "joined_quotes")
-    sided = joined.withColumn("side_norm", side_key(F.col("side")))
+    sided = joined.withColumn("side_norm", side_key(F.col("side"))).filter("line is not null")
     rank = F.lit(None)
     for rule in (policy.rule("over"), policy.rule("under")):
         rank = F.when(F.col("side_norm") == rule.side, rule.rank()).otherwise(rank)
-    # The rest of the row settles ties, so the winner does not depend on row order.
+    # Ties go by named columns, then by all others, so the winner never follows row order.
     ties = [c for c in ("bookmaker", "game_date") if c in joined.columns]
-    candidate = F.struct(rank.alias("_rank"), *ties, F.struct(*joined.columns).alias("_whole"))
-    return sided.groupBy(*group_keys, "side_norm").agg(
-        F.min(F.when(F.col("line").isNotNull(), candidate)).getField("_whole").alias("_quote"),
-        F.min(_first_seen(joined)).alias("_first"),
-    )
+    ties += [c for c in joined.columns if c not in {*ties, *group_keys}]
+    best = Window.partitionBy(*group_keys, "side_norm").orderBy(rank, *ties)
+    chosen = sided.withColumn("_rn", F.row_number().over(best)).filter("_rn = 1")
+    return chosen.select(*group_keys, "side_norm", F.struct(*joined.columns).alias("_quote"))
 
 
 def choose_side(
-    side_quotes: DataFrame, policy: PickPolicy = DEFAULT_POLICY, *, group_keys: Sequence[str] = ("player_name_proj",)
+    side_quotes: DataFrame,
+    forecasts: DataFrame,
+    policy: PickPolicy = DEFAULT_POLICY,
+    *,
+    group_keys: Sequence[str] = ("player_name_proj",),
 ) -> DataFrame:
     """Per participant the side with the larger edge over its first forecast."""
-    by_side = side_quotes.groupBy(*group_keys).agg(
-        F.min("_first").alias("_first"),
-        *[
-            F.max_by(F.col("_quote"), F.when(F.col("side_norm") == side, F.lit(1))).alias(f"_{side}")
-            for side in ("over", "under")
-        ],
-    )
-    predicted = F.col("_first.predicted_strikeouts")
-    edges = by_side.withColumns(
-        {"_over_edge": predicted - F.col("_over.line"), "_under_edge": F.col("_under.line") - predicted}
-    )
-    over, under = F.col("_over_edge"), F.col("_under_edge")
-    tie = F.lit("under" if policy.tie_side == "under" else "over")
-    side = (
-        F.when(under.isNull(), "over").when(over.isNull(), "under")
-        .when(over > under, "over").when(under > over, "under").otherwise(tie)
-    )
-    chosen = edges.filter(over.isNotNull() | under.isNotNull()).withColumn("pick_side", side)
-    is_over = F.col("pick_side") == "over"
-    return chosen.select(
-        F.when(is_over, F.col("_over")).otherwise(F.col("_under")).alias("_chosen"),
-        F.when(is_over, over).otherwise(under).alias("edge"),
-        "pick_side",
-    ).select("_chosen.*", F.col("edge").alias("_edge"), "pick_side").drop("edge").withColumnRenamed("_edge", "edge")
+    over = F.col("side_norm") == "over"
+    gap = F.col("_first_forecast") - F.col("_quote.line")
+    # A missing key is a group of its own, as in the windows.
+    named = forecasts.withColumnsRenamed({k: f"_of_{k}" for k in group_keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in group_keys]
+    sides = side_quotes.filter(F.col("side_norm").isin("over", "under")).join(named, same)
+    sides = sides.withColumn("_edge", F.when(over, gap).otherwise(-gap)).filter("_edge is not null")
+    tie = F.col("side_norm") == ("under" if policy.tie_side == "under" else "over")
+    larger = Window.partitionBy(*group_keys).orderBy(F.col("_edge").desc(), tie.desc())
+    chosen = sides.withColumn("_rn", F.row_number().over(larger)).filter("_rn = 1")
+    whole = chosen.select("_quote.*", "_edge", F.col("side_norm").alias("pick_side")).drop("edge")
+    return whole.withColumnRenamed("_edge", "edge")
 
 
 def daily_picks(
@@ -155,13 +149,15 @@ def daily_picks(
     group_keys: Sequence[str] = ("player_name_proj",),
     strict: bool = True,
 ) -> DataFrame:
-    """One pick per participant with class, value score and confidence tier, ordered."""
+    """One pick per participant with class, value score and confidence tier. The rows come in
+    no order; ``policy.order()`` is the one to save or show them in."""
     if "player_name_proj" not in joined.columns:
         require_columns(joined, ("player_name",), "joined_quotes")
         joined = joined.withColumn("player_name_proj", F.col("player_name"))
     check_contract(joined, replace(JOINED_CONTRACT, allow_empty=True), strict=strict)
     whole = joined.dropna(subset=["player_name_proj", "predicted_strikeouts", "side", "line"])
-    chosen = choose_side(best_side_quotes(whole, policy, group_keys=group_keys), policy, group_keys=group_keys)
+    best = best_side_quotes(whole, policy, group_keys=group_keys)
+    chosen = choose_side(best, first_forecasts(whole, group_keys=group_keys), policy, group_keys=group_keys)
     name = F.col("player_name_proj")
     if "player_name" in chosen.columns:
         name = F.coalesce(name, F.col("player_name"))
@@ -180,7 +176,7 @@ def daily_picks(
     )
     leading = [c for c in PICK_FIRST_COLUMNS if c in scored.columns]
     others = [c for c in scored.columns if c not in leading]
-    picks = scored.select(*leading, *others).orderBy(*policy.order())
+    picks = scored.select(*leading, *others)
     # The joined contract leaves no missing value for the picks contract to find.
     return check_contract(picks, PICKS_CONTRACT, strict=False)
 

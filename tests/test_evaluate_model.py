@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from tallyline.contracts import ContractError
-from tallyline.operators import evaluate, model
+from tallyline.operators import evaluate, model, sketches
 from tallyline.operators.quantiles import exact_quantiles
 from tallyline.schemas import MODEL_FEATURES, UNCERTAINTY_COLUMNS
 
@@ -123,3 +123,47 @@ def test_training_learns(spark):
     assert sum(r.abs_error for r in rows) < baseline / 2
     assert model.feature_importance(fitted).first().feature == MODEL_FEATURES[0]
     assert model.score_latest(fitted, table(spark)).count() == 20
+
+
+def test_error_by_round(spark):
+    train, test = model.time_split(table(spark), "2026-01-01")
+    fitted = model.train_model(train, params=model.BoostParams(rounds=12, step_size=0.2))
+    got = model.error_by_round(fitted, {"train": train, "test": test, "none": test.limit(0)}).collect()
+    assert [r["round"] for r in got] == list(range(1, 13)) and {r["none"] for r in got} == {None}
+    for name, rows in (("train", train), ("test", test)):
+        scored = evaluate.prediction_results(model.score(fitted, rows))
+        assert got[-1][name] == pytest.approx(evaluate.regression_metrics(scored).first().rmse)
+        assert got[0][name] > got[-1][name]
+    tree = fitted.stages[-1].trees[0]
+    rows = fitted.stages[0].transform(test).select("features", "strikeouts").collect()
+    errors = [(tree.predict(r["features"]) - r["strikeouts"]) ** 2 for r in rows]
+    assert got[0]["test"] == pytest.approx(np.sqrt(np.mean(errors)))
+
+
+def test_early_stopping(spark):
+    """Labels without a pattern: the held-out error stops falling, and boosting with it."""
+    from pyspark.sql import functions as F
+
+    noise = table(spark).withColumn("strikeouts", F.rand(3)).withColumn("held", F.col("game_pk") % 4 == 0)
+    params = model.BoostParams(rounds=40, step_size=0.3)
+    stopped = model.train_model(noise, params=params, validation="held").stages[-1].getNumTrees
+    assert stopped < 40 == model.train_model(noise, params=params).stages[-1].getNumTrees
+
+
+def test_sketches_of_days_merge_into_any_range(spark):
+    rng = random.Random(9)
+    data = [(DAY + datetime.timedelta(days=rng.randrange(30)), rng.paretovariate(1.5)) for _ in range(6000)]
+    df = spark.createDataFrame([*data, (DAY, None), (None, 1.0), (DAY, float("nan"))], "game_date date, x double")
+    stored = sketches.daily_sketches(df, "x")
+    for start, end in ((None, None), ("2025-04-05", "2025-04-09"), ("2025-04-30", None)):
+        values = sorted(x for d, x in data if (not start or str(d) >= start) and (not end or str(d) <= end))
+        got = sketches.range_quantiles(stored.filter("game_date is not null"), (0.05, 0.5, 0.95), start=start, end=end).collect()
+        assert {r["n"] for r in got} == {len(values)}
+        for r in got:
+            rank = np.searchsorted(values, r["quantile"], side="right") / len(values)
+            assert abs(rank - r["probability"]) <= 2 * sketches.RANK_ERROR
+    assert sketches.range_quantiles(stored, (0.5,), start="2031-01-01").count() == 0
+    whole = sketches.rank_shares(df, "x", spark.createDataFrame([(0.5, 2.0), (0.9, 0.0)], "probability double, quantile double"))
+    shares = {r["probability"]: (r["below"], r["up_to"]) for r in whole.collect()}
+    values = [x for _, x in data] + [1.0, float("inf")]  # NaN sorts above all numbers
+    assert shares[0.9] == (0.0, 0.0) and shares[0.5][0] == pytest.approx(sum(v < 2 for v in values) / len(values))
