@@ -3,25 +3,42 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyline import session
 from tallyline.contracts import contract_report
 from tallyline.functions.names import canonical_name, entity_name, quote_name, slate_name
-from tallyline.operators import backtest, evaluate, ledger, lines, market, model, picks, rollup, serving, slate, trailing
+from tallyline.operators import (
+    backtest,
+    evaluate,
+    ledger,
+    lines,
+    market,
+    model,
+    picks,
+    rollup,
+    serving,
+    sketches,
+    slate,
+    trailing,
+)
+from tallyline.plans import incremental
+from tallyline.plans import ledger as ledger_store
 from tallyline.plans.ledger import ledger_report
 from tallyline.plans.serving import slate_features
 from tallyline.plans.slate import build_slate
 from tallyline.queries import inputs, tables
-from tallyline.schemas import MODEL_FEATURES, SLATE_CONTRACT
+from tallyline.schemas import LINES_CONTRACT, MODEL_FEATURES, QUOTES_DOCUMENT, SLATE_CONTRACT
 from tallyline.session import materialize
-from tallyline.sources import paths
-from tallyline.sources.nested import flatten_quotes, flatten_schedule, market_documents
+from tallyline.sources import paths, publish, versions
+from tallyline.sources.checked import CORRUPT, set_aside, write_checked
+from tallyline.sources.nested import flatten_quotes, flatten_schedule, market_documents, parse_documents
 from tallyline.sources.readers import events_between
 from tallyline.sources.snapshots import land_snapshots
-from tallyline.streaming import curation
+from tallyline.streaming import curation, upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -135,6 +152,43 @@ def entity_history(spark, sf):
     return rounded(inputs.history(spark, sf))
 
 
+CORRECTED_DAY = "1997-04-01"
+# Deliveries by the first day that is not in them any more.
+DELIVERIES = ("1997-01-01", "1997-07-01", "1998-01-01", "1999-04-01", "2100-01-01")
+
+
+def _wrong_first(events: DataFrame) -> DataFrame:
+    """The events as first delivered: the corrected day without half of its rows."""
+    return events.filter((F.col("game_date") != CORRECTED_DAY) | (F.col("inning") % 2 == 1))
+
+
+@query
+def history_incremental(spark, sf):
+    """The history built in five deliveries and a late correction of one day."""
+    store, events = session.new_folder(spark, "history-store"), tables.EVENTS.read(spark, sf)
+    day, since = F.col("game_date"), "1900-01-01"
+    for until in DELIVERIES:
+        part = _wrong_first(events).filter((day >= since) & (day < until))
+        incremental.update_history(spark, store, part, strict=False)
+        since = until
+    incremental.update_history(spark, store, events.filter(day == CORRECTED_DAY), strict=False)
+    return rounded(incremental.stored_history(spark, store))
+
+
+@query
+def history_update_counts(spark, sf):
+    """How many days two deliveries bring, and how many they write: all days, then one again."""
+    store, events = session.new_folder(spark, "history-store"), tables.EVENTS.read(spark, sf)
+    whole = incremental.update_history(spark, store, _wrong_first(events), strict=False)
+    late = incremental.update_history(spark, store, events.filter(F.col("game_date") == CORRECTED_DAY), strict=False)
+    rows = [
+        (step, u.days_delivered, u.entities_touched, u.groups_touched, u.history_days_written)
+        for step, u in enumerate((whole, late), start=1)
+    ]
+    layout = "step int, days_delivered long, entities_touched long, groups_touched long, history_days_written long"
+    return spark.createDataFrame(rows, layout)
+
+
 @query
 def latest_row(spark, sf):
     newest = trailing.latest_rows(inputs.periods(spark, sf), ("pitcher",), trailing.PERIOD_ORDER)
@@ -146,6 +200,14 @@ def latest_context_asof(spark, sf):
     return rounded(trailing.group_context(inputs.history(spark, sf), AS_OF_DAY))
 
 
+@query
+def context_asof_rows(spark, sf):
+    """Every slate row with the context of its opponent as of the row's own day."""
+    history = materialize(inputs.history(spark, sf), "history")
+    slate_rows = tables.SLATE.read(spark, sf).select("game_pk", "game_date", "opponent")
+    return rounded(serving.add_context_per_row(slate_rows, history))
+
+
 # ---- model table -------------------------------------------------------------------
 
 
@@ -255,6 +317,30 @@ def quotes_flatten(spark, sf):
     return flatten_quotes(market_documents(inputs.quote_documents(spark, sf)))
 
 
+@query
+def quotes_alternates(spark, sf):
+    """One market of documents that hold two, both with outcomes."""
+    documents = market_documents(inputs.quote_documents(spark, sf, alternates=True))
+    return flatten_quotes(documents, market="alternates")
+
+
+@query
+def quotes_broken(spark, sf):
+    """Quotes of documents some of which are broken; those are set aside and cost no other."""
+    documents = parse_documents(inputs.broken_quote_texts(spark, sf), "text", QUOTES_DOCUMENT, corrupt=CORRUPT)
+    return flatten_quotes(market_documents(set_aside(documents).good))
+
+
+@query
+def documents_set_aside(spark, sf):
+    """How many documents came and how many are broken, as the job that wrote them counted."""
+    documents = parse_documents(inputs.broken_quote_texts(spark, sf), "text", QUOTES_DOCUMENT, corrupt=CORRUPT)
+    made = set_aside(documents)
+    kept = made.good.agg(F.count(F.lit(1)).alias("good_rows"))
+    bad = made.bad.agg(F.count(F.lit(1)).alias("bad_rows")).scalar()
+    return kept.select(F.lit(made.counts["rows"]).cast("long").alias("rows"), "good_rows", bad.alias("bad_rows"))
+
+
 @query
 def schedule_flatten(spark, sf):
     return flatten_schedule(inputs.schedule_documents(spark, sf))
@@ -310,6 +396,42 @@ def lines_streamed(spark, sf):
     return _lines_output(curation.curated_from_log(spark, log))
 
 
+@query
+def lines_streamed_state(spark, sf):
+    """Snapshots in two drops, curated by a stream with state that is stopped in between; the
+    watermark lies far enough back for all of them."""
+    dropped, store, progress = (session.new_folder(spark, label) for label in ("dropped", "lines", "progress"))
+    for part in _two_kinds(spark, sf):
+        part.write.mode("append").parquet(dropped)
+        upsert.curate_stateful(curation.snapshot_stream(spark, dropped), store, progress, delay="3650 days").awaitTermination()
+    return _lines_output(upsert.current_lines(spark, store))
+
+
+@query
+def lines_checked(spark, sf):
+    """Snapshots as they come, checked by the job that writes them: rows by what is wrong."""
+    rows = lines.normalize_snapshots(tables.DIRTY_LINES.read(spark, sf))
+    contract = replace(LINES_CONTRACT, unique=())
+    checked = write_checked(rows, contract, strict=False)
+    found = checked.bad.select(F.explode("problems").alias("problem")).groupBy("problem").agg(F.count(F.lit(1)).alias("n"))
+    whole = spark.createDataFrame([(n, k) for n, k in checked.counts.items()], "problem string, counted long")
+    good = checked.good.agg(F.lit("good").alias("problem"), F.count(F.lit(1)).alias("n"))
+    by_check = whole.filter("counted > 0 and problem not in ('rows', 'bad_rows')").join(found, "problem", "left")
+    return by_check.select("problem", "counted", "n").unionByName(
+        good.select("problem", F.lit(checked.counts["rows"] - checked.counts["bad_rows"]).cast("long").alias("counted"), "n")
+    )
+
+
+@query
+def lines_published(spark, sf):
+    """Curated lines committed twice: first those of some books, then all."""
+    store = session.new_folder(spark, "lines-store")
+    curated = lines.curate_lines(inputs.snapshots(spark, sf), strict=False)
+    publish.publish_table(curated.filter("bookmaker < 'd'"), store, publish.LINES)
+    publish.publish_table(curated, store, publish.LINES)
+    return _lines_output(spark.read.parquet(versions.current(spark, store).path(publish.LINES)))
+
+
 # ---- market ------------------------------------------------------------------------
 
 
@@ -328,6 +450,17 @@ def forecast_quote_join(spark, sf):
     )
 
 
+@query
+def forecast_quote_collation(spark, sf):
+    """Forecasts and quotes whose names differ in accents and case, joined by collation."""
+    accented = F.translate(F.upper("player_name"), "ELI", "ÉĽÎ")
+    quotes = flatten_quotes(market_documents(inputs.quote_documents(spark, sf))).withColumn("player_name", accented)
+    joined = market.join_quotes_by_collation(inputs.forecasts(spark, sf), quotes.drop("player_name_norm"))
+    return rounded(
+        joined.select("event_id", "bookmaker", "side", "line", "price", "player_name_proj", "player_name_odds", "edge")
+    )
+
+
 def _line_joined(spark, sf):
     curated = lines.curate_lines(inputs.snapshots(spark, sf), strict=False)
     return market.join_historical_lines(inputs.daily_forecasts(spark, sf), curated, strict=False)
@@ -442,6 +575,30 @@ def ledger_upsert(spark, sf):
     return ledger.upsert_ledger(tables.LEDGER.read(spark, sf), inputs.new_ledger_rows(spark, sf))
 
 
+@query
+def ledger_bucketed(spark, sf):
+    """The upsert on the stored ledger, of which only the buckets of new keys are written."""
+    root = session.new_folder(spark, "ledger-store")
+    ledger_store.replace_ledger(spark, tables.LEDGER.read(spark, sf), root)
+    ledger_store.upsert_rows(spark, inputs.new_ledger_rows(spark, sf), root)
+    return ledger_store.read_current_ledger(spark, root)
+
+
+@query
+def ledger_buckets_written(spark, sf):
+    """The buckets of the stored ledger with their rows, and whether the ten first of the
+    new keys have them written anew, as the folders of both versions show."""
+    root = session.new_folder(spark, "ledger-store")
+    before = ledger_store.replace_ledger(spark, tables.LEDGER.read(spark, sf), root)
+    ten = inputs.new_ledger_rows(spark, sf).orderBy("pick_key").limit(10)
+    after = ledger_store.upsert_rows(spark, ten, root)
+    kept = set(ledger_store.bucket_folders(before)) & set(ledger_store.bucket_folders(after))
+    folders = after.under(ledger_store.LEDGER)
+    written = spark.createDataFrame([(int(b), f not in kept) for b, f in folders.items()], "bucket long, written boolean")
+    rows = ledger_store.read_version(spark, after).groupBy(ledger.ledger_bucket(ledger_store.BUCKETS).alias("bucket"))
+    return rows.agg(F.count(F.lit(1)).alias("n")).join(written, "bucket").select("bucket", "n", "written")
+
+
 @query
 def ledger_graded(spark, sf):
     rows = ledger.graded_ledger(tables.LEDGER.read(spark, sf))
@@ -488,6 +645,23 @@ def interval_fit(spark, sf):
     return rounded(spark.createDataFrame([tuple(kept.values())], layout))
 
 
+@query
+def sketched_quantiles(spark, sf):
+    """Quantiles of the absolute error over two ranges of days from stored daily sketches:
+    whether the rank of each lies as near its probability as the sketch allows."""
+    results = materialize(inputs.results(spark, sf).select("game_date", "abs_error"), "results")
+    stored = materialize(sketches.daily_sketches(results, "abs_error"), "sketches")
+    out = []
+    for label, until in (("all", None), ("before split", SPLIT_DAY)):
+        chosen = results if until is None else results.filter(F.col("game_date") <= until)
+        quantiles = materialize(sketches.range_quantiles(stored, (0.1, 0.5, 0.9), end=until), "quantiles")
+        exact = sketches.rank_shares(chosen, "abs_error", quantiles)
+        far = F.greatest(F.col("below") - F.col("probability"), F.col("probability") - F.col("up_to"))
+        near = exact.select("probability", (far <= 2 * sketches.RANK_ERROR).alias("near"))
+        out.append(near.join(quantiles, "probability").select(F.lit(label).alias("days"), "probability", "n", "near"))
+    return out[0].unionByName(out[1])
+
+
 FIXED_INTERVAL = {"interval_multiplier": 1.37, "nominal_coverage": 0.8, "method": "fixed"}
 
 
@@ -517,8 +691,14 @@ def error_buckets(spark, sf):
 _fitted: dict[tuple[str, str], tuple] = {}
 
 
+def forget_models() -> None:
+    """Let the next query train again; a bench calls it before each timed run."""
+    _fitted.clear()
+
+
 def _trained(spark, sf):
-    """The model with the workload's own parameters, trained once per session and table."""
+    """The model with the workload's own parameters, trained once per session and table for
+    the queries that ask different things of it."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _fitted:
         table = materialize(model.model_table(inputs.history(spark, sf)), "model-table")
@@ -560,6 +740,33 @@ def gbt_learns(spark, sf):
     return errors.agg(F.count(F.lit(1)).alias("n"), (F.avg("own") < F.avg("plain")).alias("below_mean"))
 
 
+@query
+def gbt_train(spark, sf):
+    """Training alone: the rounds of the model, as many as the workload asks for."""
+    fitted, _, train, _ = _trained(spark, sf)
+    trees = fitted.stages[-1].getNumTrees
+    return train.agg(F.count(F.lit(1)).alias("n"), F.lit(trees).cast("long").alias("rounds"))
+
+
+@query
+def gbt_error_by_round(spark, sf):
+    """The error after each round on both sides of the split; that of the last round beside
+    the root mean squared error of the scored rows."""
+    fitted, _, train, test = _trained(spark, sf)
+    rounds = model.error_by_round(fitted, {"train": train, "test": test})
+    scored = evaluate.prediction_results(model.score(fitted, test))
+    rmse = evaluate.regression_metrics(scored).select("rmse").scalar()
+    last = F.abs(F.col("test") - rmse) < 1e-9
+    # A row a round: few enough for one task.
+    falls = F.col("train") <= F.first("train").over(Window.orderBy("round"))
+    return rounds.select(
+        "round",
+        (F.col("train").isNotNull() & F.col("test").isNotNull()).alias("known"),
+        falls.alias("below_first"),
+        F.when(F.col("round") == model.BoostParams().rounds, last).alias("last_is_rmse"),
+    )
+
+
 @query
 def feature_importance(spark, sf):
     fitted, _, _, _ = _trained(spark, sf)

@@ -38,9 +38,10 @@ def results(spark: SparkSession, sf: str) -> DataFrame:
     return prediction_results(scored)
 
 
-def quote_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """One JSON quote document per event: two books, one market with two outcomes and
-    one without any; some documents have no books or no id."""
+def quote_texts(spark: SparkSession, sf: str, *, alternates: bool = False) -> DataFrame:
+    """Rows (event_id, text): one JSON quote document per event with two books, one market
+    with two outcomes and one without any, or with one if there are ``alternates``; some
+    documents have no books or no id."""
     seeds = tables.QUOTE_SEEDS.read(spark, sf)
 
     def outcome(side, line, price):
@@ -54,10 +55,11 @@ def quote_documents(spark: SparkSession, sf: str) -> DataFrame:
         return F.struct(F.lit(key).alias("key"), (F.array(*outcomes) if outcomes else empty).alias("outcomes"))
 
     def book(key, over, under):
+        more = [outcome("Over", F.col("line") + 10, F.col("price"))] if alternates else []
         return F.struct(
             F.col(key).alias("key"),
             F.date_format("event_day", "yyyy-MM-dd").alias("last_update"),
-            F.array(market("pitcher_strikeouts", over, under), market("alternates")).alias("markets"),
+            F.array(market("pitcher_strikeouts", over, under), market("alternates", *more)).alias("markets"),
         )
 
     line, price = F.col("line"), F.col("price")
@@ -73,7 +75,20 @@ def quote_documents(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("AWY").alias("away_team"),
         F.when(F.col("event_id") % 11 == 0, F.slice(books, 1, 0)).otherwise(books).alias("bookmakers"),
     )
-    return parse_documents(seeds.select(F.to_json(document).alias("text")), "text", QUOTES_DOCUMENT)
+    return seeds.select("event_id", F.to_json(document).alias("text"))
+
+
+def quote_documents(spark: SparkSession, sf: str, **options) -> DataFrame:
+    return parse_documents(quote_texts(spark, sf, **options), "text", QUOTES_DOCUMENT)
+
+
+def broken_quote_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """The quote documents as they may arrive: some cut off, some with a word for a list."""
+    texts = quote_texts(spark, sf)
+    cut = F.expr("substring(text, 1, length(text) - 9)")
+    wrong = F.lit('{"id": "x", "bookmakers": "none"}')
+    text = F.when(F.col("event_id") % 19 == 0, cut).when(F.col("event_id") % 23 == 0, wrong).otherwise(F.col("text"))
+    return texts.select(text.alias("text"))
 
 
 def schedule_documents(spark: SparkSession, sf: str) -> DataFrame:

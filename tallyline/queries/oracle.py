@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from tallyline.queries import tables
-from tallyline.queries.catalog import AS_OF_DAY, FIXED_INTERVAL, SPLIT_DAY
+from tallyline.plans.ledger import BUCKETS
+from tallyline.queries.catalog import AS_OF_DAY, CORRECTED_DAY, FIXED_INTERVAL, SPLIT_DAY
 
 WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
@@ -354,6 +355,28 @@ _intervals = f"""SELECT *, raw_std_dev * {_interval} AS std_dev,
  FROM (SELECT *, greatest(coalesce(strikeouts_stddev_last10, 0), 0) AS raw_std_dev FROM res)"""
 
 
+_history_columns = (
+    "game_date, game_pk, opponent_team, pitcher, player_name, pitches, strikeouts, whiffs, "
+    "batters_faced, home_team, away_team, p_throws, pitching_team, "
+    + _rounded(
+        "avg_velo", "avg_spin", "whiff_per_pitch", "opp_strikeouts_per_game_last10", "opp_k_rate_last10",
+        *MEAN_NAMES, *DISPERSION_NAMES, "k_per_pitch_last10", "k_rate_last10",
+    )
+)
+
+
+def _reached(source: str, key: str) -> str:
+    """Rows of the keys of the corrected day, from it to the tenth row after it."""
+    return f"""SELECT game_date, {key} AS key FROM (SELECT *, min(i) FILTER (game_date = DATE '{CORRECTED_DAY}')
+ OVER (PARTITION BY {key}) AS a, max(i) FILTER (game_date = DATE '{CORRECTED_DAY}') OVER (PARTITION BY {key}) AS b
+ FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY game_date, game_pk) AS i FROM {source}))
+ WHERE i BETWEEN a AND b + 10"""
+
+
+def _bucket(key: str) -> str:
+    return f"CAST('0x' || substr(md5({key}), 1, 8) AS BIGINT) % {BUCKETS}"
+
+
 def _document_names(expression: str) -> str:
     return f"SELECT doc_id, {expression} AS name FROM documents"
 
@@ -369,6 +392,20 @@ def statements() -> dict[str, str]:
             (0, 0, "a", "h", 0), (0, 1, "h", "a", 1), (1, 2, "a", "h", 0), (1, 3, "h", "a", 1)
         )
     )
+    alternates = " UNION ALL ".join(
+        _outcome(book, "'Over'", "line + 10", "price").replace("'pitcher_strikeouts' AS", "'alternates' AS")
+        for book in ("book_a", "book_b")
+    )
+    upserted = _sql(
+        "SELECT l.* FROM ledger l WHERE NOT EXISTS (SELECT 1 FROM newrows n WHERE n.pick_key = l.pick_key) "
+        "UNION ALL BY NAME SELECT n.pick_key, "
+        + ", ".join(f"'' AS {c}" for c in _blank_columns)
+        + ", CAST(n.quantity AS VARCHAR) AS predicted_strikeouts, 'official' AS pick_type, "
+        + _upserted("result", "CASE WHEN n.quantity % 5 = 0 THEN 'L' ELSE '' END") + ", "
+        + _upserted("actual_strikeouts", "''") + ", "
+        + _upserted("record_source", "'run_daily_card'")
+        + " FROM newrows n LEFT JOIN ledger o ON o.pick_key = n.pick_key", "ledger", "newrows",
+    )
     return {
         "event_flags": _sql(
             "SELECT game_date, description, events, count(*) AS n, CAST(sum(is_k) AS BIGINT) AS k, "
@@ -408,14 +445,17 @@ def statements() -> dict[str, str]:
             "SELECT game_date, game_pk, pitcher, pitches, batters_faced FROM per "
             "WHERE pitches >= 25 OR batters_faced >= 18", *PERIODS,
         ),
-        "entity_history": _sql(
-            "SELECT game_date, game_pk, opponent_team, pitcher, player_name, pitches, strikeouts, whiffs, "
-            "batters_faced, home_team, away_team, p_throws, pitching_team, "
-            + _rounded(
-                "avg_velo", "avg_spin", "whiff_per_pitch", "opp_strikeouts_per_game_last10", "opp_k_rate_last10",
-                *MEAN_NAMES, *DISPERSION_NAMES, "k_per_pitch_last10", "k_rate_last10",
-            )
-            + " FROM hist", *HISTORY,
+        "entity_history": _sql(f"SELECT {_history_columns} FROM hist", *HISTORY),
+        "history_incremental": _sql(f"SELECT {_history_columns} FROM hist", *HISTORY),
+        "history_update_counts": _sql(
+            "SELECT 1::INTEGER AS step, (SELECT count(DISTINCT game_date) FROM ev) AS days_delivered, "
+            "(SELECT count(DISTINCT pitcher) FROM per) AS entities_touched, "
+            "(SELECT count(DISTINCT batting_team) FROM gp) AS groups_touched, "
+            "(SELECT count(DISTINCT game_date) FROM per) AS history_days_written UNION ALL "
+            f"SELECT 2::INTEGER, (SELECT count(DISTINCT game_date) FROM ev WHERE game_date = DATE '{CORRECTED_DAY}'), (SELECT count(DISTINCT key) FROM ({_reached('per', 'pitcher')})), "
+            f"(SELECT count(DISTINCT key) FROM ({_reached('gp', 'batting_team')})), (SELECT count(*) FROM ("
+            f"SELECT game_date FROM ({_reached('per', 'pitcher')}) UNION "
+            f"SELECT game_date FROM ({_reached('gp', 'batting_team')})))", *PERIODS, "gp",
         ),
         "latest_row": _sql(
             "SELECT pitcher, game_date, game_pk, strikeouts, pitches FROM (SELECT *, row_number() OVER "
@@ -425,6 +465,13 @@ def statements() -> dict[str, str]:
             "SELECT opponent_team, " + _rounded("opp_strikeouts_per_game_last10", "opp_k_rate_last10")
             + f" FROM ({_context(f'''DATE '{AS_OF_DAY}' ''')})", *HISTORY,
         ),
+        "context_asof_rows": _sql(
+            "SELECT game_pk, game_date, opponent, " + _rounded("opp_strikeouts_per_game_last10", "opp_k_rate_last10")
+            + " FROM (SELECT s.game_pk, s.game_date, s.opponent, h.opp_strikeouts_per_game_last10, h.opp_k_rate_last10, "
+            "row_number() OVER (PARTITION BY s.game_pk ORDER BY h.game_date DESC, h.game_pk DESC, h.pitcher DESC) AS rn "
+            "FROM sl s LEFT JOIN hist h ON h.opponent_team = s.opponent AND h.game_date < s.game_date) WHERE rn = 1",
+            *HISTORY, "sl",
+        ),
         "model_table": _sql(
             "SELECT game_date, game_pk, pitcher, player_name, strikeouts, "
             + _rounded(*FEATURES, *DISPERSION_NAMES) + " FROM model", *MODEL,
@@ -446,6 +493,11 @@ def statements() -> dict[str, str]:
         "gbt_learns": _sql(
             f"SELECT count(*) AS n, true AS below_mean FROM model WHERE game_date < DATE '{SPLIT_DAY}'", *MODEL
         ),
+        "gbt_train": _sql(
+            f"SELECT count(*) AS n, 200::BIGINT AS rounds FROM model WHERE game_date < DATE '{SPLIT_DAY}'", *MODEL
+        ),
+        "gbt_error_by_round": "SELECT range::INTEGER AS round, true AS known, true AS below_first, "
+        "CASE WHEN range = 200 THEN true END AS last_is_rmse FROM range(1, 201)",
         "feature_importance": "SELECT 1.0::DOUBLE AS total_gain, true AS known, true AS \"distinct\"",
         "date_ranges": _sql(
             "SELECT strftime(min(game_date), '%Y-%m-%d') AS start, strftime(max(game_date), '%Y-%m-%d') AS \"end\" "
@@ -501,17 +553,44 @@ def statements() -> dict[str, str]:
             _entity_name("replace(replace(replace(text, '.', ''), '''', ''), '-', ' ')")
         ),
         "quotes_flatten": _sql("SELECT * FROM quotes", *QUOTES),
+        "quotes_alternates": _sql(alternates, "seeds"),
+        "quotes_broken": _sql(
+            "SELECT * FROM quotes WHERE CAST(substr(event_id, 5) AS BIGINT) % 19 <> 0 "
+            "AND CAST(substr(event_id, 5) AS BIGINT) % 23 <> 0", *QUOTES,
+        ),
+        "documents_set_aside": _sql(
+            "SELECT count(*) AS rows, count(*) FILTER (event_id % 19 <> 0 AND event_id % 23 <> 0) AS good_rows, "
+            "count(*) FILTER (event_id % 19 = 0 OR event_id % 23 = 0) AS bad_rows FROM seeds", "seeds",
+        ),
         "schedule_flatten": scheduled,
         "slate_build": "SELECT * REPLACE (upper(team) AS team, upper(opponent) AS opponent, "
         f"upper(home_team) AS home_team, upper(away_team) AS away_team) FROM ({scheduled})",
         "lines_normalize": _normalized(tables.DIRTY_LINES.sql()),
         "lines_curate": _sql("SELECT * FROM cur", "snap", "cur"),
         "lines_landed": _sql("SELECT * FROM snap", "snap"),
+        "lines_streamed_state": _sql("SELECT * FROM cur", "snap", "cur"),
+        "lines_checked": " UNION ALL ".join(
+            [
+                f"SELECT 'null {c}' AS problem, count(*) AS counted, count(*) AS n FROM ({_normalized(tables.DIRTY_LINES.sql())}) "
+                f"WHERE {c} IS NULL HAVING count(*) > 0"
+                for c in ("line", "price")
+            ]
+            + [
+                f"SELECT 'good', count(*), count(*) FROM ({_normalized(tables.DIRTY_LINES.sql())}) "
+                "WHERE line IS NOT NULL AND price IS NOT NULL"
+            ]
+        ),
+        "lines_published": _sql("SELECT * FROM cur", "snap", "cur"),
         "lines_streamed": _sql("SELECT * FROM cur", "snap", "cur"),
         "forecast_quote_join": _sql(
             "SELECT event_id, bookmaker, side, line, price, player_name_proj, player_name_odds, player_name_norm, "
             f"team, {_rounded('predicted_strikeouts', 'edge')} FROM joined", *JOINED,
         ),
+        "forecast_quote_collation": _sql(
+            "SELECT event_id, bookmaker, side, line, price, player_name_proj, "
+            "translate(upper(player_name_odds), 'ELI', 'ÉĽÎ') AS player_name_odds, "
+            f"{_rounded('edge')} FROM joined", *JOINED,
+        ),
         "forecast_lines_join": _sql(
             "SELECT game_date, player_name_norm, player_name_proj, player_name_line, bookmaker, side, line, price, "
             f"actual_strikeouts, {_rounded('predicted_strikeouts', 'edge')} FROM lj", *LINES,
@@ -563,15 +642,13 @@ def statements() -> dict[str, str]:
             "pick_side, confidence_tier, pick_type, '' AS result, '' AS actual_strikeouts, "
             "'run_daily_card' AS record_source FROM picks WHERE pick_type = 'official'", *PICKS,
         ),
-        "ledger_upsert": _sql(
-            "SELECT l.* FROM ledger l WHERE NOT EXISTS (SELECT 1 FROM newrows n WHERE n.pick_key = l.pick_key) "
-            "UNION ALL BY NAME SELECT n.pick_key, "
-            + ", ".join(f"'' AS {c}" for c in _blank_columns)
-            + ", CAST(n.quantity AS VARCHAR) AS predicted_strikeouts, 'official' AS pick_type, "
-            + _upserted("result", "CASE WHEN n.quantity % 5 = 0 THEN 'L' ELSE '' END") + ", "
-            + _upserted("actual_strikeouts", "''") + ", "
-            + _upserted("record_source", "'run_daily_card'")
-            + " FROM newrows n LEFT JOIN ledger o ON o.pick_key = n.pick_key", "ledger", "newrows",
+        "ledger_upsert": upserted,
+        "ledger_bucketed": upserted,
+        "ledger_buckets_written": _sql(
+            f"SELECT bucket, count(*) AS n, bool_or(fresh) AS written FROM (SELECT {_bucket('pick_key')} AS bucket, "
+            f"{_bucket('pick_key')} IN (SELECT {_bucket('pick_key')} FROM (SELECT pick_key FROM newrows ORDER BY "
+            "pick_key LIMIT 10)) AS fresh FROM (SELECT pick_key FROM ledger UNION SELECT pick_key FROM "
+            "(SELECT pick_key FROM newrows ORDER BY pick_key LIMIT 10))) GROUP BY bucket", "ledger", "newrows",
         ),
         "ledger_graded": _sql(
             "SELECT pick_key, book, odds, price, result, result_normalized, odds_numeric, gradeable, units_risked, "
@@ -598,6 +675,11 @@ def statements() -> dict[str, str]:
             "round(max(predicted_strikeouts), 6) AS pred_max, min(actual_strikeouts) AS actual_min, "
             "max(actual_strikeouts) AS actual_max FROM res", *RESULTS,
         ),
+        "sketched_quantiles": _sql(
+            "SELECT days, probability, n, true AS near FROM (SELECT 'all' AS days, count(abs_error) AS n FROM res UNION ALL "
+            f"SELECT 'before split', count(abs_error) FROM res WHERE game_date <= DATE '{SPLIT_DAY}'), "
+            "(SELECT unnest([0.1::DOUBLE, 0.5::DOUBLE, 0.9::DOUBLE]) AS probability)", *RESULTS,
+        ),
         "interval_fit": _sql(
             "SELECT 'strikeouts_stddev_last10' AS base_stddev_column, CAST(0.8 AS DOUBLE) AS nominal_coverage, "
             "round(quantile_cont(abs_error / strikeouts_stddev_last10, 0.8), 6) AS interval_multiplier, "
