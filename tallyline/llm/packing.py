@@ -2,12 +2,10 @@
 
 A document is its token ids and an end mark. One longer than a sequence is cut into whole
 sequences; what is left over is its first piece. Pieces are dealt out to as many tasks as
-their number asks for; each task packs its own by bounded-space best fit: the open bins
-are kept by free space, a bitset over the free spaces finds the fullest bin that still
-takes a piece, and when all bins are open the fullest closes. A task that may keep a bin
-open for every piece closes none early and takes its pieces in decreasing length, which
-packs best. With fewer bins than that the long pieces would close theirs before the short
-ones come that fill them, so pieces come in a random order that can be repeated, by hash.
+their number asks for; each task packs its own by bounded-space online best fit: pieces
+come in an order that has nothing to do with their length (by hash, so that it can be
+repeated), the open bins are kept by free space, a bitset over the free spaces finds the
+fullest bin that still takes a piece, and when all bins are open the fullest closes.
 
 Defined cases: a null or empty text is the end mark alone; texts of any length are packed
 whole; repeated rows are packed as often as they occur; an empty table gives no pieces;
@@ -34,9 +32,9 @@ from tallyline.llm.token_counts import byte_symbols
 from tallyline.session import materialize
 
 SEQUENCE = 2048
-# Pieces a task packs, and bins it keeps open: as many, so none closes early.
+# Pieces a task packs, and bins it keeps open at a time.
 PIECES_PER_TASK = 100_000
-OPEN_BINS = PIECES_PER_TASK
+OPEN_BINS = 256
 
 
 class DocumentTokens:
@@ -131,7 +129,7 @@ class OpenBins:
     def __init__(self, capacity: int, most: int):
         self.capacity, self.most = capacity, most
         self.free: list[list[int]] = [[] for _ in range(capacity + 1)]
-        self.bits, self.open, self.made = 0, 0, 0
+        self.bits, self.open, self.made, self.closed = 0, 0, 0, 0
 
     def _take(self, space: int) -> int:
         bins = self.free[space]
@@ -150,6 +148,7 @@ class OpenBins:
         else:
             if self.open >= self.most:
                 self._take((self.bits & -self.bits).bit_length() - 1)
+                self.closed += 1
             space, chosen = self.capacity, self.made
             self.made += 1
         left = space - length
@@ -175,8 +174,7 @@ def pack(
     items = materialize(items.select(*[column(c) for c in names]), "pieces")
     tasks = max(1, -(-items.count() // pieces_per_task))
     by = [column(c) for c in names]
-    order = column(length).desc() if open_bins >= pieces_per_task else F.xxhash64(*by)
-    dealt = items.repartition(tasks).sortWithinPartitions(order, *by)
+    dealt = items.repartition(tasks).sortWithinPartitions(F.xxhash64(*by), *by)
     numbered = dealt.withColumn("_task", F.spark_partition_id().cast("long"))
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in items.schema)
 
