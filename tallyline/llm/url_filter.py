@@ -2,8 +2,8 @@
 
 Rules name a host with its subdomains and the beginning of a path; the longest rule that
 fits decides. Pages that no rule decides take the verdict of their host. Hosts form a graph:
-the absolute links of their pages, and a link both ways between a subdomain and the host
-above it. Trust starts at the hosts of allowed pages and follows the links (personalised
+the absolute links of their pages, and a link both ways between a subdomain and the nearest
+host above it that occurs itself, in a page or in a link. Trust starts at the hosts of allowed pages and follows the links (personalised
 PageRank); distrust starts at the hosts of blocked pages and follows the links backwards, as
 whoever links to a bad host is suspect. Where distrust outweighs trust, a host is blocked.
 
@@ -11,7 +11,8 @@ Defined cases: a url of null or without ``://`` has an empty host and path, fits
 is allowed; a host that neither trust nor distrust reaches is allowed; a null or empty html
 has no links; repeated rows each get their row and count as often in the graph; of rules of
 equal length the first decides; other input columns pass through, those named like a result
-are replaced by it.
+are replaced by it. Ranks are doubles: what is left of a seed's rank after some 4,000 links in
+a row is below the least of them and counts as none.
 """
 
 from __future__ import annotations
@@ -79,9 +80,10 @@ def with_rule(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return pages.withColumns({"rule": rule, "verdict": verdict})
 
 
-def _above(host: Column) -> Column:
-    """The host above a subdomain, null for what has two labels or fewer."""
-    return F.when(host.rlike(r"^[^.]+\.[^.]+\."), F.regexp_replace(host, r"^[^.]+\.", ""))
+def node(host: Column) -> Column:
+    """What a host is in the graph, of a page and at the end of a link alike: its name and
+    port, without credentials and without the ports that browsers add themselves."""
+    return F.regexp_replace(host, r"^.*@|:(?:80|443)?$", "")
 
 
 def host_edges(hosted: DataFrame, *, html: str = "html") -> DataFrame:
@@ -90,20 +92,22 @@ def host_edges(hosted: DataFrame, *, html: str = "html") -> DataFrame:
     links = hosted.filter("host != ''").select(
         F.col("host").alias("src"), F.explode(F.regexp_extract_all(column(html), F.lit(_LINK), F.lit(1))).alias("dst")
     )
-    # Without credentials and port, as hosts are compared by name.
-    name = F.regexp_replace(lower_ascii(F.col("dst")), r"^.*@|:\d*$", "")
-    links = links.select("src", name.alias("dst")).groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
+    links = links.select("src", node(lower_ascii(F.col("dst"))).alias("dst"))
+    links = links.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
     links = materialize(links.filter("src != dst and dst != ''"), "links")
     hosts = hosted.filter("host != ''").select("host").distinct().union(links.select("dst")).distinct()
-    # Every host that names hosts above it, up to two labels.
+    # Every host with the nearest of the names above it, down to two labels, that is a host
+    # itself: of a page or at the end of a link. A name that nobody uses ties nobody.
+    hosts = materialize(hosts, "hosts")
     parts = F.split("host", r"\.")
     depth = F.size(parts)
     steps = F.when(depth > 2, F.sequence(F.lit(1), depth - 2))
-    chain = hosts.select(F.explode(steps).alias("k"), parts.alias("parts")).select(
-        F.array_join(F.slice("parts", F.col("k"), F.size("parts")), ".").alias("low"),
-        F.array_join(F.slice("parts", F.col("k") + 1, F.size("parts")), ".").alias("high"),
+    above = hosts.select(F.col("host").alias("low"), F.explode(steps).alias("k"), parts.alias("parts")).select(
+        "low", "k", F.array_join(F.slice("parts", F.col("k") + 1, F.size("parts")), ".").alias("high")
     )
-    chain = materialize(chain.distinct(), "chain")
+    used = above.join(hosts.select(F.col("host").alias("high")), "high")
+    nearest = used.groupBy("low").agg(F.min("k").alias("k"))
+    chain = materialize(used.join(nearest, ["low", "k"]).select("low", "high"), "chain")
     up = chain.select(F.col("low").alias("src"), F.col("high").alias("dst"), F.lit(1).cast("long").alias("n"))
     down = chain.select(F.col("high").alias("src"), F.col("low").alias("dst"), F.lit(1).cast("long").alias("n"))
     both = links.unionByName(up).unionByName(down)
@@ -157,8 +161,8 @@ def _shares(rows: DataFrame, by: list[str], n: str) -> DataFrame:
 
 
 def host_trust(ruled: DataFrame, *, html: str = "html", **options) -> DataFrame:
-    """Rows (host, trust): the share of trust in what reached a host. ``ruled`` has host and
-    the verdicts of rules."""
+    """Rows (host, trust): the share of trust in what reached a host. ``ruled`` has host, as
+    :func:`node` names it, and the verdicts of rules."""
     edges = materialize(host_edges(ruled, html=html), "graph")
     forward = edges.withColumn("kind", F.lit(ALLOW))
     backward = edges.select(
@@ -186,7 +190,9 @@ def judge(
     """``pages`` without html, with host, path, rule, trust (null where nothing is known)
     and verdict."""
     ruled = with_rule(with_host(pages, url=url), rules)
-    trust = materialize(host_trust(ruled, html=html, **options), "trust")
-    judged = ruled.drop(column(html)).drop("trust").join(trust, "host", "left")
+    graph = ruled.withColumn("host", node(F.col("host")))
+    trust = materialize(host_trust(graph, html=html, **options), "trust").withColumnRenamed("host", "_node")
+    judged = ruled.drop(column(html)).drop("trust").withColumn("_node", node(F.col("host")))
+    judged = judged.join(trust, "_node", "left").drop("_node")
     by_host = F.when(F.col("trust") < least_trust, F.lit(BLOCK)).otherwise(F.lit(ALLOW))
     return judged.withColumn("verdict", F.coalesce("verdict", by_host))
