@@ -111,21 +111,23 @@ def cut_points(text: str, marks: list[list[int]], chunk: int, overlap: int, patt
     neighbours. A cut follows a
     character that is not white space, because white space may look ahead of the cut."""
     cuts = [0]
-    known = marks[0]
+    known, read_to, width = marks[0], min(len(text), chunk + overlap), chunk
     for k in range(1, len(marks)):
-        start, seen = k * chunk, min(len(text), k * chunk + overlap)
+        start, needed = k * chunk, min(len(text), (k + 1) * chunk + overlap)
         found = set(marks[k])
         # The last boundary before the end of what was read may move with more text.
-        trusted = known if seen == len(text) else known[:-1]
+        trusted = known if read_to == len(text) else known[:-1]
         at = next((b for b in trusted if b >= start and b > cuts[-1] and b in found and not text[b - 1].isspace()), None)
-        if at is None:
-            # Out of step: go on from the last sure boundary through the end of this chunk.
-            end = min(len(text), start + chunk + overlap)
-            sure = known[-2] if len(known) > 1 else known[0]
-            known = [b for b in known if b < sure] + boundaries(text[sure:end], pattern, sure)
-        else:
+        if at is not None:
             cuts.append(at)
-            known = marks[k]
+            known, read_to, width = marks[k], needed, chunk
+        elif read_to < needed:
+            # Out of step: go on from the last sure boundary, twice as far each time, so
+            # that one endless word is read a few times and not once for each chunk.
+            sure = known[-2] if len(known) > 1 else known[0]
+            width *= 2
+            read_to = min(len(text), max(needed, sure + width))
+            known = [b for b in known if b < sure] + boundaries(text[sure:read_to], pattern, sure)
     return cuts
 
 
