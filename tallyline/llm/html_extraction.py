@@ -138,16 +138,23 @@ def parse(html: str) -> Tree:
     """The tree of block elements and runs of text of a page."""
     tree = Tree()
     stack: list[tuple[int, str]] = [(tree.add(-1, "page", (), None), "page")]
+    # How often each tag is open, so that no question goes through the whole stack.
+    is_open: Counter = Counter()
     run: list[str] = []
     linked = 0
     in_link = False
 
+    def close() -> str:
+        tag = stack.pop()[1]
+        is_open[tag] -= 1
+        return tag
+
     def end_run() -> None:
         nonlocal linked
         if run:
             text = " ".join(unescape("".join(run)).split())
             node, tag = stack[-1]
-            if text and not any(t == "head" for _, t in stack):
+            if text and not is_open["head"]:
                 kind = f"text in {tag if tag in KNOWN or tag == 'page' else 'other'}"
                 tree.add(node, kind, _text_features(text, linked, tag), text)
             run.clear()
@@ -174,9 +181,9 @@ def parse(html: str) -> Tree:
         if m["end"]:
             if tag in INLINE:
                 in_link = in_link and tag != "a"
-            elif any(t == tag for _, t in stack[1:]):
+            elif is_open[tag] > 0:
                 end_run()
-                while stack.pop()[1] != tag:
+                while close() != tag:
                     pass
                 in_link = False
             elif tag == "p":
@@ -195,19 +202,20 @@ def parse(html: str) -> Tree:
         end_run()
         in_link = False
         if stack[-1][1] == "p":
-            stack.pop()
-        if tag not in HEAD and tag != "head" and any(t == "head" for _, t in stack):
-            while stack.pop()[1] != "head":
+            close()
+        if tag not in HEAD and tag != "head" and is_open["head"]:
+            while close() != "head":
                 pass
         while stack[-1][1] in ENDED_BY and tag in ENDED_BY[stack[-1][1]]:
-            stack.pop()
-        if tag in ("html", "body") and any(t == tag for _, t in stack):
+            close()
+        if tag in ("html", "body") and is_open[tag]:
             continue
         kind = tag if tag in KNOWN else "other"
         marked = bool(_content_mark.search(m["rest"]))
         node = tree.add(stack[-1][0], kind, hints(m["rest"]), None, marked)
         if tag not in VOID and not m["rest"].endswith("/"):
             stack.append((node, tag))
+            is_open[tag] += 1
     end_run()
     return tree
 
@@ -387,6 +395,19 @@ LABELLED = (
     f"""<html><body><article class="post"><header><h1 data-content>With a header inside</h1></header><p data-content>{_LONGER}</p>
     <p data-content>{_SENTENCE}</p><aside><p>{_LONGER}</p></aside><p data-content>{_SENTENCE}</p><footer><p>{_SENTENCE}</p></footer>
     <nav><a href="/2">Next</a></nav></article><dialog><p>{_SENTENCE}</p></dialog><svg><desc>icon</desc></svg></body></html>""",
+    # Laid out by a table.
+    f"""<html><body><table><tr><td colspan=2><a href="/">The Quay</a></td></tr><tr><td><ul>{_LINKS}</ul></td><td data-content>
+    <h1>Old page</h1><p>{_LONGER}</p><p>{_SENTENCE}</p><table><tr><th>Boat</th><td>Marta</td></tr></table></td></tr>
+    <tr><td colspan=2><a href="/mail">Mail</a> <a href="/top">Top</a></td></tr></table></body></html>""",
+    # Tables of data inside the text.
+    f"""<html><body><nav>{_LINKS}</nav><div class="entry" data-content><h1>Catch by month</h1><p>{_LONGER}</p>
+    <table><thead><tr><th>Month</th><th>Boxes</th></tr></thead><tbody><tr><td>May</td><td>310</td></tr><tr><td>June</td><td>295</td></tr>
+    <tr><td>July</td><td>288</td></tr></tbody></table><p>{_SENTENCE}</p><table><tr><td>Total</td><td>893</td></tr></table></div>
+    <div class="links"><ul>{_LINKS}</ul></div><footer>{_SENTENCE}</footer></body></html>""",
+    # Answers inside answers.
+    f"""<html><body><div id="page"><div class="story" data-content><h1>Bells</h1><p>{_SENTENCE}</p><p>{_LONGER}</p></div>
+    <div class="thread"><div class="reply"><p>{_LONGER}</p><div class="reply"><p>{_SENTENCE}</p><div class="reply"><p>{_LONGER}</p></div>
+    </div></div><div class="reply"><p>{_SENTENCE}</p></div></div></div><div class="legal"><p>{_SENTENCE}</p></div></body></html>""",
 )
 
 
