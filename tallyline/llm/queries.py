@@ -111,8 +111,8 @@ def op8_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("edited", 256).alias("edited_sha256"),
         spot_signatures.fingerprint(F.col("signatures")).alias("fingerprint"),
         spot_signatures.fingerprint(F.col("edited_signatures")).alias("edited_fingerprint"),
-        spot_signatures.likeness(F.col("signatures"), F.col("edited_signatures")).alias("near_edited"),
-        spot_signatures.likeness(F.col("signatures"), F.col("next_signatures")).alias("near_next"),
+        spot_signatures.pruned_likeness(F.col("signatures"), F.col("edited_signatures")).alias("near_edited"),
+        spot_signatures.pruned_likeness(F.col("signatures"), F.col("next_signatures")).alias("near_next"),
     )
 
 

@@ -2,17 +2,19 @@
 
 A signature is a chain of content words that follows a common word. The set of a text's
 signatures, as sorted 32-bit hashes, is its fingerprint; two fingerprints are as alike as
-the Jaccard similarity of their sets. To find all near copies, sets are partitioned by their
-size, as sets that are too unequal in size cannot be alike; within and between neighbouring
-partitions they meet at their rarest signatures, and bounds prune pairs before they are
-compared.
+the Jaccard similarity of their sets. Sets are partitioned by their size, so wide that sets
+alike enough lie in the same partition or in neighbours; a given pair is compared only there,
+and only if its sizes allow the least likeness that counts. To find all near copies, sets meet
+in those partitions at their rarest signatures, and bounds prune pairs before they are compared.
 
 Defined cases: words are runs of letters, lower-cased; in a text without a common word before
 a whole chain, chains start at every content word; a text too short for a chain has one
 signature, that of the text itself; an empty or null text has
 an empty fingerprint; two empty fingerprints are alike (1), one empty one is like no other
 (0); equal texts have equal fingerprints; whole texts of any length count; repeated rows
-each get their row; other input columns pass through.
+each get their row; other input columns pass through. A null or repeated key is a key like any
+other: rows of one key follow each other by the hash of their text, a null key comes first of
+all. A likeness below the least that counts is 0.
 """
 
 from __future__ import annotations
@@ -100,6 +102,32 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(union == 0, F.lit(1.0)).otherwise(overlap / union)
 
 
+def size_partition(n: Column, percent: int) -> Column:
+    """The partition of a set of n tokens: sets of a similarity of ``percent``/100 or more
+    are in the same one or in neighbours. An empty set has none."""
+    return F.when(n > 0, F.floor(F.log(n.cast("double")) / F.log(F.lit(100.0 / percent))))
+
+
+# The least likeness of a pair that counts, in percent.
+LEAST_LIKENESS = 10
+
+
+def pruned_likeness(a: Column, b: Column, percent: int = LEAST_LIKENESS) -> Column:
+    """:func:`likeness` of sets that lie in the same or in neighbouring partitions by size and
+    whose sizes allow ``percent``/100, if it reaches that; else 0."""
+    sizes = F.size(a), F.size(b)
+    parts = [size_partition(n, percent) for n in sizes]
+    near = F.abs(parts[0] - parts[1]) <= 1
+    # Sets of these sizes share at most the smaller one.
+    able = 100 * F.least(*sizes) >= percent * F.greatest(*sizes)
+    alike = likeness(a, b)
+    empty = (sizes[0] == 0) & (sizes[1] == 0)
+    # A branch is worked out only if the ones before it do not hold.
+    return F.when(empty, F.lit(1.0)).when(F.coalesce(~(near & able), F.lit(True)), F.lit(0.0)).otherwise(
+        F.when(alike * 100 >= percent, alike).otherwise(F.lit(0.0))
+    )
+
+
 # ---- near copies -------------------------------------------------------------------
 
 
@@ -127,7 +155,7 @@ def near_copies(
         "classes",
     )
     sets = classes.select("cid", "n", "tokens")
-    part = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)))
+    part = size_partition(F.col("n"), percent)
     met = set_join.prefixes(sets, percent).withColumn("part", F.explode(F.array(part, part + 1)))
     members = met.select(F.struct("part", "token").alias("meet"), "cid", "n", "own", "place")
     links = set_join.connecting_links(
@@ -147,8 +175,59 @@ def near_copies(
 
 # ---- a text and its successor ------------------------------------------------------
 
-# Rows of a stretch of keys, and the most stretches.
-ROWS_PER_STRETCH, MOST_STRETCHES = 1_000, 2_000
+# Rows of a stretch, and the most stretches. Beyond that stretches grow with the table; a
+# stretch is sorted by Spark, which spills, so its task needs no more memory for it.
+ROWS_PER_STRETCH, MOST_STRETCHES = 1_000, 10_000
+_CUTS_PER_GROUP = 100
+
+
+def _cuts(rows: DataFrame) -> list[tuple]:
+    """Where the order of all rows is cut into stretches: (key, hash, salt), a null key as
+    None. Quantiles cut between keys. A key of many rows is cut by the hashes of its texts,
+    evenly, and a text that repeats under such a key by its rows' salts."""
+    total = rows.count()
+    limit = max(ROWS_PER_STRETCH, -(-total // MOST_STRETCHES))
+    stretches = total // limit
+    if stretches < 2:
+        return []
+    wanted = [i / stretches for i in range(1, stretches)]
+    between = rows.select(F.percentile_approx("key", wanted, 10 * MOST_STRETCHES)).first()[0] or []
+    lowest = rows.agg(F.min("key")).first()[0]
+    cuts = {(k, None, None) for k in between if k != lowest}
+    # At most the number of rows divided by the limit, of keys as of texts.
+    many = F.col("n") > limit
+    hot_keys = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(many)
+    hot_keys = materialize(hot_keys, "hot-keys")
+    def parts(n: int) -> list[int]:
+        pieces = -(-n // limit)
+        return [-(1 << 63) + (1 << 64) * i // pieces for i in range(1, pieces)]
+
+    same = rows.alias("r").join(hot_keys.alias("h"), F.col("r.key").eqNullSafe(F.col("h.key")), "left_semi")
+    hot_texts = same.groupBy("key", "hash").agg(F.count(F.lit(1)).alias("n")).filter(many)
+    for r in hot_keys.collect():
+        cuts |= {(r["key"], h, None) for h in parts(r["n"])}
+    for r in hot_texts.collect():
+        cuts |= {(r["key"], r["hash"], None)} | {(r["key"], r["hash"], salt) for salt in parts(r["n"])}
+    least = -(1 << 63)
+    ordered = [(k, least if h is None else h, least if salt is None else salt) for k, h, salt in cuts]
+    return sorted(set(ordered), key=lambda c: (c[0] is not None, c[0] if c[0] is not None else 0, c[1], c[2]))
+
+
+def _stretch(cuts: list[tuple], key_type) -> Column:
+    """How many cuts lie at or before a row, found among every hundredth cut first."""
+    if not cuts:
+        return F.lit(0)
+
+    def literal(cut: tuple) -> Column:
+        known, key = cut[0] is not None, F.lit(cut[0]).cast(key_type)
+        return F.struct(F.lit(known).alias("known"), key.alias("key"), F.lit(cut[1]).alias("hash"), F.lit(cut[2]).alias("salt"))
+
+    place = F.struct(F.col("key").isNotNull().alias("known"), "key", "hash", "salt")
+    groups = [cuts[i : i + _CUTS_PER_GROUP] for i in range(0, len(cuts), _CUTS_PER_GROUP)]
+    before = F.size(F.filter(F.array(*[literal(g[0]) for g in groups]), lambda c: c <= place))
+    group = F.get(F.array(*[F.array(*map(literal, g)) for g in groups]), before - 1)
+    inside = F.size(F.filter(group, lambda c: c <= place))
+    return F.when(before == 0, 0).otherwise((before - 1) * _CUTS_PER_GROUP + inside)
 
 
 def with_next(
@@ -161,33 +240,31 @@ def with_next(
 ) -> DataFrame:
     """Rows (key, text, derived columns, and next_ of text and of each): every text with
     that of the next key, the last one with that of the first. ``derive`` adds the columns
-    ``derived`` to rows with a text; each text is derived from once and handed on. Of equal
-    keys the smaller text comes first, a null key comes first of all.
+    ``derived`` to rows with a text; each text is derived from once and handed on. Rows of
+    equal keys follow each other by the hash of their text, a null key comes first of all.
 
-    Keys are cut into stretches of about equal numbers of rows, each sorted by a task of its
-    own; the first row of each stretch is handed to the stretch before it."""
+    The order is cut into stretches of about equal numbers of rows, each sorted by a task of
+    its own, also inside a key and inside the copies of a text under one key; the first row
+    of each stretch is handed to the one before it that holds rows."""
     values = ["text", *derived]
     rows = docs.select(column(key).alias("key"), F.coalesce(column(text), F.lit("")).alias("text"))
-    counted = docs.select(column(key).alias("key")).agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("low")).first()
-    stretches = min(MOST_STRETCHES, counted["n"] // ROWS_PER_STRETCH)
-    cuts: list[int] = []
-    if stretches > 1:
-        # Cuts are keys of the table, so no stretch is empty; they need not be exact.
-        wanted = [i / stretches for i in range(1, stretches)]
-        found = docs.select(F.percentile_approx(column(key), wanted, 10_000)).first()[0]
-        cuts = sorted(set(found) - {counted["low"]})
-    before = F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col("key")) if cuts else None
-    stretch = F.when(F.col("key").isNull(), 0).otherwise(F.size(before)) if cuts else F.lit(0)
-    placed = rows.withColumn("stretch", stretch)
-    inside = Window.partitionBy("stretch").orderBy(F.col("key").asc_nulls_first(), F.col("text").asc())
+    rows = rows.withColumns(
+        {"hash": F.xxhash64("text"), "salt": F.xxhash64(F.monotonically_increasing_id())}
+    )
+    cuts = _cuts(rows.select("key", "hash", "salt"))
+    placed = rows.withColumn("stretch", _stretch(cuts, rows.schema["key"].dataType))
+    inside = Window.partitionBy("stretch").orderBy(F.col("key").asc_nulls_first(), "hash", "text", "salt")
     value = F.struct(*values)
     led = derive(placed).withColumn("following", F.lead(value).over(inside))
-    order = F.struct(F.col("key").isNotNull().alias("known"), "key", "text")
-    first = placed.groupBy("stretch").agg(F.min(order).alias("first"))
-    # Stretch i receives the first row of stretch i + 1, the last one that of stretch 0.
-    before = F.pmod(F.col("stretch") - 1, F.lit(len(cuts) + 1))
-    handed = derive(first.select(before.alias("stretch"), F.col("first.text").alias("text")))
-    handed = handed.select("stretch", value.alias("handed"))
+    order = F.struct(F.col("key").isNotNull().alias("known"), "key", "hash", "text")
+    first = materialize(placed.groupBy("stretch").agg(F.min(order).alias("first")), "first-rows")
+    # A number for each stretch that holds rows: few enough for one task.
+    along = Window.orderBy("stretch")
+    givers = first.select("stretch").withColumn("to", F.lag("stretch").over(along))
+    lowest = first.agg(F.max("stretch")).scalar()
+    givers = givers.withColumn("to", F.coalesce("to", lowest))
+    handed = first.join(givers, "stretch").select(F.col("to").alias("stretch"), F.col("first.text").alias("text"))
+    handed = derive(handed).select("stretch", value.alias("handed"))
     joined = led.join(handed, "stretch", "left").withColumn("following", F.coalesce("following", "handed"))
     named = [F.col("following")[c].alias(f"next_{c}") for c in values]
     return joined.select(F.col("key").alias(key), *values, *named)
