@@ -33,10 +33,12 @@ from pyspark.sql import functions as F
 from tallyline.llm.arrow import add_columns, column, rows_of, texts
 from tallyline.session import materialize
 
-MAX_LABELLED = 50_000
-MAX_TERMS = 2_000
-# Toxic texts a term needs, and candidates looked at for each term that may be kept.
-LEAST_TOXIC, CANDIDATES_PER_TERM = 4, 10
+# Bounds of what is learnt, parameters of :func:`with_toxicity`: labelled rows, terms, and for
+# each term the candidates, the covered and the known words looked at. Beyond them it is the
+# terms of least evidence and the rarest covered and known words that are not learnt.
+MAX_LABELLED, MAX_TERMS, CANDIDATES_PER_TERM = 50_000, 2_000, 10
+# Toxic texts a term needs.
+LEAST_TOXIC = 4
 # Lengths of stems, and from which length on a word may hold one or two misprints.
 STEMS = (4, 5, 6, 7)
 ONE_EDIT, TWO_EDITS = 4, 8
@@ -44,7 +46,10 @@ REMEMBERED_WORDS = 600_000
 TERMS_HELD = 400_000
 # Words before a hit among which a reporting verb makes it a quotation.
 WINDOW = 6
+# Hits of a kind that are told apart in a text; more of them say no more than these.
 MOST_COUNTED = 4
+# Word and term pairs compared at a time, which bounds the memory of the comparison.
+PAIRS_AT_A_TIME = 8_000_000
 
 # Verbs and nouns that report what somebody else said.
 REPORTING = frozenset(
@@ -193,8 +198,9 @@ class Matcher:
         # and words an edit apart are alike without a letter: few words need an automaton.
         sizes = np.array([len(w) for w in doubtful], dtype=np.int64)
         sets = np.array([_letter_set(w) for w in doubtful], dtype=np.uint64)
-        for at in range(0, len(doubtful), 4096):
-            size, letters = sizes[at : at + 4096, None], sets[at : at + 4096, None]
+        step = max(1, PAIRS_AT_A_TIME // len(self.sizes))
+        for at in range(0, len(doubtful), step):
+            size, letters = sizes[at : at + step, None], sets[at : at + step, None]
             edits = np.where(self.sizes >= TWO_EDITS, 2, 1)[None, :]
             near = np.abs(size - self.sizes) <= edits
             near &= np.bitwise_count(letters & ~self.sets) <= edits
@@ -304,6 +310,7 @@ def learn_lexicon(
     text: str = "text",
     label: str = "toxic",
     max_terms: int = MAX_TERMS,
+    candidates_per_term: int = CANDIDATES_PER_TERM,
     min_precision: float = 0.5,
 ) -> Lexicon:
     """Terms that chance would not put into so many toxic texts even once among all terms
@@ -324,7 +331,7 @@ def learn_lexicon(
         .withColumn("evidence", _evidence(F.col("toxic"), F.col("clean"), rate))
         .filter((F.col("evidence") > bound) & (F.col("toxic") >= min_precision * (F.col("toxic") + F.col("clean"))))
         .orderBy(F.desc("evidence"), "term")
-        .limit(max_terms * CANDIDATES_PER_TERM)
+        .limit(max_terms * candidates_per_term)
         .collect()
     )
     if not strong:
@@ -347,9 +354,9 @@ def learn_lexicon(
             stems.append(bare)
         elif not is_stem and not covered:
             words.append(term)
-    covered_words = _covered_words(counts, stems, min_precision, max_terms * CANDIDATES_PER_TERM)
+    covered_words = _covered_words(counts, stems, min_precision, max_terms * candidates_per_term)
     lexicon = Lexicon(tuple(dict.fromkeys([*words, *covered_words])), tuple(stems))
-    return replace(lexicon, known=_known_words(counts, lexicon, max_terms * CANDIDATES_PER_TERM))
+    return replace(lexicon, known=_known_words(counts, lexicon, max_terms * candidates_per_term))
 
 
 def _covered_words(counts: DataFrame, stems: list[str], min_precision: float, most: int) -> list[str]:
@@ -479,11 +486,15 @@ def with_toxicity(
     label: str = "toxic",
     threshold: float = 0.3,
     max_labelled: int = MAX_LABELLED,
+    max_terms: int = MAX_TERMS,
+    candidates_per_term: int = CANDIDATES_PER_TERM,
 ) -> DataFrame:
     """``docs`` without its text, with hits by FEATURES, score and predicted. ``labels``
     holds the training labels only."""
     training = labelled_texts(docs, labels, key=key, text=text, label=label, max_labelled=max_labelled)
-    lexicon = learn_lexicon(training, text="_text", label="_label")
+    lexicon = learn_lexicon(
+        training, text="_text", label="_label", max_terms=max_terms, candidates_per_term=candidates_per_term
+    )
     hits = materialize(with_hits(docs, lexicon, text=text).drop(column(text)), "hits")
     weights = fit_weights(hits, labels, key=key, label=label)
     scored = hits.withColumn("score", weights.score())
