@@ -66,6 +66,37 @@ def test_links_carry_distrust(spark):
     assert found == {1: "block", 2: "block", 3: "allow", 4: "allow"}
 
 
+def test_only_hosts_that_occur_are_tied(spark):
+    rows = [
+        (1, "http://bad.com/de/1", None),
+        (2, "http://a.co.uk/x", "<a href='http://bad.com/'>x</a>"),
+        (3, "http://innocent.co.uk/x", None),
+        # news.site.net is no host here: its name ties deep.news.site.net to site.net.
+        (4, "http://site.net/x", "<a href='http://bad.com/'>x</a>"),
+        (5, "http://deep.news.site.net/x", None),
+    ]
+    found = {r["page_id"]: r["verdict"] for r in url_filter.judge(spark.createDataFrame(rows, PAGES), queries.RULES).collect()}
+    assert found == {1: "block", 2: "block", 3: "allow", 4: "block", 5: "block"}
+
+
+def test_ports_belong_to_hosts(spark):
+    rows = [
+        (1, "http://bad.com:8080/de/1", "x"),
+        (2, "http://own.net:8080/x", "<a href='//user@own.net:8080/y'>own</a> <a href='http://bad.com:8080/'>x</a>"),
+        (3, "http://own.net/x", "x"),
+        (4, "http://four.net/x", "<a href='https://own.net:8080'>x</a>"),
+        (5, "http://five.net:80/x", "<a href='https://four.net:443/'>x</a>"),
+        (6, "http://six.net/x", "<a href='https://bad.com/'>another port, which no rule blocks</a>"),
+    ]
+    rules = (url_filter.Rule(url_filter.BLOCK, "bad.com:8080/"),)
+    judged = url_filter.judge(spark.createDataFrame(rows, PAGES), rules).collect()
+    found = {r["page_id"]: (r["host"], r["verdict"]) for r in judged}
+    assert found == {
+        1: ("bad.com:8080", "block"), 2: ("own.net:8080", "block"), 3: ("own.net", "allow"), 4: ("four.net", "block"),
+        5: ("five.net:80", "block"), 6: ("six.net", "allow"),
+    }
+
+
 def test_distrust_reaches_the_end_of_a_chain(spark):
     # Each host links to the one before it, the first to a blocked page.
     rows = [(0, "http://h0.com/de/1", None)]
@@ -147,7 +178,8 @@ def test_successors_and_fingerprints(documents):
     rows = [(i * 7 % 50, " ".join(draw.choices(words, k=draw.randint(0, 40)))) for i in range(50)] + [(3, "zz"), (60, None)]
     docs = documents(*rows)
     pairs = [(r["doc_id"], r["text"], r["next_text"]) for r in spot_signatures.with_next(docs).collect()]
-    order = sorted((i, t or "") for i, t in rows)
+    hashes = {r[0]: r[1] for r in docs.select(F.coalesce("text", F.lit("")), F.xxhash64(F.coalesce("text", F.lit("")))).collect()}
+    order = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0], hashes[r[1]]))
     assert sorted(pairs) == sorted((i, t, n) for (i, t), (_, n) in zip(order, order[1:] + order[:1], strict=True))
     signed = spot_signatures.with_signatures(docs)
     assert not re.search("Python|Arrow", signed._jdf.queryExecution().executedPlan().toString())
@@ -162,6 +194,76 @@ def test_stretches_do_not_change_successors(documents, monkeypatch):
     assert sorted(map(tuple, spot_signatures.with_next(docs).collect())) == whole
 
 
+def test_hot_keys_and_copies_are_cut(spark, monkeypatch):
+    """A third of all rows under one key, a third without any, and many copies of one text:
+    every stretch is small, and successors are those of the uncut order."""
+    monkeypatch.setattr(spot_signatures, "ROWS_PER_STRETCH", 20)
+    rows = [(7, f"hot {i}") for i in range(150)] + [(None, f"lost {i}") for i in range(100)] + [(None, None)] * 50
+    rows += [(7, "copy")] * 150 + [(i, f"t{i}") for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    named = docs.select(F.col("doc_id").alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+    named = named.withColumns({"hash": F.xxhash64("text"), "salt": F.xxhash64(F.monotonically_increasing_id())})
+    cuts = spot_signatures._cuts(named.select("key", "hash", "salt"))
+    sizes = named.groupBy(spot_signatures._stretch(cuts, named.schema["key"].dataType)).count().collect()
+    assert len(sizes) > 25 and max(r["count"] for r in sizes) <= 60
+    got = sorted(((r["doc_id"], r["text"], r["next_text"]) for r in spot_signatures.with_next(docs).collect()), key=str)
+    hashes = {r["text"]: r["hash"] for r in named.collect()}
+    order = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, hashes[r[1]]))
+    assert got == sorted(((i, t, n) for (i, t), (_, n) in zip(order, order[1:] + order[:1], strict=True)), key=str)
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def test_pruned_likeness_equals_brute_force(spark):
+    draw = random.Random(4)
+    sets = [sorted(draw.sample(range(300), draw.choice([0, 1, 3, 10, 29, 30, 31, 99, 100, 101]))) for _ in range(60)]
+    pairs = [(draw.choice(sets), draw.choice(sets)) for _ in range(150)]
+    pairs += [(s, sorted({*s[1:], 999})) for s in sets] + [([], []), ([1], list(range(1, 11))), ([1], list(range(1, 12)))]
+    df = spark.createDataFrame(pairs, "a array<bigint>, b array<bigint>")
+    for percent in (10, 50, 80):
+        found = df.select("a", "b", spot_signatures.pruned_likeness(F.col("a"), F.col("b"), percent).alias("x")).collect()
+        for r in found:
+            exact = jaccard(set(r["a"]), set(r["b"]))
+            assert r["x"] == (exact if exact * 100 >= percent else 0.0), (r, percent)
+
+
+def test_near_copies_equal_brute_force(spark):
+    draw = random.Random(6)
+    words = [f"{a}{b}" for a in "bcdfgklmnprst" for b in ("ada", "elo", "imi", "uro")]
+
+    def sentence(n):
+        return [w for _ in range(n) for w in (draw.choice(["the", "of", "and"]), *draw.choices(words, k=draw.randint(1, 3)))]
+
+    texts = [None, "", "the of", "one", "One!", "ONE", "12 34"]
+    for _ in range(14):
+        base = sentence(draw.choice([3, 8, 25, 60]))
+        for _ in range(draw.randint(1, 6)):
+            copy = list(base)
+            for _ in range(draw.randint(0, 3)):
+                copy[draw.randrange(len(copy))] = draw.choice(words)
+            texts += [" ".join(copy)] * draw.randint(1, 2)
+    rows = [(i * 17 % 503, t, "x") for i, t in enumerate(texts)] + [(None, texts[-1], "x"), (3, texts[-1], "x"), (3, texts[20], "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, component_id string")
+    for percent in (60, 80):
+        signed = spot_signatures.with_signatures(docs.select("doc_id", "text")).collect()
+        sets = [(r["doc_id"], frozenset(r["signatures"])) for r in signed]
+        able = [i for i, (k, s) in enumerate(sets) if s and k is not None]
+        label = {i: i for i in able}
+        for i in able:
+            for j in able:
+                if i < j and 100 * len(sets[i][1] & sets[j][1]) >= percent * len(sets[i][1] | sets[j][1]):
+                    label = {k: label[i] if v == label[j] else v for k, v in label.items()}
+        least = {}
+        for i, v in label.items():
+            least[v] = min(least.get(v, sets[i][0]), sets[i][0])
+        want = sorted(((k, least[label[i]] if i in label else k) for i, (k, _) in enumerate(sets)), key=str)
+        found = spot_signatures.near_copies(docs, percent=percent)
+        assert sorted(map(tuple, found.collect()), key=str) == want
+    assert spot_signatures.near_copies(docs.limit(0)).count() == 0
+
+
 def brute_components(texts, size, percent):
     sets = {}
     for i, t in texts:
@@ -251,4 +353,4 @@ def test_language_stage_rejects_what_no_profile_knows(spark, documents):
 
 def test_queries_are_registered():
     names = list(queries.registered())
-    assert len(names) == 10 and all(n.startswith(f"op{i}_") for i, n in enumerate(names, 1))
+    assert len(names) == 13 and all(n.startswith(f"op{i}_") for i, n in enumerate(names, 1))
