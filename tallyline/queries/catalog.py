@@ -25,7 +25,7 @@ from tallyline.operators import (
     slate,
     trailing,
 )
-from tallyline.plans import incremental
+from tallyline.plans import incremental, training
 from tallyline.plans import ledger as ledger_store
 from tallyline.plans.ledger import ledger_report
 from tallyline.plans.serving import slate_features
@@ -33,7 +33,7 @@ from tallyline.plans.slate import build_slate
 from tallyline.queries import inputs, tables
 from tallyline.schemas import LINES_CONTRACT, MODEL_FEATURES, QUOTES_DOCUMENT, SLATE_CONTRACT
 from tallyline.session import materialize
-from tallyline.sources import paths, publish, versions
+from tallyline.sources import paths, publish, readers, versions
 from tallyline.sources.checked import CORRUPT, set_aside, write_checked
 from tallyline.sources.nested import flatten_quotes, flatten_schedule, market_documents, parse_documents
 from tallyline.sources.readers import events_between
@@ -134,6 +134,15 @@ def opponent_context_join(spark, sf):
     )
 
 
+@query
+def trailing_blocks(spark, sf):
+    """Trailing means with tasks so small that most keys are cut into blocks."""
+    periods = materialize(inputs.periods(spark, sf), "periods")
+    form = trailing.add_entity_form(periods, max_rows_per_task=12)
+    outputs = [s.output for s in trailing.ENTITY_MEANS + trailing.ENTITY_DISPERSION]
+    return rounded(form.select("game_pk", "pitcher", *outputs))
+
+
 @query
 def rate_features(spark, sf):
     periods = materialize(inputs.periods(spark, sf), "periods")
@@ -279,6 +288,37 @@ def contract_checks(spark, sf):
     return contract_report(tables.RAW_SLATE.read(spark, sf), SLATE_CONTRACT)
 
 
+# ---- readers -----------------------------------------------------------------------
+
+
+def _as_csv(df: DataFrame, name: str) -> str:
+    """A table landed as CSV under a name, blanks kept as they are."""
+    folder = paths.join(session.new_folder(df.sparkSession, "landed"), name)
+    writer = df.write.option("header", True).option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder)
+    return folder
+
+
+@query
+def slate_read(spark, sf):
+    """A landed slate read by name into its types."""
+    return readers.read_slate(spark, _as_csv(tables.SLATE.read(spark, sf), "slate.csv"))
+
+
+@query
+def ledger_read(spark, sf):
+    """A landed ledger, every field as text and blanks as blanks."""
+    return readers.read_ledger(spark, _as_csv(tables.LEDGER.read(spark, sf), "ledger.csv"))
+
+
+@query
+def history_read(spark, sf):
+    """The written history through its reader, which checks it."""
+    folder = session.new_folder(spark, "history")
+    inputs.history(spark, sf).write.parquet(folder)
+    return rounded(readers.read_history(spark, folder))
+
+
 # ---- names -------------------------------------------------------------------------
 
 
@@ -558,6 +598,16 @@ def backtest_status(spark, sf):
     return backtest.backtest_status(joined, backtest.run_backtest(joined, strict=False))
 
 
+@query
+def backtest_unavailable(spark, sf):
+    """Why there is no backtest: forecasts of days without lines, and without outcomes."""
+    joined = _line_joined(spark, sf)
+    nothing = joined.filter("game_date < '1900-01-01'")
+    unknown = joined.withColumn("actual_strikeouts", F.lit(None).cast("double"))
+    made = [backtest.backtest_status(df, backtest.run_backtest(df, strict=False)) for df in (nothing, unknown)]
+    return made[0].unionByName(made[1])
+
+
 # ---- ledger ------------------------------------------------------------------------
 
 
@@ -767,6 +817,48 @@ def gbt_error_by_round(spark, sf):
     )
 
 
+@query
+def set_published(spark, sf):
+    """A whole training set committed as a version; its model table as readers find it."""
+    fitted, table, _, _ = _trained(spark, sf)
+    root = session.new_folder(spark, "sets")
+    publish.publish_set(
+        spark,
+        root,
+        history=inputs.history(spark, sf),
+        table=table,
+        lines=lines.curate_lines(inputs.snapshots(spark, sf), strict=False),
+        model=fitted,
+        metadata={"split_date": SPLIT_DAY},
+    )
+    found = publish.resolve_set(spark, root)
+    split = publish.load_metadata(spark, found)["split_date"]
+    rows = spark.read.parquet(found.path(publish.TABLE)).filter(F.col("game_date") >= split)
+    scored = model.score(publish.load_model(found), rows)
+    return scored.select("game_date", "game_pk", "pitcher", "strikeouts", _sound(scored))
+
+
+@query
+def training_metadata(spark, sf):
+    """The counts and days of the training record, as rows."""
+    fitted, table, train, test = _trained(spark, sf)
+    scored = [evaluate.prediction_results(model.score(fitted, part).drop("std_dev", "raw_std_dev")) for part in (train, test)]
+    scored = [materialize(part, "scored") for part in scored]
+    record = training.training_record(
+        table, *scored, None, params=model.BoostParams(), split_date=SPLIT_DAY, event_range=("1995-01-01", "2001-12-31")
+    )
+    window = record["training_window"]
+    days = {f"{part}_{end}": window[f"{part}_date_range"][end] for part in ("train", "test") for end in ("start", "end")}
+    counts = {name: str(window[name]) for name in ("model_table_rows", "train_rows", "test_rows")}
+    known = {
+        "rounds": str(record["model_params"]["rounds"]),
+        "interval_rows": str(record["evaluation_metrics"]["uncertainty"]["rows"]),
+        "bucket_rows": str(sum(b["rows"] for b in record["evaluation_metrics"]["bucketed_error"]["buckets"])),
+        "backtest": record["evaluation_metrics"]["workflow_backtest"]["reason"],
+    }
+    return spark.createDataFrame(list({**days, **counts, **known}.items()), "name string, value string")
+
+
 @query
 def feature_importance(spark, sf):
     fitted, _, _, _ = _trained(spark, sf)

@@ -438,6 +438,9 @@ def statements() -> dict[str, str]:
             "SELECT game_date, game_pk, pitcher, pitching_team, opponent_team, "
             f"{_rounded('opp_strikeouts_per_game_last10', 'opp_k_rate_last10')} FROM hist", *HISTORY,
         ),
+        "trailing_blocks": _sql(
+            f"SELECT game_pk, pitcher, {_rounded(*MEAN_NAMES, *DISPERSION_NAMES)} FROM form", *PERIODS, "form"
+        ),
         "rate_features": _sql(
             f"SELECT game_pk, pitcher, {_rounded('k_per_pitch_last10', 'k_rate_last10')} FROM hist", *HISTORY
         ),
@@ -446,6 +449,11 @@ def statements() -> dict[str, str]:
             "WHERE pitches >= 25 OR batters_faced >= 18", *PERIODS,
         ),
         "entity_history": _sql(f"SELECT {_history_columns} FROM hist", *HISTORY),
+        "history_read": _sql(f"SELECT {_history_columns} FROM hist", *HISTORY),
+        "slate_read": f"SELECT * REPLACE ({', '.join(f'trim({c}) AS {c}' for c in ('player_name', 'team', 'opponent', 'home_team', 'away_team', 'p_throws'))}) "
+        f"FROM ({tables.SLATE.sql()})",
+        "ledger_read": "SELECT " + ", ".join(f"coalesce({c}, '') AS {c}" for c in tables.LEDGER.columns)
+        + f" FROM ({tables.LEDGER.sql()})",
         "history_incremental": _sql(f"SELECT {_history_columns} FROM hist", *HISTORY),
         "history_update_counts": _sql(
             "SELECT 1::INTEGER AS step, (SELECT count(DISTINCT game_date) FROM ev) AS days_delivered, "
@@ -493,6 +501,23 @@ def statements() -> dict[str, str]:
         "gbt_learns": _sql(
             f"SELECT count(*) AS n, true AS below_mean FROM model WHERE game_date < DATE '{SPLIT_DAY}'", *MODEL
         ),
+        "set_published": _sql(
+            "SELECT game_date, game_pk, pitcher, strikeouts, true AS sound FROM model "
+            f"WHERE game_date >= DATE '{SPLIT_DAY}'", *MODEL,
+        ),
+        "training_metadata": _sql(
+            "SELECT unnest(['train_start', 'train_end', 'test_start', 'test_end', 'model_table_rows', 'train_rows', "
+            "'test_rows', 'rounds', 'interval_rows', 'bucket_rows', 'backtest']) AS name, unnest(["
+            f"strftime(min(game_date) FILTER (game_date < DATE '{SPLIT_DAY}'), '%Y-%m-%d'), "
+            f"strftime(max(game_date) FILTER (game_date < DATE '{SPLIT_DAY}'), '%Y-%m-%d'), "
+            f"strftime(min(game_date) FILTER (game_date >= DATE '{SPLIT_DAY}'), '%Y-%m-%d'), "
+            f"strftime(max(game_date) FILTER (game_date >= DATE '{SPLIT_DAY}'), '%Y-%m-%d'), "
+            f"count(*)::VARCHAR, (count(*) FILTER (game_date < DATE '{SPLIT_DAY}'))::VARCHAR, "
+            f"(count(*) FILTER (game_date >= DATE '{SPLIT_DAY}'))::VARCHAR, '200', "
+            f"(count(*) FILTER (game_date >= DATE '{SPLIT_DAY}'))::VARCHAR, "
+            f"(count(*) FILTER (game_date >= DATE '{SPLIT_DAY}'))::VARCHAR, "
+            "'historical_market_lines_not_provided']) AS value FROM model", *MODEL,
+        ),
         "gbt_train": _sql(
             f"SELECT count(*) AS n, 200::BIGINT AS rounds FROM model WHERE game_date < DATE '{SPLIT_DAY}'", *MODEL
         ),
@@ -635,6 +660,12 @@ def statements() -> dict[str, str]:
             "'no_rows_with_realized_outcomes' END AS reason, count(DISTINCT player_name_proj) AS graded_pick_rows "
             "FROM lj", *LINES,
         ),
+        "backtest_unavailable": _sql(
+            "SELECT false AS available, 'no_matching_historical_lines_for_projections' AS reason, "
+            "(SELECT count(*) FROM lj WHERE game_date < '1900-01-01') AS graded_pick_rows UNION ALL "
+            "SELECT count(*) < 0, CASE WHEN count(*) = 0 THEN 'no_matching_historical_lines_for_projections' "
+            "ELSE 'no_rows_with_realized_outcomes' END, 0 FROM lj", *LINES,
+        ),
         "ledger_rows": _sql(
             "SELECT strftime(game_date + 3, '%Y-%m-%d') || '|' || lower(player_name) AS pick_key, "
             "strftime(game_date + 3, '%Y-%m-%d') AS game_date, player_name, team, opponent, book, "

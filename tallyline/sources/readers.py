@@ -50,17 +50,21 @@ def read_history(spark: SparkSession, path: str, *, strict: bool = True) -> Data
     return check_contract(history, HISTORY_CONTRACT, strict=strict)
 
 
-def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """Ledger with blanks kept as blanks; an absent ledger is an empty one."""
-    if not exists(spark, path):
-        return empty_table(spark, LEDGER)
-    raw = read_csv_text(spark, path) if path.endswith(".csv") else spark.read.parquet(path)
+def ledger_layout(raw: DataFrame) -> DataFrame:
+    """The ledger's columns as text, a missing value as a blank."""
     missing = [c for c in LEDGER_COLUMNS if c not in raw.columns]
     if missing:
         raise ContractError(f"ledger is missing required columns: {missing}")
     return raw.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in LEDGER_COLUMNS])
 
 
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """Ledger with blanks kept as blanks; an absent ledger is an empty one."""
+    if not exists(spark, path):
+        return empty_table(spark, LEDGER)
+    return ledger_layout(read_csv_text(spark, path) if path.endswith(".csv") else spark.read.parquet(path))
+
+
 def events_between(events: DataFrame, start: str, end: str) -> DataFrame:
     """Events of a closed date range in the event layout."""
     require_columns(events, EVENT.names, "events")

@@ -2,6 +2,7 @@
 
 import hashlib
 import zlib
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -141,5 +142,6 @@ def test_pipeline_on_odd_and_empty_tables(spark, odd, empty):
     docs = queries.table(spark, odd, "documents").select(*corpus_pipeline.DOCUMENTS)
     for _, stage in corpus_pipeline.STAGES[:-1]:
         kept = stage(spark, docs, odd)
-        assert kept.columns == list(corpus_pipeline.DOCUMENTS) and kept.exceptAll(docs).count() == 0
+        rows = Counter(map(tuple, kept.collect()))
+        assert kept.columns == list(corpus_pipeline.DOCUMENTS) and rows <= Counter(map(tuple, docs.collect()))
     assert corpus_pipeline.run(spark, empty).count() == 0
