@@ -172,3 +172,80 @@ def test_misspelled_inflections_and_short_terms_are_learnt(spark, documents):
 @pytest.mark.parametrize("cells", [[], [((0, 0, 0, 0), 0, 5)], [((0, 0, 0, 0), 5, 5)]])
 def test_weights_of_degenerate_labels(cells):
     assert np.isfinite(toxicity.learn_weights(cells).bias)
+
+
+def brute_grams(text):
+    """Codes of all n-grams of the padded words of a text."""
+    found = []
+    for word in re.findall(r"[^\W\d_]+", text.lower()):
+        padded = f" {word} "
+        found += list(word)
+        found += [padded[i : i + n] for n in (2, 3) for i in range(len(padded) - n + 1)]
+    return [sum(ord(c) << 21 * i for i, c in enumerate(g)) for g in found]
+
+
+def brute_ranked(counts, size):
+    return [g for g, _ in sorted(counts.items(), key=lambda kv: (-kv[1], kv[0]))[:size]]
+
+
+def test_distances_equal_brute_force(documents):
+    draw = random.Random(12)
+    alphabets = {"aa": "abcdefg", "bb": "efghijk", "cc": "abchij", "dd": "éèàb"}
+    rows = [
+        (i, " ".join("".join(draw.choices(letters, k=draw.randint(1, 5))) for _ in range(draw.randint(1, 25))), lang)
+        for i, (lang, letters) in enumerate((k, v) for k, v in alphabets.items() for _ in range(draw.randint(4, 9)))
+    ]
+    size = 40
+    learnt = language_id.learn_profiles(documents(*rows), profile_size=size)
+    profiles, texts = {}, Counter(lang for _, _, lang in rows)
+    for lang in texts:
+        ranked = brute_ranked(Counter(g for _, t, own in rows if own == lang for g in brute_grams(t)), size)
+        profiles[lang] = {g: rank for rank, g in enumerate(ranked)}
+    order = sorted(texts, key=lambda name: (-texts[name], name))
+    asked = ["abc abd hij", "éa bb", "zz zz", "x", "ABC hij hij hij efg"] + [
+        " ".join("".join(draw.choices("abcdefghijkéz", k=4)) for _ in range(draw.randint(1, 30))) for _ in range(40)
+    ]
+    found = by_id(language_id.with_language(documents(*asked), learnt), "lang_pred", "score")
+    for i, text in enumerate(asked):
+        own = brute_ranked(Counter(brute_grams(text)), size)
+        apart = [sum(abs(profiles[k][g] - r) if g in profiles[k] else size for r, g in enumerate(own)) for k in order]
+        first, second = sorted(apart)[:2]
+        assert found[i] == (order[apart.index(first)], pytest.approx((second - first) / second if second else 0.0)), text
+
+
+def test_the_first_condition_has_the_highest_gain():
+    draw = np.random.default_rng(3)
+    x = draw.integers(0, 12, (150, 3)).astype(float)
+    poor = (x[:, 1] > 7) & (draw.random(150) < 0.9) | (draw.random(150) < 0.1)
+    best = quality_rules._grow(x, poor, ["a", "b", "c"], 1000, 1)[0]
+
+    def gain(hit):
+        p, n = poor[hit].sum(), (~poor[hit]).sum()
+        return p * (np.log2(p / (p + n)) - np.log2(poor.mean())) if p else 0.0
+
+    every = [
+        gain(x[:, i] > t if above else x[:, i] <= t)
+        for i in range(3)
+        for t in np.unique(x[:, i])[:-1] + 0.5
+        for above in (True, False)
+    ]
+    assert gain(quality_rules._meets(x, ["a", "b", "c"], [best])) == pytest.approx(max(every))
+
+
+def test_verdicts_equal_brute_force(documents):
+    """The ordered expression decides like the rules one after the other in Python."""
+    rules = [
+        quality_rules.Rule((quality_rules.Condition("digits", True, 0.2), quality_rules.Condition("words", False, 70))),
+        quality_rules.Rule((quality_rules.Condition("top_word", True, 0.5),)),
+    ]
+    draw = random.Random(5)
+    texts = [" ".join(draw.choice(["ab", "cd", "12", "345"] if i % 2 else ["xy"]) + str(k % 7) * (i % 3) for k in range(draw.randint(40, 110))) for i in range(40)]
+    measured = quality_rules.with_statistics(documents(*texts))
+    rows = measured.select("*", *[v.alias(f"_{n}") for n, v in quality_rules.measures().items()]).collect()
+    kept = by_id(quality_rules.with_verdict(measured, rules), "kept")
+    for r in rows:
+        poor = r["base_failed"] or any(
+            all((r[f"_{c.measure}"] > c.threshold) == c.above for c in rule.conditions) for rule in rules
+        )
+        assert kept[r["doc_id"]] == (not poor)
+    assert {True, False} == set(kept.values())
