@@ -20,12 +20,11 @@ from tallyline.functions.numeric import strip
 _PLANE = [chr(code) for code in range(0x80, 0x10000) if not 0xD800 <= code < 0xE000]
 
 
-def _fold_table() -> tuple[str, str]:
-    """Letters that decompose to one base letter, in any script, and those base letters;
-    built from Unicode itself."""
-    folded = {ch: "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c)) for ch in _PLANE}
-    single = {ch: base for ch, base in folded.items() if base != ch and len(base) == 1}
-    return "".join(single), "".join(single.values())
+def _folded() -> dict[str, str]:
+    """What is left of each letter, in any script, when it is taken apart and its marks are
+    dropped; built from Unicode itself. Marks themselves leave nothing."""
+    apart = {ch: "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c)) for ch in _PLANE}
+    return {ch: left for ch, left in apart.items() if left != ch}
 
 
 def _accents() -> str:
@@ -41,10 +40,18 @@ def _accents() -> str:
     return "[" + "".join(f"\\u{a:04X}-\\u{b:04X}" for a, b in spans) + "]+"
 
 
-_ACCENTED, _BASE = _fold_table()
+_LEFT = _folded()
+# Letters that fold to one; behind them those that leave nothing, for which translate finds
+# no letter to put.
+_TO_ONE = {ch: left for ch, left in _LEFT.items() if len(left) == 1}
+_FOLDED, _BASE = "".join(_TO_ONE) + "".join(ch for ch, left in _LEFT.items() if not left), "".join(_TO_ONE.values())
+# Ligatures, syllables and the like, by the number of letters that they fold to.
+_LONGER: dict[int, dict[str, str]] = {}
+for _letter, _letters in _LEFT.items():
+    if len(_letters) > 1:
+        _LONGER.setdefault(len(_letters), {})[_letter] = _letters
+_ALL_LONGER = "".join(ch for group in _LONGER.values() for ch in group)
 _ACCENTS = _accents()
-# Marks stand behind the letters, where translate finds nothing to put for them.
-_FOLDED = _ACCENTED + "".join(ch for ch in _PLANE if unicodedata.combining(ch) and ch not in set(_ACCENTED))
 
 
 @F.pandas_udf(StringType())
@@ -53,15 +60,34 @@ def _fold_nfkd(names: pd.Series) -> pd.Series:
     return names.str.normalize("NFKD").str.replace(_ACCENTS, "", regex=True)
 
 
+def _taken_apart(c: Column) -> Column:
+    """Ligatures and syllables as their letters, letter by letter of the text: place by place,
+    each a translation of its own."""
+
+    def letters(ch: Column) -> Column:
+        out = ch
+        for size, group in _LONGER.items():
+            source = "".join(group)
+            parts = [F.translate(ch, source, "".join(left[i] for left in group.values())) for i in range(size)]
+            out = F.when(F.contains(F.lit(source), ch), F.concat(*parts)).otherwise(out)
+        return out
+
+    return F.array_join(F.transform(F.split(c, ""), letters), "")
+
+
 def fold_accents(c: Column, *, exact: bool = False) -> Column:
-    """Drop accents. The default stays in the JVM and folds every letter of any script that
-    decomposes to one base letter; ``exact`` also takes ligatures and syllables apart,
-    through an Arrow-batched UDF. Neither drops a mark without a combining class, so names
-    that differ in more than accents stay apart."""
+    """Drop accents, and take ligatures and syllables apart, in any script of the basic plane.
+    The default stays in the JVM; ``exact`` also folds letters beyond that plane, through an
+    Arrow-batched UDF. Neither drops a mark without a combining class, so names that differ
+    in more than accents stay apart."""
     if exact:
         return _fold_nfkd(c)
-    # A text as long in bytes as in characters holds nothing to fold.
-    return F.when(F.octet_length(c) == F.length(c), c).otherwise(F.translate(c, _FOLDED, _BASE))
+    # A text as long in bytes as in characters holds nothing to fold, and few hold a letter
+    # that folds to several.
+    plain = F.octet_length(c) == F.length(c)
+    longer = F.length(F.translate(c, _ALL_LONGER, "")) < F.length(c)
+    whole = F.when(longer, _taken_apart(c)).otherwise(c)
+    return F.when(plain, c).otherwise(F.translate(whole, _FOLDED, _BASE))
 
 
 def entity_name(c: Column, *, exact: bool = False) -> Column:

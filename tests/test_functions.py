@@ -1,4 +1,5 @@
 import datetime
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -65,3 +66,14 @@ def test_instants_without_offset_are_utc(spark, frame):
     at = int(datetime.datetime(2025, 8, 2, 23, 10, tzinfo=datetime.UTC).timestamp())
     midnight = int(datetime.datetime(2025, 8, 2, tzinfo=datetime.UTC).timestamp())
     assert got == [at, at, midnight, None, None, at]
+
+
+def test_every_letter_of_the_plane_folds_as_unicode_says(spark):
+    letters = [chr(c) for c in range(0x20, 0x10000) if not 0xD800 <= c < 0xE000]
+    lines = ["".join(letters[i : i + 40]) for i in range(0, len(letters), 40)] + ["ﬁn Straße 한국 ½ …", None, "", "plain"]
+    df = spark.createDataFrame([(t,) for t in lines], "t string")
+    got = df.select("t", names.fold_accents(F.col("t")).alias("own"), names.fold_accents(F.col("t"), exact=True).alias("exact"))
+    rows = got.collect()
+    assert all(r["own"] == r["exact"] for r in rows)
+    folded = {r["t"]: r["own"] for r in rows}
+    assert folded["ﬁn Straße 한국 ½ …"] == "fin Straße " + "".join(unicodedata.normalize("NFKD", "한국")) + " 1⁄2 ..."
