@@ -315,8 +315,9 @@ def learn_lexicon(
 ) -> Lexicon:
     """Terms that chance would not put into so many toxic texts even once among all terms
     tried, counting only different contexts. Of a stem and the words it covers, the one with
-    more evidence is the term, the word if they are equal; covered words of enough toxic
-    texts stay beside their stem, to be found misspelled. Words near a term that clean texts
+    more evidence is the term, the word if they are equal; a covered word stays beside its
+    stem, to be found misspelled, if it has the evidence of a term itself: what is near a
+    stem that chance has put together is near many words. Words near a term that clean texts
     use as often as toxic ones are known words, no misspellings."""
     counts = materialize(term_counts(labelled, text=text, label=label), "terms")
     whole = counts.filter("term = ''").first()
@@ -346,29 +347,19 @@ def learn_lexicon(
             sure.append((-round(weight, 6), row["term"].endswith("*"), -len(row["term"]), row["term"]))
     words: list[str] = []
     stems: list[str] = []
+    covered_words: list[str] = []
     for _, is_stem, _, term in sorted(sure)[:max_terms]:
         bare = term.rstrip("*")
         covered = any(bare.startswith(s) for s in stems)
         # A stem that only repeats words already chosen says nothing new.
         if is_stem and not covered and not any(w.startswith(bare) for w in words + stems):
             stems.append(bare)
-        elif not is_stem and not covered:
-            words.append(term)
-    covered_words = _covered_words(counts, stems, min_precision, max_terms * candidates_per_term)
+        elif not is_stem:
+            (covered_words if covered else words).append(term)
     lexicon = Lexicon(tuple(dict.fromkeys([*words, *covered_words])), tuple(stems))
     return replace(lexicon, known=_known_words(counts, lexicon, max_terms * candidates_per_term))
 
 
-def _covered_words(counts: DataFrame, stems: list[str], min_precision: float, most: int) -> list[str]:
-    """The words of most toxic texts that begin with a stem."""
-    begins = F.lit(False)
-    for n in sorted({len(s) for s in stems}):
-        begins |= F.substring("term", 1, n).isin([s for s in stems if len(s) == n])
-    enough = (F.col("toxic") >= LEAST_TOXIC) & (F.col("toxic") >= min_precision * (F.col("toxic") + F.col("clean")))
-    found = counts.filter("not endswith(term, '*')").filter(begins & enough)
-    return [r["term"] for r in found.orderBy(F.desc("toxic"), "term").limit(most).collect()]
-
-
 def _known_words(counts: DataFrame, lexicon: Lexicon, most: int) -> tuple[str, ...]:
     """The most frequent words of clean texts that would pass for misspelled terms."""
 
