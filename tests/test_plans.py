@@ -138,49 +138,50 @@ def test_daily_card(spark, published):
 STEPS = ("ledger", "slate", "forecasts", "postable", "report", "status", "manifest")
 
 
-@pytest.mark.parametrize("step", STEPS)
-def test_a_card_that_dies_leaves_the_outputs_before_it(spark, frame, tmp_path, monkeypatch, step):
+def test_a_card_that_dies_leaves_the_outputs_before_it(spark, frame, tmp_path, monkeypatch):
     """Killed between any two steps: readers see the first card whole, and saving again works."""
     root, target = str(tmp_path / "root"), str(tmp_path / "out")
 
     def made(day, name):
         day = f"2033-09-{day:02d}"
-        row = dict(player_name=name, team="T", opponent="O", game_date=day, game_pk=1, is_home=1, pick_type="official", price=120, value_score=1)
+        row = dict(
+            player_name=name, team="T", opponent="O", game_date=day, game_pk=1, is_home=1, pick_type="official", price=120,
+            value_score=1,
+        )
         ddl = ", ".join(f"{k} {'long' if isinstance(v, int) else 'string'}" for k, v in row.items())
         table = frame([row], ddl)
         return card.Card(table, table, table, table, table, message=name)
 
-    card.save_card(spark, made(3, "First"), root, target)
-
     class Killed(Exception):
         pass
 
     def dying(*_, **__):
         raise Killed
 
+    first = card.save_card(spark, made(3, "First"), root, target)
     second = made(4, "Second")
-    with monkeypatch.context() as patch:
-        if step == "ledger":
-            patch.setattr(card, "persist_ledger", dying)
-        elif step == "slate":
-            patch.setattr(card, "save_slate", dying)
-        elif step in ("forecasts", "postable"):
-            broken = second.slate.withColumn("x", F.raise_error(F.lit("killed")).cast("string"))
-            given = dataclasses.replace(second, **{step: broken})
-            if step == "postable":  # the ledger reads it, too
+    broken = second.slate.withColumn("x", F.raise_error(F.lit("killed")).cast("string"))
+    places = {
+        "ledger": (card, "persist_ledger"),
+        "slate": (card, "save_slate"),
+        "report": (card, "write_ledger_report"),
+        "status": (publish, "write_record"),
+        "manifest": (paths, "publish_if_absent"),
+    }
+    for step in STEPS:
+        given = second
+        with monkeypatch.context() as patch:
+            if step in places:
+                patch.setattr(*places[step], dying)
+            else:
+                given = dataclasses.replace(second, **{step: broken})
                 patch.setattr(card, "persist_ledger", lambda *_: versions.current(spark, ledger_root(root)))
-        elif step == "report":
-            patch.setattr(card, "write_ledger_report", dying)
-        elif step == "status":
-            patch.setattr(publish, "write_record", dying)
-        else:
-            patch.setattr(paths, "publish_if_absent", dying)
-        with pytest.raises(Exception):  # noqa: B017
-            card.save_card(spark, given if step in ("forecasts", "postable") else second, root, target)
-    seen = versions.current(spark, target)
-    names = {n: {r.player_name for r in spark.read.parquet(seen.path(n)).collect()} for n in ("slate", "joined", "picks")}
-    assert seen.number == 1 and set(map(tuple, names.values())) == {("First",)}
-    assert publish.read_record(spark, seen.path("run_status"))["message"] == "First"
+            with pytest.raises(Exception, match="killed" if step not in places else None):
+                card.save_card(spark, given, root, target)
+        seen = versions.current(spark, target)
+        names = {n: {r.player_name for r in spark.read.parquet(seen.path(n)).collect()} for n in ("slate", "joined", "picks")}
+        assert seen == first and set(map(tuple, names.values())) == {("First",)}, step
+        assert publish.read_record(spark, seen.path("run_status"))["message"] == "First"
     after = card.save_card(spark, second, root, target)
     assert {r.player_name for r in spark.read.parquet(after.path("picks")).collect()} == {"Second"}
     assert sorted(r.player_name for r in read_current_ledger(spark, root).collect()) == ["First", "Second"]
