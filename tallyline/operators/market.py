@@ -1,8 +1,10 @@
 """Forecast-to-quote joins and the best over quote per participant.
 
-No side is broadcast by hand: the quotes grow with the data and AQE broadcasts a side
-whose measured size allows it. Otherwise the sort-merge join splits a hot name, which
-is one the quote side repeats while the forecasts hold it once per game.
+No side is broadcast by hand. Quotes come out of nested documents, whose lists the planner
+takes for a row each: it would send millions of quotes through the driver as a small table.
+They are joined by sort and merge, which splits a hot name, one that the quote side repeats
+while the forecasts hold it once per game. Lines are as large as they are planned; AQE
+broadcasts a side of theirs whose measured size allows it.
 """
 
 from __future__ import annotations
@@ -61,6 +63,11 @@ def _with_edge(joined: DataFrame) -> DataFrame:
     return joined.withColumn("edge", F.col("predicted_strikeouts") - F.col("line"))
 
 
+def _never_broadcast(quotes: DataFrame) -> DataFrame:
+    """Quotes that no estimate of their size may send through the driver."""
+    return quotes.hint("merge")
+
+
 def join_quotes(
     forecasts: DataFrame,
     quotes: DataFrame,
@@ -73,7 +80,8 @@ def join_quotes(
     """Forecasts with every quote of the same participant, and the edge over the line."""
     keyed = with_join_key(forecasts, participant=participant, join_key=forecast_key, strict=strict)
     require_columns(quotes, (quote_key, "bookmaker", "side", "line", "price"), "quotes")
-    return _with_edge(_suffixed_join(keyed, quotes, [(forecast_key, quote_key)], ("_proj", "_odds")))
+    pairs = [(forecast_key, quote_key)]
+    return _with_edge(_suffixed_join(keyed, _never_broadcast(quotes), pairs, ("_proj", "_odds")))
 
 
 # Names that differ in case and accents alone are equal under it.
@@ -95,7 +103,7 @@ def join_quotes_by_collation(
     own = f"{participant}_proj" if participant in shared else participant
     other = f"{name}_odds" if name in shared else name
     same = F.collate(F.trim(own), NAME_COLLATION) == F.collate(F.trim(other), NAME_COLLATION)
-    return _with_edge(left.join(right, same))
+    return _with_edge(left.join(_never_broadcast(right), same))
 
 
 def join_historical_lines(

@@ -1,4 +1,5 @@
 import datetime
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +7,8 @@ from pyspark.sql import functions as F
 from tallyline.contracts import ContractError
 from tallyline.operators import backtest, lines, market, picks
 from tallyline.plans.backtest import historical_backtest
+from tallyline.schemas import QUOTES_DOCUMENT
+from tallyline.sources.nested import flatten_quotes, market_documents, parse_documents
 
 JOINED_DDL = (
     "player_name_proj string, predicted_strikeouts double, bookmaker string, side string, line double, price double, "
@@ -243,3 +246,19 @@ def test_names_meet_by_collation(frame):
     ]
     plan = joined._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "translate" not in plan
+
+
+def test_quotes_never_pass_through_the_driver(spark, frame, tmp_path):
+    """Quotes of documents with long lists, which are planned as a row each."""
+    book = {"key": "north", "markets": [{"key": "outs", "outcomes": [
+        {"name": "Over", "description": "Ida Fenn", "point": float(i), "price": 100.0} for i in range(3000)
+    ]}]}
+    texts = [(json.dumps({"id": f"match-{i}", "bookmakers": [book]}),) for i in range(4)]
+    spark.createDataFrame(texts, "text string").write.parquet(str(tmp_path / "documents"))
+    documents = parse_documents(spark.read.parquet(str(tmp_path / "documents")), "text", QUOTES_DOCUMENT)
+    quotes = flatten_quotes(market_documents(documents))
+    forecasts = frame([dict(player_name="Ida Fenn", predicted_strikeouts=5.0)], "player_name string, predicted_strikeouts double")
+    for join in (market.join_quotes, market.join_quotes_by_collation):
+        joined = join(forecasts, quotes)
+        assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == 12_000
