@@ -20,7 +20,6 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,31 +30,25 @@ from tallyline.llm.arrow import add_columns, column, rows_of, texts
 
 UNKNOWN = "und"
 PROFILE_SIZE = 400
-# Words a worker remembers the n-grams of, and n-grams it counts before it passes them on.
-REMEMBERED_WORDS = 400_000
+# N-grams a worker counts before it passes them on.
 GRAMS_HELD = 2_000_000
+BLANK = np.uint64(ord(" "))
 
 _words = re.compile(r"[^\W\d_]+").findall
 
 
-class Grams(dict):
-    """The n-grams of a padded word as 64-bit codes, 21 bits for each letter, packed."""
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= REMEMBERED_WORDS:
-            self.clear()
-        points = np.frombuffer(f" {word} ".encode("utf-32-le"), dtype="<u4").astype(np.uint64)
-        pairs = points[:-1] | points[1:] << np.uint64(21)
-        triples = pairs[:-1] | points[2:] << np.uint64(42)
-        self[word] = packed = np.concatenate([points[1:-1], pairs, triples]).tobytes()
-        return packed
-
-    def of(self, text: str) -> np.ndarray | None:
-        """All n-grams of a text, None if it has no letters."""
-        words = _words(text.lower())
-        if not any(map(str.isalpha, words)) and not any(map(str.isalpha, chain.from_iterable(words))):
-            return None
-        return np.frombuffer(b"".join(map(self.__getitem__, words)), dtype="<u8")
+def grams_of(text: str) -> np.ndarray | None:
+    """All n-grams of a text as 64-bit codes, 21 bits for each letter, or None if it has no
+    letters. Its words stand in one line with a blank between them, which pads both; no
+    n-gram of three has that blank in the middle."""
+    line = f" {' '.join(_words(text.lower()))} "
+    if not any(map(str.isalpha, line)):
+        return None
+    points = np.frombuffer(line.encode("utf-32-le"), dtype="<u4").astype(np.uint64)
+    letter = points[1:-1] != BLANK
+    pairs = points[:-1] | points[1:] << np.uint64(21)
+    triples = pairs[:-1] | points[2:] << np.uint64(42)
+    return np.concatenate([points[1:-1][letter], pairs, triples[letter]])
 
 
 class Tally:
@@ -91,8 +84,6 @@ def gram_counts(docs: DataFrame, *, lang: str, text: str) -> DataFrame:
     the texts themselves."""
 
     def prepare():
-        grams = Grams()
-
         def rows(tallies: dict[str, Tally]) -> Iterator[dict]:
             for language, tally in tallies.items():
                 tally.settle()
@@ -107,7 +98,7 @@ def gram_counts(docs: DataFrame, *, lang: str, text: str) -> DataFrame:
             tallies: dict[str, Tally] = {}
             for batch in batches:
                 for language, t in zip(batch.column(0).to_pylist(), texts(batch.column(1)), strict=True):
-                    if (found := grams.of(t)) is not None:
+                    if (found := grams_of(t)) is not None:
                         tallies.setdefault(language, Tally()).add(found)
                 # Many languages or a large alphabet: pass on what there is and start anew.
                 if sum(len(t.codes) + t.size for t in tallies.values()) > 4 * GRAMS_HELD:
@@ -177,10 +168,8 @@ def with_language(
     any n-gram of the text lies in a profile."""
 
     def prepare():
-        grams = Grams()
-
         def one(t: str) -> tuple[str, float, bool]:
-            found = grams.of(t) if profiles.languages else None
+            found = grams_of(t) if profiles.languages else None
             if found is None:
                 return UNKNOWN, 0.0, False
             language, score = nearest(found, profiles)

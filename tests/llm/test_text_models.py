@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -213,6 +214,26 @@ def test_distances_equal_brute_force(documents):
         assert found[i] == (order[apart.index(first)], pytest.approx((second - first) / second if second else 0.0)), text
 
 
+def test_grams_of_odd_texts_equal_brute_force():
+    for text in ("Straße a b", "²³ x", "日本語 のé\U00020000 a1b_c", " -- İstanbul\tﬁ\n"):
+        assert sorted(language_id.grams_of(text).tolist()) == sorted(brute_grams(text)), text
+    assert all(language_id.grams_of(text) is None for text in ("", "12 _ -", "² Ⅷ"))
+
+
+def test_words_seen_once_cost_no_more_than_repeated_ones():
+    def seconds(text):
+        spent = []
+        for _ in range(3):
+            began = time.process_time()
+            language_id.grams_of(text)
+            spent.append(time.process_time() - began)
+        return min(spent)
+
+    letters = [chr(ord("a") + i) for i in range(26)]
+    new = " ".join(a + b + c + d for a in letters for b in letters for c in letters for d in "xyz")
+    assert seconds(new) < 8 * seconds(" ".join(["bead"] * len(new.split())))
+
+
 def test_the_first_condition_has_the_highest_gain():
     draw = np.random.default_rng(3)
     x = draw.integers(0, 12, (150, 3)).astype(float)
