@@ -127,13 +127,14 @@ def choose_side(
     *,
     group_keys: Sequence[str] = ("player_name_proj",),
 ) -> DataFrame:
-    """Per participant the side with the larger edge over its first forecast."""
+    """Per participant the side with the larger edge over its first forecast. Both tables hold
+    a row or two for each participant and are joined by merge: neither is sent to the driver."""
     over = F.col("side_norm") == "over"
     gap = F.col("_first_forecast") - F.col("_quote.line")
     # A missing key is a group of its own, as in the windows.
     named = forecasts.withColumnsRenamed({k: f"_of_{k}" for k in group_keys})
     same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in group_keys]
-    sides = side_quotes.filter(F.col("side_norm").isin("over", "under")).join(named, same)
+    sides = side_quotes.filter(F.col("side_norm").isin("over", "under")).join(named.hint("merge"), same)
     sides = sides.withColumn("_edge", F.when(over, gap).otherwise(-gap)).filter("_edge is not null")
     tie = F.col("side_norm") == ("under" if policy.tie_side == "under" else "over")
     larger = Window.partitionBy(*group_keys).orderBy(F.col("_edge").desc(), tie.desc())

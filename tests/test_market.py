@@ -262,3 +262,12 @@ def test_quotes_never_pass_through_the_driver(spark, frame, tmp_path):
         joined = join(forecasts, quotes)
         assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
         assert joined.count() == 12_000
+
+
+def test_forecasts_of_the_picks_never_pass_through_the_driver(frame):
+    """However small they prove when the query runs."""
+    rows = [quote(f"Player {i}", 6.0, side, 5.5, -110.0) for i in range(20) for side in ("over", "under")]
+    chosen = picks.daily_picks(frame(rows, JOINED_DDL))
+    assert len(chosen.collect()) == 20
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan and "Broadcast" not in plan
