@@ -22,7 +22,8 @@ def pick_key(game_date: Column, name: Column) -> Column:
 
 def ledger_rows(slate: DataFrame, picks: DataFrame) -> DataFrame:
     """Ledger rows of the official picks. The day comes from the pick itself, else from
-    the slate row of the same participant (and groups), else from a slate of one day."""
+    the slate row of the same participant (and groups), else from a slate of one day. The
+    slate has a row for each participant and more, so no estimate may broadcast it."""
     official = picks.filter(F.col("pick_type") == "official")
     keys = ["player_name"]
     if {"team", "opponent"} <= set(official.columns):
@@ -36,7 +37,7 @@ def ledger_rows(slate: DataFrame, picks: DataFrame) -> DataFrame:
     )
     only_day = days.select(F.when(F.col("first") == F.col("last"), F.col("first"))).scalar()
     own_day = F.col("game_date").cast("string") if "game_date" in official.columns else F.lit(None).cast("string")
-    rows = official.join(lookup, keys, "left").withColumn(
+    rows = official.join(lookup.hint("merge"), keys, "left").withColumn(
         "game_date", F.coalesce(own_day, F.col("_slate_day"), only_day, F.lit(""))
     )
     made = {

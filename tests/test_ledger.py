@@ -83,6 +83,14 @@ def test_new_rows_resolve_their_day(frame):
     assert sole.game_date == "2031-05-13"
 
 
+def test_days_of_the_slate_never_pass_through_the_driver(frame):
+    slate = frame([dict(player_name="A", team="T", opponent="O", game_date="2031-05-14", game_pk=1)], SLATE_DDL)
+    made = ledger.ledger_rows(slate, frame([pick(player_name="A", team="T", opponent="O")], PICK_DDL))
+    assert [r.pick_key for r in made.collect()] == ["2031-05-14|a"]
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan and "Broadcast" not in plan
+
+
 def test_saving_twice_keeps_settled_fields(spark, frame, tmp_path):
     root = str(tmp_path)
     slate = frame([dict(player_name="A", team="T", opponent="O", game_date="2031-05-14", game_pk=1)], SLATE_DDL)
