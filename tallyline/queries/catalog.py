@@ -746,12 +746,13 @@ def forget_models() -> None:
     _fitted.clear()
 
 
-def _trained(spark, sf):
+def _trained(spark, sf, history=None):
     """The model with the workload's own parameters, trained once per session and table for
-    the queries that ask different things of it."""
+    the queries that ask different things of it. A query that has the history itself passes it."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _fitted:
-        table = materialize(model.model_table(inputs.history(spark, sf)), "model-table")
+        history = inputs.history(spark, sf) if history is None else history
+        table = materialize(model.model_table(history), "model-table")
         train, test = model.time_split(table, SPLIT_DAY)
         _fitted[key] = (model.train_model(train, params=model.BoostParams()), table, train, test)
     return _fitted[key]
@@ -820,12 +821,14 @@ def gbt_error_by_round(spark, sf):
 @query
 def set_published(spark, sf):
     """A whole training set committed as a version; its model table as readers find it."""
-    fitted, table, _, _ = _trained(spark, sf)
+    # The history is built once, for the training and for the set.
+    history = materialize(inputs.history(spark, sf), "history")
+    fitted, table, _, _ = _trained(spark, sf, history)
     root = session.new_folder(spark, "sets")
     publish.publish_set(
         spark,
         root,
-        history=inputs.history(spark, sf),
+        history=history,
         table=table,
         lines=lines.curate_lines(inputs.snapshots(spark, sf), strict=False),
         model=fitted,

@@ -1,6 +1,7 @@
 """Every registered query against its SQL, on the smallest of the given data sets."""
 
 import os
+from functools import partial
 
 import pytest
 
@@ -30,3 +31,15 @@ def test_query_equals_sql(spark, con, name):
 
 def test_entry(spark):
     assert registry.entry(spark).count() > 0
+
+
+def test_a_published_set_builds_its_history_once(spark, monkeypatch):
+    built, history = [], catalog.inputs.history
+    monkeypatch.setattr(catalog.inputs, "history", lambda *given: built.append(1) or history(*given))
+    monkeypatch.setattr(catalog.model, "BoostParams", partial(catalog.model.BoostParams, rounds=2))
+    catalog.forget_models()
+    try:
+        assert catalog.set_published(spark, SMALL).count() > 0
+    finally:
+        catalog.forget_models()
+    assert len(built) == 1
