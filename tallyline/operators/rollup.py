@@ -83,16 +83,18 @@ def event_cells(flagged: DataFrame, *, halves: bool = True) -> DataFrame:
     )
 
 
-def _rolled_up(cells: DataFrame, *more: Column) -> DataFrame:
-    keys = PERIOD_KEYS + ("player_name",)
+ENTITY_KEYS = PERIOD_KEYS + ("player_name",)
+
+
+def _rolled_up(cells: DataFrame, *more: Column, batters: Column | None = None) -> DataFrame:
     periods = (
-        cells.filter(_present(*keys))
-        .groupBy(*keys)
+        cells.filter(_present(*ENTITY_KEYS))
+        .groupBy(*ENTITY_KEYS)
         .agg(
             *[F.sum(c).alias(c) for c in ("pitches", "strikeouts", "whiffs")],
             safe_ratio(F.sum("sum_velo"), F.sum("n_velo")).alias("avg_velo"),
             safe_ratio(F.sum("sum_spin"), F.sum("n_spin")).alias("avg_spin"),
-            F.count_distinct("batter").alias("batters_faced"),
+            (F.count_distinct("batter") if batters is None else batters).alias("batters_faced"),
             *[F.min(c).alias(c) for c in ("home_team", "away_team", "p_throws")],
             *more,
         )
@@ -127,14 +129,38 @@ def add_group_info(periods: DataFrame, events: DataFrame) -> DataFrame:
     return periods.join(fielding_lookup(events), list(PERIOD_KEYS), "left")
 
 
+def _sides() -> list[Column]:
+    return [F.min(fielding_group()).alias("pitching_team"), F.min(fielding_opponent()).alias("opponent_team")]
+
+
 def periods_of_cells(cells: DataFrame) -> DataFrame:
     """Entity-periods with their groups from :func:`event_cells`: both group on the same keys,
     so the groups are two more aggregates, not a join."""
-    return _rolled_up(
-        cells,
-        F.min(fielding_group()).alias("pitching_team"),
-        F.min(fielding_opponent()).alias("opponent_team"),
-    )
+    return _rolled_up(cells, *_sides())
+
+
+def sides_of_cells(cells: DataFrame) -> DataFrame:
+    """:func:`event_cells` with halves, counted by all their keys but the batter: one row for
+    nearly every entity-period. Text is a key here too, so the cells are hashed, not sorted.
+    A batter has one cell in a side."""
+    keys = [*(k for k in CELL_KEYS if k != "batter"), "inning_topbot"]
+    sums = ("pitches", "strikeouts", "whiffs", "sum_velo", "n_velo", "sum_spin", "n_spin")
+    counted = cells.filter(_present(*ENTITY_KEYS)).groupBy(*keys)
+    return counted.agg(*[F.sum(c).alias(c) for c in sums], F.count("batter").alias("batters"))
+
+
+def periods_of_sides(sides: DataFrame, cells: DataFrame) -> DataFrame:
+    """:func:`periods_of_cells` from :func:`sides_of_cells`, both written copies. Batters of
+    periods with several sides may stand in more than one; they are counted from the cells.
+    One aggregate job looks for such periods."""
+    periods = _rolled_up(sides, *_sides(), batters=F.sum("batters"))
+    several = sides.groupBy(*ENTITY_KEYS).agg(F.count(F.lit(1)).alias("_sides")).filter("_sides > 1")
+    if several.isEmpty():
+        return periods
+    met = cells.join(several, list(ENTITY_KEYS), "left_semi")
+    recounted = met.groupBy(*ENTITY_KEYS).agg(F.count_distinct("batter").alias("_batters"))
+    faced = F.coalesce("_batters", "batters_faced")
+    return periods.join(recounted, list(ENTITY_KEYS), "left").withColumn("batters_faced", faced).drop("_batters")
 
 
 def entity_periods_with_groups(flagged: DataFrame) -> DataFrame:

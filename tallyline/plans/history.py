@@ -10,7 +10,8 @@ from tallyline.operators.rollup import (
     add_opponent_form,
     event_cells,
     group_periods,
-    periods_of_cells,
+    periods_of_sides,
+    sides_of_cells,
 )
 from tallyline.operators.trailing import (
     MAX_ROWS_PER_TASK,
@@ -34,7 +35,7 @@ def entity_history(
     """
     cells = event_cells(add_event_flags(events)).filter("game_date is not null and game_pk is not null")
     cells = materialize(cells, "cells")
-    periods = periods_of_cells(cells)
+    periods = periods_of_sides(materialize(sides_of_cells(cells), "sides"), cells)
     if strict:
         # Counted by the job that writes them. Two spellings of one entity in a period are
         # two rows of one key.

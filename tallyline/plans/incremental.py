@@ -26,7 +26,8 @@ from tallyline.operators.rollup import (
     add_opponent_form,
     event_cells,
     group_periods,
-    periods_of_cells,
+    periods_of_sides,
+    sides_of_cells,
 )
 from tallyline.operators.trailing import (
     ENTITY_DISPERSION,
@@ -148,7 +149,7 @@ def update_history(
         # The delivery is read once; what it rolls up to serves every attempt to commit.
         cells = event_cells(add_event_flags(events)).filter("game_date is not null and game_pk is not null")
         cells = materialize(cells, "cells")
-        periods = periods_of_cells(cells)
+        periods = periods_of_sides(materialize(sides_of_cells(cells), "sides"), cells)
         if strict:
             periods = write_checked(periods, replace(HISTORY_CONTRACT, allow_empty=True)).good
         else:

@@ -154,3 +154,21 @@ def test_history_does_not_leak_and_ignores_input_order(spark):
     full = table(entity_history(whole.orderBy(F.rand(5))))
     early = table(entity_history(cut))
     pd.testing.assert_frame_equal(early, full[full.game_pk <= 106].reset_index(drop=True))
+
+
+def test_periods_of_sides_equal_those_of_cells(spark):
+    """Also where an entity stands on several sides in a period and meets a batter on two."""
+    rows = [pitch(pitcher=p, batter=b, inning_topbot=half, p_throws=hand)
+            for p, b, half, hand in [
+                (1, 7, "Top", "R"), (1, 8, "Top", "R"), (1, 8, "Top", "R"),
+                (2, 7, "Top", "R"), (2, 7, "Bot", "R"), (2, 7, "Bot", "L"), (2, 9, "Bot", "L"), (2, None, "Bot", None),
+                (3, None, "Top", "R"),
+            ]]
+    for chosen in (rows, rows[:3] + rows[-1:]):
+        cells = rollup.event_cells(rollup.add_event_flags(events(spark, chosen)))
+        sides = rollup.sides_of_cells(cells)
+        assert "SortAggregate" not in sides._jdf.queryExecution().executedPlan().toString()
+        found, known = rollup.periods_of_sides(sides, cells), rollup.periods_of_cells(cells)
+        assert found.columns == known.columns
+        assert found.orderBy("pitcher").collect() == known.orderBy("pitcher").collect()
+    assert {r.pitcher: r.batters_faced for r in known.collect()} == {1: 2, 3: 0}
