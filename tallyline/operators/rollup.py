@@ -65,14 +65,19 @@ CELL_KEYS = PERIOD_KEYS + ("player_name", "home_team", "away_team", "p_throws",
 
 def event_cells(flagged: DataFrame, *, halves: bool = True) -> DataFrame:
     """Events counted by all that the rollups group by. Text is a key here and every buffer
-    a number, so the map tasks hash the events and never sort them; what the rollups sort
-    is one row per batter an entity met in a period. With ``halves`` the sides are known."""
+    a number, so tasks hash the events and never sort them; what the rollups sort
+    is one row per batter an entity met in a period. With ``halves`` the sides are known.
+
+    Events are dealt by entity and period before they are counted. Most cells hold an event
+    or two, so counting in the map tasks would fill their memory with nearly all the events
+    of a file and spill. The cells of a period stay together, so what reads a written copy
+    of them counts them down in its map tasks."""
     keys = CELL_KEYS + ("inning_topbot",) * halves
-    require_columns(
-        flagged, keys + ("pitch_type", "is_k", "is_whiff", "release_speed", "release_spin_rate"), "events"
-    )
+    counted = ("pitch_type", "is_k", "is_whiff", "release_speed", "release_spin_rate")
+    require_columns(flagged, keys + counted, "events")
     velo, spin = nan_to_null(F.col("release_speed")), nan_to_null(F.col("release_spin_rate"))
-    return flagged.groupBy(*keys).agg(
+    dealt = flagged.select(*keys, *counted).repartition(*PERIOD_KEYS)
+    return dealt.groupBy(*keys).agg(
         F.count("pitch_type").alias("pitches"),
         F.sum("is_k").cast("long").alias("strikeouts"),
         F.sum("is_whiff").cast("long").alias("whiffs"),
@@ -170,7 +175,8 @@ def entity_periods_with_groups(flagged: DataFrame) -> DataFrame:
 
 def group_periods(flagged: DataFrame, *, strikeouts: str = "is_k") -> DataFrame:
     """One row per batting group and period: strikeouts, distinct batters, rate. The rows are
-    events or, with their column of ``strikeouts``, :func:`event_cells`."""
+    events or, with their column of ``strikeouts``, :func:`event_cells`. They are dealt by
+    group and period once: counting them by batter in the map tasks would merge few of them."""
     require_columns(
         flagged, ("game_date", "game_pk", "inning_topbot", "away_team", "home_team", strikeouts, "batter"), "events"
     )
@@ -178,11 +184,12 @@ def group_periods(flagged: DataFrame, *, strikeouts: str = "is_k") -> DataFrame:
     grouped = (
         flagged.withColumn("batting_team", batting_group())
         .filter(_present(*keys))
+        .select(*keys, "batter", F.col(strikeouts).alias("_k"))
+        .repartition(*keys)
+        .groupBy(*keys, "batter")
+        .agg(F.sum("_k").alias("_k"))
         .groupBy(*keys)
-        .agg(
-            F.sum(strikeouts).cast("long").alias("team_batter_strikeouts"),
-            F.count_distinct("batter").alias("batters_faced"),
-        )
+        .agg(F.sum("_k").cast("long").alias("team_batter_strikeouts"), F.count("batter").alias("batters_faced"))
     )
     return grouped.withColumn("team_k_rate", safe_ratio(F.col("team_batter_strikeouts"), F.col("batters_faced")))
 

@@ -172,3 +172,15 @@ def test_periods_of_sides_equal_those_of_cells(spark):
         assert found.columns == known.columns
         assert found.orderBy("pitcher").collect() == known.orderBy("pitcher").collect()
     assert {r.pitcher: r.batters_faced for r in known.collect()} == {1: 2, 3: 0}
+
+
+def test_events_are_dealt_before_they_are_counted(spark):
+    """Counting in the map tasks holds nearly all events of a file in memory. Both rollups
+    shuffle what they read once and hash it there."""
+    rows = [pitch(batter=b, inning_topbot=half, pitcher=p) for p in (1, 2) for b in (3, 3, None) for half in ("Top", "Bot")]
+    flagged = rollup.add_event_flags(events(spark, rows))
+    for counted in (rollup.event_cells(flagged), rollup.group_periods(flagged)):
+        plan = counted._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and "Aggregate" not in plan.split("Exchange")[1]
+    got = {r.batting_team: (r.team_batter_strikeouts, r.batters_faced) for r in rollup.group_periods(flagged).collect()}
+    assert got == {"TEX": (0, 1), "SEA": (0, 1)}
