@@ -33,6 +33,9 @@ from tallyline.llm.arrow import add_columns, column, texts
 # Characters of a chunk and of what it reads beyond its end.
 CHUNK, OVERLAP = 32_768, 512
 REMEMBERED_PIECES = 250_000
+# Bytes up to which looking through all pairs of a pre-token is faster than a heap of them.
+SHORT = 32
+NO_RANK = 1 << 60
 
 
 class Encoder(dict):
@@ -43,6 +46,8 @@ class Encoder(dict):
         with open(vocabulary, "rb") as file:
             pairs = [line.split() for line in file if line.strip()]
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
+        # The rank of every pair of bytes.
+        self.first_ranks = [self.ranks.get(bytes(divmod(pair, 256)), NO_RANK) for pair in range(1 << 16)]
         self.pre_tokens = regex.compile(pattern).findall
 
     def __missing__(self, pre_token: str) -> bytes:
@@ -50,13 +55,30 @@ class Encoder(dict):
             self.clear()
         raw = pre_token.encode("utf-8")
         whole = self.ranks.get(raw)
-        ids = [whole] if whole is not None else [self.ranks[token] for token in self.merged(raw)]
-        self[pre_token] = packed = struct.pack(f"<{len(ids)}I", *ids)
+        ids = [whole] if whole is not None else list(map(self.ranks.__getitem__, self.merged(raw)))
+        self[pre_token] = packed = packer(len(ids))(*ids)
         return packed
 
     def merged(self, raw: bytes) -> list[bytes]:
         """The tokens left when no adjacent pair forms a token any more; the pair of the
         lowest rank merges first, the leftmost of equals."""
+        return self.merged_short(raw) if len(raw) <= SHORT else self.merged_long(raw)
+
+    def merged_short(self, raw: bytes) -> list[bytes]:
+        rank_of = self.ranks.get
+        # Token i is raw[starts[i] : starts[i + 1]], ranks[i] that of its pair with the next one.
+        starts = list(range(len(raw) + 1))
+        ranks = [self.first_ranks[a << 8 | b] for a, b in zip(raw, raw[1:])]
+        while ranks and (lowest := min(ranks)) != NO_RANK:
+            at = ranks.index(lowest)
+            del starts[at + 1], ranks[at]
+            if at < len(ranks):
+                ranks[at] = rank_of(raw[starts[at] : starts[at + 2]], NO_RANK)
+            if at:
+                ranks[at - 1] = rank_of(raw[starts[at - 1] : starts[at + 1]], NO_RANK)
+        return [raw[a:b] for a, b in zip(starts, starts[1:])]
+
+    def merged_long(self, raw: bytes) -> list[bytes]:
         rank_of = self.ranks.get
         starts = list(range(len(raw)))
         ends = [s + 1 for s in starts]
@@ -83,6 +105,11 @@ class Encoder(dict):
         return b"".join(map(self.__getitem__, self.pre_tokens(text)))
 
 
+@lru_cache(maxsize=SHORT)
+def packer(ids: int):
+    return struct.Struct(f"<{ids}I").pack
+
+
 @lru_cache(maxsize=2)
 def encoder(vocabulary: str, pattern: str) -> Encoder:
     return Encoder(vocabulary, pattern)

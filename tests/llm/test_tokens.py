@@ -86,6 +86,18 @@ def test_decoding_is_the_inverse(documents):
     assert [bytes(found[i]).decode() for i in range(len(texts))] == [t or "" for t in texts]
 
 
+def test_short_words_merge_without_a_heap(monkeypatch):
+    """As many bytes as most words have; with the same tokens as the heap of long ones."""
+    encoder = byte_bpe.Encoder(P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
+    draw = random.Random(3)
+    alphabets = ["etaoinshrdlu ", "ab", "é語🙂a", "0=#\n"]
+    words = ["".join(draw.choices(draw.choice(alphabets), k=draw.randrange(1, 12))).encode() for _ in range(400)]
+    words += [b"", b"a", b"\xff\xfe", b"theatheathe" * 9, b"ab" * (byte_bpe.SHORT // 2), b"ab" * (byte_bpe.SHORT // 2) + b"a"]
+    assert all(encoder.merged_short(w) == encoder.merged_long(w) for w in words)
+    monkeypatch.setattr(byte_bpe, "heapify", None)
+    assert b"".join(encoder.merged(b" theaatble")) == b" theaatble"
+
+
 def test_cuts_need_agreement():
     # Two chunks that never agree stay together.
     word = "z" * 100
